@@ -1,0 +1,101 @@
+"""Tables kept as numbered Parquet snapshots, with a history beside them.
+
+Every change writes a new ``version=N`` folder and then one history row; readers use the
+highest version in the history, so an unfinished write is never seen and no folder is
+overwritten while it is read. One writer at a time.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta, timezone
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemill.operators.changes import delete_where, update_where, upsert
+
+HISTORY = "version INT, committed_at TIMESTAMP_NTZ, operation STRING, rows BIGINT, files INT, source INT"
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _folder(self, version: int) -> str:
+        return f"{self.root}/version={version}"
+
+    def history(self) -> DataFrame:
+        """One row per commit."""
+        try:
+            return self.spark.read.schema(HISTORY).parquet(f"{self.root}/history")
+        except AnalysisException:
+            return self.spark.createDataFrame([], HISTORY)
+
+    def current_version(self) -> int | None:
+        return self.history().agg(F.max("version")).first()[0]
+
+    def read(self, version: int | None = None) -> DataFrame:
+        if version is None:
+            version = self.current_version()
+        if version is None:
+            raise ValueError(f"no version committed below {self.root}")
+        return self.spark.read.parquet(self._folder(version))
+
+    def commit(self, df: DataFrame, operation: str, at: datetime | None = None,
+               source: int | None = None) -> int:
+        """Store ``df`` as the next version and return its number."""
+        last = self.current_version()
+        version = 0 if last is None else last + 1
+        df.write.mode("overwrite").parquet(self._folder(version))
+        stored = self.spark.read.parquet(self._folder(version))
+        entry = (version, at or datetime.now(timezone.utc).replace(tzinfo=None), operation, stored.count(), len(stored.inputFiles()), source)
+        self.spark.createDataFrame([entry], HISTORY).coalesce(1).write.mode("append").parquet(
+            f"{self.root}/history"
+        )
+        return version
+
+    def update(self, condition: Column, at: datetime | None = None, **values: Column) -> int:
+        return self.commit(update_where(self.read(), condition, **values), "update", at)
+
+    def delete(self, condition: Column, at: datetime | None = None) -> int:
+        return self.commit(delete_where(self.read(), condition), "delete", at)
+
+    def merge(self, source: DataFrame, keys: list[str], at: datetime | None = None) -> int:
+        """Upsert; the first call creates the table."""
+        target = None if self.current_version() is None else self.read()
+        return self.commit(upsert(target, source, keys), "merge", at)
+
+    def restore(self, version: int, at: datetime | None = None) -> int:
+        """Make an old version current again, as a new version."""
+        return self.commit(self.read(version), "restore", at, source=version)
+
+    def compact(self, files: int, at: datetime | None = None) -> int:
+        """Rewrite the current version into fewer files."""
+        return self.commit(self.read().repartition(files), "compact", at)
+
+    def detail(self) -> DataFrame:
+        """Current version, rows, files and first and last commit."""
+        past = self.history()
+        return past.agg(
+            F.max("version").alias("version"),
+            F.max_by("rows", "version").alias("rows"),
+            F.max_by("files", "version").alias("files"),
+            F.min("committed_at").alias("created_at"),
+            F.max("committed_at").alias("changed_at"),
+        ).withColumn("location", F.lit(self.root))
+
+    def vacuum(self, now: datetime, keep: timedelta = timedelta(hours=168)) -> list[int]:
+        """Delete versions replaced before ``now - keep``; never the current one."""
+        commits = self.history().select("version", "committed_at").orderBy("version").toLocalIterator()
+        dropped, previous = [], None
+        for row in commits:
+            if previous is not None and row.committed_at < now - keep:
+                dropped.append(previous)
+            previous = row.version
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for version in dropped:
+            path = hadoop.Path(self._folder(version))
+            path.getFileSystem(conf).delete(path, True)
+        return dropped
