@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -36,6 +36,11 @@ HIDDEN_BLOCKS = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template)\b[^>]*>.*?(?:<
 TAGS = r"""(?s)</?[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|<[!?][^>]*>"""
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, with the value computed once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def part(text: Column, separator: str, index: int) -> Column:
     """The ``index``-th piece from 0; null where there is none."""
     return F.get(F.split(text, re.escape(separator)), F.lit(index))
@@ -99,24 +104,34 @@ REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);?"
 
 def _reference(piece: Column) -> Column:
     """Decode the character reference that ``piece`` (text after an ``&``) starts with."""
-    name = F.regexp_extract(piece, REFERENCE, 1)
-    rest = F.regexp_replace(piece, REFERENCE, "")
-    code = F.when(
-        name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10)
-    ).otherwise(F.substring(name, 2, 7)).try_cast("int")
-    code = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), code).otherwise(0xFFFD)
-    numeric = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    named = F.element_at(_named_entities(), name)
-    known = F.when(name.startswith("#"), numeric).otherwise(named)
-    return F.coalesce(F.concat(known, rest), F.concat(F.lit("&"), piece))
+
+    def decoded(name: Column) -> Column:
+        digits = F.when(
+            name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10)
+        ).otherwise(F.substring(name, 2, 7))
+        numeric = let(digits.try_cast("int"), lambda code: F.decode(
+            F.unhex(F.lpad(F.hex(
+                F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), code)
+                .otherwise(0xFFFD)
+            ), 8, "0")),
+            "UTF-32",
+        ))
+        known = F.when(name.startswith("#"), numeric).otherwise(F.element_at(_named_entities(), name))
+        rest = F.regexp_replace(piece, REFERENCE, "")
+        return F.coalesce(F.concat(known, rest), F.concat(F.lit("&"), piece))
+
+    return let(F.regexp_extract(piece, REFERENCE, 1), decoded)
 
 
 def decode_entities(text: Column) -> Column:
     """Replace HTML character references in one pass, so ``&amp;lt;`` becomes ``&lt;``."""
-    pieces = F.split(text, "&")
-    tail = F.slice(pieces, F.lit(2), F.size(pieces))
-    decoded = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(tail, _reference), ""))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+    def joined(pieces: Column) -> Column:
+        return F.array_join(
+            F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(_reference(p))), ""
+        )
+
+    return F.when(text.isNotNull(), let(F.split(text, "&"), joined))
 
 
 def html_to_text(html: Column) -> Column:
@@ -131,16 +146,33 @@ def first_sentences(text: Column, count: int = 2) -> Column:
 
 def shorten(text: Column, limit: int) -> Column:
     """At most ``limit`` characters; a cut inside a sentence drops the broken word, adds dots."""
-    cut = F.regexp_replace(F.left(text, F.lit(limit)), r"(?U)\s+$", "")
-    dotted = F.concat(F.regexp_replace(cut, r" [^ ]*$", ""), F.lit("..."))
-    return F.when(F.length(text) <= limit, text).otherwise(
-        F.when(cut.rlike(r"[.!?]$"), cut).otherwise(dotted)
-    )
+
+    def ended(cut: Column) -> Column:
+        dotted = F.concat(F.regexp_replace(cut, r" [^ ]*$", ""), F.lit("..."))
+        return F.when(cut.rlike(r"[.!?]$"), cut).otherwise(dotted)
+
+    def shortened(whole: Column) -> Column:
+        cut = F.regexp_replace(F.left(whole, F.lit(limit)), r"(?U)\s+$", "")
+        return F.when(F.length(whole) <= limit, whole).otherwise(let(cut, ended))
+
+    return let(text, shortened)
+
+
+def any_of(patterns: Sequence[str]) -> str:
+    """One regular expression that finds whatever any of the patterns finds.
+
+    Patterns that start at a word boundary share one test for it.
+    """
+    start = r"(?i)\b"
+    words = [p.removeprefix(start) for p in patterns if p.startswith(start)]
+    others = [f"(?:{p})" for p in patterns if not p.startswith(start)]
+    shared = [rf"(?:{start}(?:{'|'.join(words)}))"] if words else []
+    return "(?U)" + "|".join(shared + others)
 
 
 def drop_sentences(text: Column, patterns: Sequence[str] = PROMO_PATTERNS) -> Column:
     """Remove every sentence in which one of the patterns is found."""
-    unwanted = "(?U)" + "|".join(f"(?:{p})" for p in patterns)
+    unwanted = any_of(patterns)
     sentences = F.transform(F.split(text, SENTENCE_GAP), lambda s: strip(s))
     kept = F.filter(sentences, lambda s: (s != "") & ~s.rlike(unwanted))
     return F.array_join(kept, " ")

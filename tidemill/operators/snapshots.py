@@ -45,26 +45,41 @@ class SnapshotTable:
     def commit(self, df: DataFrame, operation: str, at: datetime | None = None,
                source: int | None = None) -> int:
         """Store ``df`` as the next version and return its number."""
-        last = self.current_version()
+        return self._commit(self.current_version(), df, operation, at, source)
+
+    def _commit(self, last: int | None, df: DataFrame, operation: str,
+                at: datetime | None = None, source: int | None = None) -> int:
         version = 0 if last is None else last + 1
         df.write.mode("overwrite").parquet(self._folder(version))
         stored = self.spark.read.parquet(self._folder(version))
-        entry = (version, at or datetime.now(timezone.utc).replace(tzinfo=None), operation, stored.count(), len(stored.inputFiles()), source)
-        self.spark.createDataFrame([entry], HISTORY).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/history"
+        entry = {
+            "version": version,
+            "committed_at": at or datetime.now(timezone.utc).replace(tzinfo=None),
+            "operation": operation,
+            "rows": stored.count(),
+            "files": len(stored.inputFiles()),
+            "source": source,
+        }
+        kinds = dict(field.split() for field in HISTORY.split(", "))
+        row = self.spark.range(0, 1, 1, 1).select(
+            *[F.lit(value).cast(kinds[name]).alias(name) for name, value in entry.items()]
         )
+        row.write.mode("append").parquet(f"{self.root}/history")
         return version
 
     def update(self, condition: Column, at: datetime | None = None, **values: Column) -> int:
-        return self.commit(update_where(self.read(), condition, **values), "update", at)
+        last = self.current_version()
+        return self._commit(last, update_where(self.read(last), condition, **values), "update", at)
 
     def delete(self, condition: Column, at: datetime | None = None) -> int:
-        return self.commit(delete_where(self.read(), condition), "delete", at)
+        last = self.current_version()
+        return self._commit(last, delete_where(self.read(last), condition), "delete", at)
 
     def merge(self, source: DataFrame, keys: list[str], at: datetime | None = None) -> int:
         """Upsert; the first call creates the table."""
-        target = None if self.current_version() is None else self.read()
-        return self.commit(upsert(target, source, keys), "merge", at)
+        last = self.current_version()
+        target = None if last is None else self.read(last)
+        return self._commit(last, upsert(target, source, keys), "merge", at)
 
     def restore(self, version: int, at: datetime | None = None) -> int:
         """Make an old version current again, as a new version."""

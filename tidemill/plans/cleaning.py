@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import semi, text
 from tidemill.plans.registry import query
+from tidemill.session import spread
 
 LICENSE_PATTERNS = [r"(?i)\blicen[sc]e\b.*", r"(?i)http[s]?://\S+", r"(?i)www\.\S+"]
 
@@ -58,33 +59,33 @@ def described_sql(source: str, html: str, keep: str) -> str:
 @query("str_08_html_to_text", f"""
     SELECT page_id, {visible_sql('html')} AS visible FROM pages""")
 def html_to_text(t):
-    return t.pages.select("page_id", text.html_to_text(F.col("html")).alias("visible"))
+    return spread(t.pages).select("page_id", text.html_to_text(F.col("html")).alias("visible"))
 
 
 @query("str_09_first_sentences", f"""
     SELECT doc_id, {first_two_sql('text')} AS opening FROM documents""")
 def first_sentences(t):
-    return t.documents.select("doc_id", text.first_sentences(F.col("text")).alias("opening"))
+    return spread(t.documents).select("doc_id", text.first_sentences(F.col("text")).alias("opening"))
 
 
 @query("str_10_shorten", f"""
     SELECT doc_id, {shorten_sql('text', 400)} AS short FROM documents""")
 def shorten(t):
-    return t.documents.select("doc_id", text.shorten(F.col("text"), 400).alias("short"))
+    return spread(t.documents).select("doc_id", text.shorten(F.col("text"), 400).alias("short"))
 
 
 @query("str_11_drop_sentences", f"""
     SELECT doc_id, length(kept) AS chars, md5(kept) AS kept_md5
     FROM (SELECT doc_id, {drop_sql('text', LICENSE_PATTERNS)} AS kept FROM documents)""")
 def drop_sentences(t):
-    kept = t.documents.select("doc_id", text.drop_sentences(F.col("text"), LICENSE_PATTERNS).alias("kept"))
+    kept = spread(t.documents).select("doc_id", text.drop_sentences(F.col("text"), LICENSE_PATTERNS).alias("kept"))
     return kept.select("doc_id", F.length("kept").cast("bigint").alias("chars"), F.md5("kept").alias("kept_md5"))
 
 
 @query("udf_04_describe_pages", f"""
     WITH {described_sql('pages', 'html', 'page_id')} SELECT page_id, description FROM described""")
 def describe_pages(t):
-    return t.pages.select("page_id", text.describe_product(F.col("html")).alias("description"))
+    return spread(t.pages).select("page_id", text.describe_product(F.col("html")).alias("description"))
 
 
 def raw_products(t):
@@ -103,7 +104,7 @@ def raw_products(t):
         F.lit(',"'), image("plain"), F.lit('"]'),
     )
     fields = F.to_json(F.struct(
-        F.col("page_id").alias("product_id"),
+        (F.col("page_id") + 1).alias("product_id"),
         F.when(secure, "").otherwise(F.col("url")).alias("name"),
         F.concat(F.lit("Page "), "page_id").alias("title"),
         F.col("url").alias("url_path"),
@@ -114,7 +115,7 @@ def raw_products(t):
         image("thumb").alias("thumb"),
     ))
     record = F.concat(F.expr("left(r, length(r) - 1)"), F.lit(',"images":'), F.col("images"), F.lit("}"))
-    rows = t.pages.withColumns({"r": fields, "images": images}).withColumn("record", record)
+    rows = spread(t.pages).withColumns({"r": fields, "images": images}).withColumn("record", record)
     wrapped = (
         F.when(F.contains("url", F.lit("/fr/")), F.col("record"))
         .when(F.contains("url", F.lit("/de/")), F.concat(F.lit('{"data":'), "record", F.lit("}")))
@@ -124,7 +125,7 @@ def raw_products(t):
 
 
 @query("jsn_02_unwrap", """
-    SELECT page_id, CAST(page_id AS VARCHAR) AS product_id, url AS url_path FROM pages""")
+    SELECT page_id, CAST(page_id + 1 AS VARCHAR) AS product_id, url AS url_path FROM pages""")
 def unwrap(t):
     inner = raw_products(t).select("page_id", semi.unwrap(F.col("raw")).alias("inner"))
     return inner.select(
@@ -136,7 +137,7 @@ def unwrap(t):
 
 @query("jsn_04_product_record", f"""
     WITH {described_sql('pages', 'html', 'page_id, url, html')}
-    SELECT page_id AS id, CASE WHEN starts_with(url, 'https') THEN 'Page ' || page_id ELSE url END AS name,
+    SELECT page_id + 1 AS id, CASE WHEN starts_with(url, 'https') THEN 'Page ' || page_id ELSE url END AS name,
            url AS url_key, CASE WHEN starts_with(url, 'https') THEN length(html) ELSE length(url) END AS price,
            description, array_to_string([url || '/thumb.jpg', url || '/base.jpg', url || '/small.jpg',
            url || '/plain.jpg'], ' ') AS images

@@ -9,6 +9,7 @@ from tidemill.operators import aggregates, quality
 from tidemill.operators.ordered import ranked
 from tidemill.plans.joining import TRIPS_SQL, transactions, trips
 from tidemill.plans.registry import query
+from tidemill.session import spread
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
@@ -89,7 +90,7 @@ def value_counts(t):
         SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents)
     WHERE word <> '' GROUP BY 1""")
 def item_counts(t):
-    return aggregates.item_counts(t.documents, F.split("text", r"\s+"), "word")
+    return aggregates.item_counts(spread(t.documents), F.split("text", r"\s+"), "word")
 
 
 @query("agg_10_error_tally", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a running session accepts. Partition counts are left to the cluster.
 RUNTIME_SETTINGS = {
@@ -34,6 +34,15 @@ def build_session(app: str = "tidemill", master: str | None = None, **conf: str)
     return tune(builder.getOrCreate())
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out evenly where a small input gives fewer tasks than there are cores.
+
+    Meant for inputs whose rows are expensive to process; larger inputs stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder the cluster shares (``spark.checkpoint.dir``).
 

@@ -84,10 +84,10 @@ def write_feeds(feeds: Mapping[str, DataFrame], folder: str, drain: bool = False
 
 def await_all(queries: Iterable[StreamingQuery]) -> None:
     """Wait for every query; the first failure is raised and the others are stopped."""
-    queries = list(queries)
+    queries = running = list(queries)
     try:
-        for query in queries:
-            query.awaitTermination()
+        while running:
+            running = [query for query in running if not query.awaitTermination(1)]
     finally:
         for query in queries:
             if query.isActive:
