@@ -41,10 +41,10 @@ def test_three_batches(spark):
 
 
 @QUICK
-@given(st.lists(st.tuples(st.integers(1, 4), st.sampled_from(["x", "y", None])), max_size=30))
-def test_history_invariants(spark, log):
+@given(st.lists(st.tuples(st.integers(1, 4), st.sampled_from(["x", "y", None])), max_size=30), st.integers(2, 9))
+def test_history_invariants(spark, log, pieces):
     df = spark.createDataFrame([(k, i, v) for i, (k, v) in enumerate(log)], "k INT, seq INT, v STRING")
-    versions = changes.scd2(df, ["k"], ["seq"], ["v"], F.floor(F.col("seq") / 4)).collect()
+    versions = changes.scd2(df, ["k"], ["seq"], ["v"], pieces).collect()
     for key in {k for k, _ in log}:
         mine = sorted((r for r in versions if r.k == key), key=lambda r: r.valid_from)
         assert [r.is_current for r in mine] == [False] * (len(mine) - 1) + [True]

@@ -83,10 +83,10 @@ class Car:
         return self.speed, self.odometer, self.time, self.odometer / self.time
 
 
-def traced(spark, sequences, per_slice):
+def traced(spark, sequences, pieces):
     rows = [(d, i, delta) for d, deltas in sequences.items() for i, delta in enumerate(deltas)]
     df = spark.createDataFrame(rows, "device STRING, at INT, delta INT")
-    out = ordered.speed_trace(df, ["device"], ["at"], F.floor(F.col("at") / per_slice), F.col("delta"))
+    out = ordered.speed_trace(df, ["device"], ["at"], F.col("delta"), pieces)
     return {(r.device, r["at"]): (r.speed, r.odometer, r.step, r.average_speed) for r in out.collect()}
 
 
@@ -97,21 +97,26 @@ def test_speed_golden(spark):
 
 @QUICK
 @given(st.dictionaries(st.sampled_from("ab"), st.lists(st.sampled_from([5, -5, 0]), min_size=1, max_size=30), min_size=1),
-       st.integers(1, 9))
-def test_speed_equals_the_fold(spark, sequences, per_slice):
-    got = traced(spark, sequences, per_slice)
+       st.integers(2, 9))
+def test_speed_equals_the_fold(spark, sequences, pieces):
+    got = traced(spark, sequences, pieces)
     for device, deltas in sequences.items():
         car = Car()
         for i, delta in enumerate(deltas):
             assert got[device, i] == pytest.approx(car.pulse(delta))
 
 
-def test_neighbours(spark):
+@pytest.mark.parametrize("pieces", [2, 3, 30])
+def test_neighbours(spark, pieces):
+    """Group "a" is large; a third of its rows share one moment; a null key is a group too."""
     rng = random.Random(3)
-    df = spark.createDataFrame([(rng.choice("ab"), i, rng.randrange(3)) for i in range(200)], "g STRING, i INT, v INT")
-    slices = F.floor(F.col("i") / 7)
-    window = Window.partitionBy("g").orderBy("i")
+    moments = [(50 if rng.random() < 0.4 else i) for i in range(200)]
+    rows = [(rng.choice(["a", "a", "a", "a", "b", None]), m, i, rng.randrange(3)) for i, m in enumerate(moments)]
+    df = spark.createDataFrame(rows, "g STRING, at INT, i INT, v INT")
+    sections = ordered.Sections(df, ["g"], ["at", "i"], pieces)
+    assert sections.needed
+    window = Window.partitionBy("g").orderBy("at", "i")
     expected = df.withColumns({"p": F.lag("v").over(window), "f": F.lead("v").over(window)})
-    got = ordered.previous(df, ["g"], ["i"], slices, F.col("v"), "p")
-    got = ordered.following(got, ["g"], ["i"], slices, F.col("v"), "f")
-    assert sorted(map(tuple, got.fillna(-1).collect())) == sorted(map(tuple, expected.fillna(-1).collect()))
+    got = ordered.previous(df, sections, F.col("v"), "p")
+    got = ordered.following(got, sections, F.col("v"), "f")
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))

@@ -9,11 +9,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemill.operators.aggregates import maximum
 from tidemill.operators.joins import new_rows, same
-from tidemill.operators.ordered import dense_keys, following, previous
+from tidemill.operators.ordered import Sections, dense_keys, following, previous
 from tidemill.operators.sets import keep_first
 
 
@@ -100,33 +99,25 @@ def scd1(
     return upsert(dimension, known.unionByName(fresh), [surrogate], check=False)
 
 
-def _time_slice(log: DataFrame, column: str) -> Column:
-    kind = log.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.to_date(column)
-    return F.col(column)
-
-
 def scd2(
     log: DataFrame,
     keys: Sequence[str],
     sequence: Sequence[str],
     tracked: Sequence[str],
-    slice_by: Column | None = None,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Every version of every key, valid in ``[valid_from, valid_to)``.
 
     ``sequence`` orders the log (its first column dates the versions). Repeats without a
-    change collapse into one version. ``slice_by`` cuts a key's log into pieces in that order
-    (days by default), so a key with a very long history is not one task's work.
+    change collapse into one version. A key with a very long history is not one task's work.
     """
     moment = sequence[0]
-    slices = slice_by if slice_by is not None else _time_slice(log, moment)
     log = log.select(*keys, *dict.fromkeys([*sequence, *tracked]))
+    sections = Sections(log, keys, sequence, pieces)
     state = F.struct(*tracked)
-    before = previous(log, keys, sequence, slices, state, "_before")
+    before = previous(log, sections, state, "_before")
     versions = before.filter(~F.col("_before").eqNullSafe(state)).drop("_before")
-    versions = following(versions, keys, sequence, slices, F.col(moment), "valid_to")
+    versions = following(versions, sections, F.col(moment), "valid_to")
     return versions.select(
         *keys, *tracked, F.col(moment).alias("valid_from"), "valid_to",
         F.col("valid_to").isNull().alias("is_current"),

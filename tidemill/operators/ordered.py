@@ -1,31 +1,27 @@
 """Ordered calculations that stay parallel inside one group.
 
 A plain window sends a whole group to one task, so a year or a device that holds a third of
-all rows becomes the slowest task of the job. Here every group is cut into slices that follow
-the order: the window runs per (group, slice), a small per-slice summary carries totals from
-earlier slices over, and the two are joined on the same key, so the rows shuffle once.
+all rows becomes the slowest task of the job. ``Sections`` finds such groups and cuts them
+along the order; the window then runs per section, a small summary per section carries
+totals over from earlier ones, and the two are joined on the section, so rows shuffle once.
+Where no group is large, the plain window is used.
 
-The result does not depend on where the cuts fall; they only balance the work.
+Results do not depend on where the cuts fall; they only balance the work.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
+from pyspark.sql import Window, WindowSpec
 
-KEY = "_slice_key"
-
-
-def _pieces(df: DataFrame, pieces: int | None) -> int:
-    if pieces:
-        return max(2, pieces)
-    return min(1024, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+KEY, LARGE = "_section", "_large"
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
@@ -48,35 +44,113 @@ def _as_number(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def _exact(df: DataFrame, name: str) -> bool:
-    """Whether equal numbers from ``_as_number`` always mean equal values."""
-    return isinstance(
-        df.schema[name].dataType,
-        (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType,
-         T.DateType, T.TimestampType, T.TimestampNTZType),
-    )
+# Types for which equal numbers from ``_as_number`` always mean equal values.
+EXACT = (
+    T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType,
+    T.DateType, T.TimestampType, T.TimestampNTZType,
+)
 
 
-def add_slices(df: DataFrame, order: str, pieces: int, out: str) -> tuple[DataFrame, list[int]]:
-    """Add the slice number of ``order`` as ``out``; also return slices holding one value only.
+class Cuts:
+    """Approximate quantiles of a column: one aggregate, of which ``pieces - 1`` numbers
+    reach the driver.
+
+    A value that fills several quantiles gets a slice of its own (``single``). Nulls get
+    slice -1, which is where Spark sorts them.
+    """
 
-    Cuts are approximate quantiles: one aggregate over one column, of which ``pieces - 1``
-    numbers reach the driver. A value that fills several quantiles gets a slice of its own.
-    Nulls get slice -1, which is where Spark sorts them.
+    def __init__(self, df: DataFrame, name: str, pieces: int):
+        self.number = _as_number(df, name)
+        shares = [i / pieces for i in range(1, pieces)]
+        found = df.agg(F.percentile_approx(self.number, shares, 10000)).first()[0] or []
+        cuts = [c for c in found if math.isfinite(c)]
+        exact = isinstance(df.schema[name].dataType, EXACT)
+        crowded = {c for c in cuts if cuts.count(c) > 1} if exact else set()
+        inner = sorted(set(cuts) | {math.nextafter(c, math.inf) for c in crowded}) or [0.0]
+        self.splits = [-math.inf, *inner, math.inf]
+        self.single = [self.splits.index(c) for c in crowded]
+
+    def add(self, df: DataFrame, out: str) -> DataFrame:
+        bucketed = Bucketizer(
+            splits=self.splits, inputCol="_number", outputCol=out, handleInvalid="keep"
+        ).transform(df.withColumn("_number", self.number))
+        return bucketed.withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(-1))).drop("_number")
+
+
+class Sections:
+    """How the large groups of a frame are cut along ``order`` (one or more columns).
+
+    A group is large if it holds more than one of ``pieces`` equal parts of all rows, so
+    there are fewer than ``pieces`` large groups, whatever the data.
     """
-    number = f"_{out}_number"
-    df = df.withColumn(number, _as_number(df, order))
-    shares = [i / pieces for i in range(1, pieces)]
-    found = df.agg(F.percentile_approx(number, shares, 10000)).first()[0] or []
-    cuts = [c for c in found if math.isfinite(c)]
-    crowded = {c for c in cuts if cuts.count(c) > 1} if _exact(df, order) else set()
-    inner = sorted(set(cuts) | {math.nextafter(c, math.inf) for c in crowded}) or [0.0]
-    splits = [-math.inf, *inner, math.inf]
-    bucketed = Bucketizer(
-        splits=splits, inputCol=number, outputCol=out, handleInvalid="keep"
-    ).transform(df)
-    slot = F.coalesce(F.col(out).cast("int"), F.lit(-1))
-    return bucketed.withColumn(out, slot).drop(number), [splits.index(c) for c in crowded]
+
+    def __init__(self, df: DataFrame, by: Sequence[str], order: Sequence[str], pieces: int | None = None):
+        conf = df.sparkSession.conf
+        pieces = pieces or min(1024, int(conf.get("spark.sql.shuffle.partitions")))
+        self.pieces, self.by, self.order = max(2, pieces), list(by), list(order)
+        self.large = self._large_groups(df)
+        self.needed = not by or bool(self.large)
+        if self.needed:
+            rows = self._mark(df).filter(LARGE)
+            self.cuts = Cuts(rows, self.order[0], self.pieces)
+            # One value may hold any share of the rows; its rows are cut along the next column.
+            tied = self.cuts.single and len(self.order) > 1
+            self.tie_cuts = Cuts(rows, self.order[1], self.pieces) if tied else None
+
+    def _large_groups(self, df: DataFrame) -> list:
+        if not self.by:
+            return []
+        sizes = df.groupBy(*self.by).agg(F.count("*").alias("_rows"))
+        share = sizes.select(F.sum("_rows") / self.pieces).scalar()
+        return sizes.filter(F.col("_rows") > share).select(*self.by).take(self.pieces)
+
+    def _mark(self, df: DataFrame) -> DataFrame:
+        if not self.by:
+            return df.withColumn(LARGE, F.lit(True))
+        groups = df.sparkSession.createDataFrame(self.large, df.select(*self.by).schema)
+        groups = groups.withColumnsRenamed({c: f"_large_{c}" for c in self.by})
+        same = reduce(
+            lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_large_{c}")) for c in self.by]
+        )
+        marked = df.join(F.broadcast(groups.withColumn(LARGE, F.lit(True))), same, "left")
+        return marked.drop(*groups.columns).withColumn(LARGE, F.coalesce(LARGE, F.lit(False)))
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Add the section of every row; small groups are one section each."""
+        if not self.needed:
+            return df.withColumn(KEY, F.struct(*self.by))
+        cut = self.cuts.add(self._mark(df), "_slice")
+        if self.tie_cuts:
+            cut = self.tie_cuts.add(cut, "_part")
+        else:
+            cut = cut.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(self.pieces)).cast("int"))
+        part = F.when(F.col("_slice").isin(self.cuts.single), F.col("_part")).otherwise(0)
+        zero = F.lit(0)
+        section = F.struct(
+            *self.by,
+            F.when(F.col(LARGE), F.col("_slice")).otherwise(zero).alias("_slice"),
+            F.when(F.col(LARGE), part).otherwise(zero).alias("_part"),
+        )
+        return cut.withColumn(KEY, section).drop("_slice", "_part")
+
+    def summary(self, rows: DataFrame, *aggregates: Column) -> DataFrame:
+        """Totals of the sections of large groups."""
+        return rows.filter(LARGE).groupBy(KEY).agg(*aggregates)
+
+    def group(self) -> WindowSpec:
+        return Window.partitionBy(*[F.col(f"{KEY}.{c}") for c in self.by])
+
+    def across(self, descending: bool = False) -> WindowSpec:
+        """The sections of one group in order."""
+        slot = F.col(f"{KEY}._slice")
+        return self.group().orderBy(slot.desc() if descending else slot.asc(), F.col(f"{KEY}._part"))
+
+    def join(self, rows: DataFrame, summary: DataFrame) -> DataFrame:
+        return rows.join(summary, KEY, "left")
+
+
+def _or_zero(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0))
 
 
 def ranked(
@@ -96,65 +170,50 @@ def ranked(
     Rows are ordered by ``order``; ``tie`` decides between equal rows and only matters for
     ``row_number``. Nulls sort first ascending and last descending, as in Spark.
     """
-    pieces = _pieces(df, pieces)
-    columns, by = df.columns, list(by)
-    sliced, single_valued = add_slices(df, order, pieces, "_slice")
-
-    # One value may hold any share of the rows: spread its rows over further pieces, in the
-    # order of the tie-break where there is one.
-    if single_valued:
-        if tie:
-            sliced, _ = add_slices(sliced, tie, pieces, "_part")
-            part = F.col("_part")
-        else:
-            part = F.pmod(F.xxhash64(*columns), F.lit(pieces)).cast("int")
-        part = F.when(F.col("_slice").isin(single_valued), part).otherwise(0)
-    else:
-        part = F.lit(0)
-    sliced = sliced.withColumn(KEY, F.struct(*by, "_slice", part.alias("_part")))
-    sliced = sliced.drop("_slice", "_part")
-
+    sections = Sections(df, by, [order, tie] if tie else [order], pieces)
+    rows = sections.add(df)
+    key = F.col(order).desc() if descending else F.col(order).asc()
+    inside = Window.partitionBy(KEY).orderBy(key)
+    inside_rows = Window.partitionBy(KEY).orderBy(key, F.col(tie)) if tie else inside
+
+    asked = {"row": (row_number, F.row_number().over(inside_rows)),
+             "rank": (rank, F.rank().over(inside)),
+             "dense": (dense_rank, F.dense_rank().over(inside))}
+    asked = {kind: pair for kind, pair in asked.items() if pair[0]}
+    rows = rows.withColumns({f"_{kind}": number for kind, (_, number) in asked.items()})
+    result = {name: F.col(f"_{kind}") for kind, (name, _) in asked.items()}
+    if sections.needed:
+        rows = sections.join(rows, _rank_bases(sections, sections.add(df), order, descending, dense_rank))
+        result = {name: _or_zero(f"_{kind}_base") + F.col(f"_{kind}") for kind, (name, _) in asked.items()}
+    kept = [F.col(c) for c in df.columns if c not in result]
+    return rows.select(*kept, *[number.cast("bigint").alias(name) for name, number in result.items()])
+
+
+def _rank_bases(sections: Sections, rows: DataFrame, order: str, descending: bool, dense: str | None) -> DataFrame:
+    """Rows and values ahead of each section."""
     totals = [F.count("*").alias("_rows")]
-    if dense_rank:
+    if dense:
         totals.append(F.countDistinct(order).alias("_values"))
         totals.append(F.max(F.col(order).isNull().cast("int")).alias("_null"))
-    slices = sliced.groupBy(KEY).agg(*totals)
+    summary = sections.summary(rows, *totals)
 
     slot = F.col(f"{KEY}._slice")
-    slot_order = slot.desc() if descending else slot.asc()
-    group = Window.partitionBy(*[F.col(f"{KEY}.{name}") for name in by])
-    ahead = group.orderBy(slot_order, F.col(f"{KEY}._part"))
-    earlier_parts = ahead.rowsBetween(Window.unboundedPreceding, -1)
-    earlier_slices = group.orderBy(slot_order).rangeBetween(Window.unboundedPreceding, -1)
+    ahead = sections.across(descending)
+    earlier_sections = ahead.rowsBetween(Window.unboundedPreceding, -1)
+    earlier_slices = sections.group().orderBy(slot.desc() if descending else slot.asc())
+    earlier_slices = earlier_slices.rangeBetween(Window.unboundedPreceding, -1)
     bases = {
-        "_row_base": F.coalesce(F.sum("_rows").over(earlier_parts), F.lit(0)),
-        "_rank_base": F.coalesce(F.sum("_rows").over(earlier_slices), F.lit(0)),
+        "_row_base": F.sum("_rows").over(earlier_sections),
+        "_rank_base": F.sum("_rows").over(earlier_slices),
     }
-    if dense_rank:
-        # A value spread over several parts counts once, at its first part.
+    if dense:
+        # A value spread over several sections counts once, at the first of them.
         repeated = F.lag(slot).over(ahead).eqNullSafe(slot)
-        slices = slices.withColumn(
+        summary = summary.withColumn(
             "_new", F.when(repeated, 0).otherwise(F.col("_values") + F.col("_null"))
         )
-        bases["_dense_base"] = F.coalesce(F.sum("_new").over(earlier_slices), F.lit(0))
-    slices = slices.withColumns(bases).select(KEY, *bases)
-
-    key = F.col(order).desc() if descending else F.col(order).asc()
-    inside = Window.partitionBy(KEY).orderBy(key)
-    inside_rows = inside if tie is None else Window.partitionBy(KEY).orderBy(key, F.col(tie))
-    local, final = {}, {}
-    if row_number:
-        local["_n"] = F.row_number().over(inside_rows)
-        final[row_number] = F.col("_row_base") + F.col("_n")
-    if rank:
-        local["_r"] = F.rank().over(inside)
-        final[rank] = F.col("_rank_base") + F.col("_r")
-    if dense_rank:
-        local["_d"] = F.dense_rank().over(inside)
-        final[dense_rank] = F.col("_dense_base") + F.col("_d")
-    joined = sliced.withColumns(local).join(slices, KEY)
-    kept = [F.col(c) for c in columns if c not in final]
-    return joined.select(*kept, *[v.cast("bigint").alias(k) for k, v in final.items()])
+        bases["_dense_base"] = F.sum("_new").over(earlier_slices)
+    return summary.withColumns(bases).select(KEY, *bases)
 
 
 def dense_keys(
@@ -178,85 +237,75 @@ def batch_numbers(
     ).drop("_position")
 
 
-def _keyed(df: DataFrame, by: Sequence[str], slice_by: Column) -> DataFrame:
-    return df.withColumn(KEY, F.struct(*by, slice_by.alias("_slice")))
-
-
-def _across(by: Sequence[str]):
-    return Window.partitionBy(*[F.col(f"{KEY}.{c}") for c in by]).orderBy(F.col(f"{KEY}._slice"))
-
-
-def previous(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], slice_by: Column, value: Column, name: str
-) -> DataFrame:
-    """``lag(value)`` in a group; ``slice_by`` must not decrease along ``order``.
+def previous(df: DataFrame, sections: Sections, value: Column, name: str) -> DataFrame:
+    """``lag(value)`` along the sections' order, which must leave no ties.
 
     ``value`` must not be null (wrap nullable columns in a struct).
     """
-    keyed = _keyed(df, by, slice_by).withColumn("_value", value)
-    last = keyed.groupBy(KEY).agg(F.max_by("_value", F.struct(*order)).alias("_last"))
-    last = last.select(KEY, F.lag("_last").over(_across(by)).alias("_carried"))
-    local = F.lag("_value").over(Window.partitionBy(KEY).orderBy(*order))
-    joined = keyed.withColumn("_local", local).join(last, KEY)
-    return joined.withColumn(name, F.coalesce("_local", "_carried")).select(*df.columns, name)
+    return _neighbour(df, sections, value, name, F.lag, F.max_by)
 
 
-def following(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], slice_by: Column, value: Column, name: str
-) -> DataFrame:
-    """``lead(value)`` in a group; the mirror image of ``previous``."""
-    keyed = _keyed(df, by, slice_by).withColumn("_value", value)
-    first = keyed.groupBy(KEY).agg(F.min_by("_value", F.struct(*order)).alias("_first"))
-    first = first.select(KEY, F.lead("_first").over(_across(by)).alias("_carried"))
-    local = F.lead("_value").over(Window.partitionBy(KEY).orderBy(*order))
-    joined = keyed.withColumn("_local", local).join(first, KEY)
-    return joined.withColumn(name, F.coalesce("_local", "_carried")).select(*df.columns, name)
+def following(df: DataFrame, sections: Sections, value: Column, name: str) -> DataFrame:
+    """``lead(value)``; the mirror image of ``previous``."""
+    return _neighbour(df, sections, value, name, F.lead, F.min_by)
+
+
+def _neighbour(df, sections, value, name, step, nearest) -> DataFrame:
+    rows = sections.add(df).withColumn("_value", value)
+    local = rows.withColumn("_local", step("_value").over(Window.partitionBy(KEY).orderBy(*sections.order)))
+    if not sections.needed:
+        return local.select(*df.columns, F.col("_local").alias(name))
+    edge = sections.summary(rows, nearest("_value", F.struct(*sections.order)).alias("_edge"))
+    edge = edge.select(KEY, step("_edge").over(sections.across()).alias("_carried"))
+    joined = sections.join(local, edge)
+    return joined.select(*df.columns, F.coalesce("_local", "_carried").alias(name))
 
 
 def speed_trace(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], slice_by: Column, delta: Column
+    df: DataFrame, by: Sequence[str], order: Sequence[str], delta: Column, pieces: int | None = None
 ) -> DataFrame:
     """Speed, odometer, step number and average speed after each pulse of a device.
 
     A pulse adds ``delta``; the speed never falls below 0. With S the running sum of the
     pulses, that speed is S less the lowest S so far (or less 0 while S stayed positive).
     """
+    sections = Sections(df, by, order, pieces)
     inside = Window.partitionBy(KEY).orderBy(*order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
-    earlier = _across(by).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0)
 
-    pulses = _keyed(df, by, slice_by).withColumn("_delta", F.coalesce(delta, zero))
-    pulses = pulses.withColumn("_sum", F.sum("_delta").over(so_far))
-    pulses = pulses.withColumns(
-        {"_low": F.min("_sum").over(so_far), "_n": F.row_number().over(inside)}
-    )
-    slices = pulses.groupBy(KEY).agg(
-        F.sum("_delta").alias("_total"), F.min("_sum").alias("_lowest"), F.count("*").alias("_rows")
-    )
-    slices = slices.withColumns({
-        "_base": F.coalesce(F.sum("_total").over(earlier), zero),
-        "_steps": F.coalesce(F.sum("_rows").over(earlier), zero),
+    rows = sections.add(df).withColumn("_delta", F.coalesce(delta, zero))
+    rows = rows.withColumn("_sum", F.sum("_delta").over(so_far))
+    rows = rows.withColumns({"_low": F.min("_sum").over(so_far), "_n": F.row_number().over(inside)})
+    if sections.needed:
+        earlier = sections.across().rowsBetween(Window.unboundedPreceding, -1)
+        summary = sections.summary(
+            rows, F.sum("_delta").alias("_total"), F.min("_sum").alias("_lowest"), F.count("*").alias("_rows")
+        )
+        summary = summary.withColumns({
+            "_base": F.coalesce(F.sum("_total").over(earlier), zero),
+            "_steps": F.sum("_rows").over(earlier),
+        })
+        lowest = F.min(F.col("_base") + F.col("_lowest")).over(earlier)
+        summary = summary.select(KEY, "_base", "_steps", F.least(zero, lowest).alias("_floor"))
+        rows = sections.join(rows, summary)
+    else:
+        rows = rows.withColumns({"_base": zero, "_steps": zero, "_floor": zero})
+    lowest = F.least(_or_zero("_floor"), _or_zero("_base") + F.col("_low"))
+    rows = rows.withColumns({
+        "speed": _or_zero("_base") + F.col("_sum") - lowest,
+        "step": (_or_zero("_steps") + F.col("_n")).cast("bigint"),
     })
-    slices = slices.withColumn(
-        "_floor", F.least(zero, F.min(F.col("_base") + F.col("_lowest")).over(earlier))
-    ).select(KEY, "_base", "_steps", "_floor")
-    speed = pulses.join(slices, KEY).withColumn(
-        "speed",
-        F.col("_base") + F.col("_sum") - F.least(F.col("_floor"), F.col("_base") + F.col("_low")),
-    )
-    speed = speed.withColumn("step", F.col("_steps") + F.col("_n"))
 
-    driven = speed.groupBy(KEY).agg(F.sum("speed").alias("_driven"))
-    driven = driven.select(
-        KEY, F.coalesce(F.sum("_driven").over(earlier), zero).alias("_odometer_base")
-    )
-    out = speed.withColumn("_odometer", F.sum("speed").over(so_far)).join(driven, KEY)
-    odometer = F.col("_odometer_base") + F.col("_odometer")
-    return out.select(
-        *df.columns,
-        "speed",
-        odometer.alias("odometer"),
-        F.col("step").cast("bigint").alias("step"),
+    driven = rows.withColumn("_driven", F.sum("speed").over(so_far))
+    if sections.needed:
+        summary = sections.summary(rows, F.sum("speed").alias("_distance"))
+        summary = summary.select(KEY, F.sum("_distance").over(earlier).alias("_driven_base"))
+        driven = sections.join(driven, summary)
+    else:
+        driven = driven.withColumn("_driven_base", zero)
+    odometer = _or_zero("_driven_base") + F.col("_driven")
+    return driven.select(
+        *df.columns, "speed", odometer.alias("odometer"), "step",
         (odometer / F.col("step")).alias("average_speed"),
     )

@@ -77,9 +77,7 @@ def batch_numbers(t):
 def pulses(t) -> DataFrame:
     delta = F.when(F.col("event_type") == "click", 5).when(F.col("event_type") == "error", -5).otherwise(0)
     events = t.events.select("event_id", "user_id", "ts", delta.alias("delta"))
-    return ordered.speed_trace(
-        events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), F.col("delta")
-    )
+    return ordered.speed_trace(events, ["user_id"], ["ts", "event_id"], F.col("delta"))
 
 
 SPEED_SQL = """
