@@ -55,11 +55,15 @@ def latest(log: DataFrame, keys: Sequence[str], *newest: Column) -> DataFrame:
 
 
 def newer_than_stored(source: DataFrame, target: DataFrame | None, column: str) -> DataFrame:
-    """Rows newer than the newest stored one; everything on the first run."""
-    if target is None:
+    """Rows newer than the newest stored one; everything on the first run.
+
+    The mark, one value, is fetched first: as a constant it reaches the scan of the source,
+    which then skips what is older.
+    """
+    mark = None if target is None else target.select(F.max(column).cast("string")).first()[0]
+    if mark is None:
         return source
-    mark = target.select(F.max(column)).scalar()
-    return source.filter(mark.isNull() | (F.col(column) > mark))
+    return source.filter(F.col(column) > F.lit(mark).cast(source.schema[column].dataType))
 
 
 def update_where(df: DataFrame, condition: Column, **values: Column) -> DataFrame:

@@ -26,13 +26,12 @@ def fact_upsert(t):
 
     Customer 7 is unknown to the dimension, so its key is null on both sides.
     """
-    year = F.year("o_orderdate")
     keyed = t.orders.withColumn("o_custkey", F.nullif("o_custkey", F.lit(7)))
     pick = lambda df, updated, amount: df.select(
         "o_orderkey", "o_custkey", F.lit(updated).alias("updated"), amount.alias("amount")
     )
-    target = pick(keyed.filter(year < 2000), False, F.col("o_totalprice"))
-    source = pick(keyed.filter(year >= 1999), True, F.round(F.col("o_totalprice") * 1.1, 4))
+    target = pick(keyed.filter("o_orderdate < TIMESTAMP_NTZ '2000-01-01'"), False, F.col("o_totalprice"))
+    source = pick(keyed.filter("o_orderdate >= TIMESTAMP_NTZ '1999-01-01'"), True, F.round(F.col("o_totalprice") * 1.1, 4))
     return changes.upsert(target, source, ["o_orderkey", "o_custkey"])
 
 
@@ -48,10 +47,11 @@ def fact_upsert(t):
 def scd1(t):
     """Nations below 15 load first; nations from 10 arrive later with a changed segment, each row twice."""
     first = t.customer.filter("c_nationkey < 15").select("c_custkey", "c_mktsegment")
-    dimension = changes.scd1(None, first, "c_custkey", "dim_key", moment("2025-01-01 00:00:00"))
+    dimension = SnapshotTable(t.spark, t.scratch("dimension"))
+    dimension.commit(changes.scd1(None, first, "c_custkey", "dim_key", moment("2025-01-01 00:00:00")), "write", T0)
     feed = t.customer.filter("c_nationkey >= 10").select("c_custkey", F.lower("c_mktsegment").alias("c_mktsegment"))
     return changes.scd1(
-        dimension, feed.unionByName(feed), "c_custkey", "dim_key", moment("2025-02-01 00:00:00")
+        dimension.read(), feed.unionByName(feed), "c_custkey", "dim_key", moment("2025-02-01 00:00:00")
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,13 +66,30 @@ def parse_location(location):
     return F.struct(F.get(pair, F.lit(0)).alias("lat"), F.get(pair, F.lit(1)).alias("lon"))
 
 
+@contextmanager
+def sized_state(spark: SparkSession):
+    """Start streams with at most two state partitions per core.
+
+    A stream keeps the partition count of its first run, and every partition writes its state
+    in every micro-batch, so the count for batch shuffles is usually too high.
+    """
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    fitting = min(int(before), 2 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(fitting))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def write_feed(df: DataFrame, path: str, checkpoint: str, drain: bool = False) -> StreamingQuery:
     """Append a stream to Parquet; ``drain`` stops after the data available now."""
     writer = (
         df.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint).option("path", path)
     )
-    return (writer.trigger(availableNow=True) if drain else writer).start()
+    with sized_state(df.sparkSession):
+        return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
 def write_feeds(feeds: Mapping[str, DataFrame], folder: str, drain: bool = False) -> dict[str, StreamingQuery]:
