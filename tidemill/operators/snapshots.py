@@ -1,93 +1,142 @@
-"""Tables kept as numbered Parquet snapshots, with a history beside them.
+"""Versioned Parquet tables: each version is a list of files, and changes add files only.
 
-Every change writes a new ``version=N`` folder and then one history row; readers use the
-highest version in the history, so an unfinished write is never seen and no folder is
-overwritten while it is read. One writer at a time.
+``data/version=N`` holds the files a change wrote, ``manifest/version=N`` names all files of
+version N with their row counts, and ``history`` gets one row per commit, written last. A
+change rewrites only the files that hold matching rows, and a restore writes no data at all.
+Readers take the highest version in the history, so an unfinished change is never seen and no
+file is overwritten while it is read. One writer at a time.
+
+What reaches the driver is lists of files, never rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators.changes import delete_where, update_where, upsert
+from tidemill.operators.changes import delete_where, require_unique, update_where, upsert
+from tidemill.operators.joins import same
+
+HISTORY = {
+    "version": "int", "committed_at": "timestamp_ntz", "operation": "string",
+    "rows": "bigint", "files": "int", "source": "int",
+}
+MANIFEST = "path STRING, rows BIGINT"
+
 
-HISTORY = "version INT, committed_at TIMESTAMP_NTZ, operation STRING, rows BIGINT, files INT, source INT"
+def _file() -> Column:
+    """Path of a row's file below ``data``."""
+    return F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)$", 1)
 
 
 class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _folder(self, version: int) -> str:
-        return f"{self.root}/version={version}"
-
     def history(self) -> DataFrame:
         """One row per commit."""
+        schema = ", ".join(f"{name} {kind}" for name, kind in HISTORY.items())
         try:
-            return self.spark.read.schema(HISTORY).parquet(f"{self.root}/history")
+            return self.spark.read.schema(schema).parquet(f"{self.root}/history")
         except AnalysisException:
-            return self.spark.createDataFrame([], HISTORY)
+            return self.spark.createDataFrame([], schema)
 
     def current_version(self) -> int | None:
         return self.history().agg(F.max("version")).first()[0]
 
+    def manifest(self, version: int) -> DataFrame:
+        """Files and row counts of a version."""
+        return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/version={version}")
+
     def read(self, version: int | None = None) -> DataFrame:
         if version is None:
             version = self.current_version()
         if version is None:
             raise ValueError(f"no version committed below {self.root}")
-        return self.spark.read.parquet(self._folder(version))
+        return self._open([row.path for row in self.manifest(version).collect()])
 
-    def commit(self, df: DataFrame, operation: str, at: datetime | None = None,
-               source: int | None = None) -> int:
-        """Store ``df`` as the next version and return its number."""
-        return self._commit(self.current_version(), df, operation, at, source)
+    def _open(self, files: Iterable[str]) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.root}/data/{file}" for file in files])
 
-    def _commit(self, last: int | None, df: DataFrame, operation: str,
-                at: datetime | None = None, source: int | None = None) -> int:
-        version = 0 if last is None else last + 1
-        df.write.mode("overwrite").parquet(self._folder(version))
-        stored = self.spark.read.parquet(self._folder(version))
-        entry = {
-            "version": version,
-            "committed_at": at or datetime.now(timezone.utc).replace(tzinfo=None),
-            "operation": operation,
-            "rows": stored.count(),
-            "files": len(stored.inputFiles()),
-            "source": source,
-        }
-        kinds = dict(field.split() for field in HISTORY.split(", "))
-        row = self.spark.range(0, 1, 1, 1).select(
-            *[F.lit(value).cast(kinds[name]).alias(name) for name, value in entry.items()]
-        )
-        row.write.mode("append").parquet(f"{self.root}/history")
-        return version
+    def commit(self, df: DataFrame, operation: str, at: datetime | None = None) -> int:
+        """Store ``df`` as the whole next version and return its number."""
+        return self._add(self.current_version(), df, [], operation, at)
 
     def update(self, condition: Column, at: datetime | None = None, **values: Column) -> int:
-        last = self.current_version()
-        return self._commit(last, update_where(self.read(last), condition, **values), "update", at)
+        return self._rewrite(condition, lambda df: update_where(df, condition, **values), "update", at)
 
     def delete(self, condition: Column, at: datetime | None = None) -> int:
-        last = self.current_version()
-        return self._commit(last, delete_where(self.read(last), condition), "delete", at)
+        return self._rewrite(condition, lambda df: delete_where(df, condition), "delete", at)
 
     def merge(self, source: DataFrame, keys: list[str], at: datetime | None = None) -> int:
         """Upsert; the first call creates the table."""
+        require_unique(source, keys)
         last = self.current_version()
-        target = None if last is None else self.read(last)
-        return self._commit(last, upsert(target, source, keys), "merge", at)
+        if last is None:
+            return self._add(None, source, [], "merge", at)
+        arriving = source.select(*keys).alias("new")
+        matching = same("old", "new", [(k, k) for k in keys], null_safe=True)
+        files = self.manifest(last).collect()
+        stored = self._open([row.path for row in files]).withColumn("_file", _file()).alias("old")
+        touched = self._files(stored.join(arriving, matching, "left_semi").select("_file"))
+        changed = upsert(self._open(touched), source, keys, check=False) if touched else source
+        kept = [row for row in files if row.path not in touched]
+        return self._add(last, changed, kept, "merge", at)
 
     def restore(self, version: int, at: datetime | None = None) -> int:
-        """Make an old version current again, as a new version."""
-        return self.commit(self.read(version), "restore", at, source=version)
+        """Make an old version current again, as a new version over the same files."""
+        last = self.current_version()
+        return self._record(last, self.manifest(version).collect(), "restore", at, version)
 
     def compact(self, files: int, at: datetime | None = None) -> int:
         """Rewrite the current version into fewer files."""
-        return self.commit(self.read().repartition(files), "compact", at)
+        last = self.current_version()
+        return self._add(last, self.read(last).repartition(files), [], "compact", at)
+
+    def _files(self, paths: DataFrame) -> set[str]:
+        return {row[0] for row in paths.distinct().collect()}
+
+    def _rewrite(self, condition: Column, change, operation: str, at: datetime | None) -> int:
+        last = self.current_version()
+        files = self.manifest(last).collect()
+        stored = self._open([row.path for row in files])
+        touched = self._files(stored.filter(condition).select(_file()))
+        kept = [row for row in files if row.path not in touched]
+        if not touched:
+            return self._record(last, kept, operation, at)
+        return self._add(last, change(self._open(touched)), kept, operation, at)
+
+    def _add(self, last: int | None, df: DataFrame, kept: list, operation: str, at: datetime | None) -> int:
+        """Write ``df`` as new files and commit them beside the kept ones."""
+        folder = f"version={0 if last is None else last + 1}"
+        df.write.mode("overwrite").parquet(f"{self.root}/data/{folder}")
+        written = self.spark.read.schema(df.schema).parquet(f"{self.root}/data/{folder}")
+        rows = dict(written.groupBy(_file()).count().collect())
+        names = [f"{folder}/{path.rsplit('/', 1)[1]}" for path in written.inputFiles()]
+        return self._record(last, [*kept, *[(n, rows.get(n, 0)) for n in names]], operation, at)
+
+    def _record(self, last: int | None, files: list, operation: str, at: datetime | None,
+                source: int | None = None) -> int:
+        version = 0 if last is None else last + 1
+        listed = self.spark.createDataFrame([tuple(f) for f in files], MANIFEST)
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/version={version}")
+        entry = {
+            "version": version,
+            "committed_at": at or datetime.now(timezone.utc).replace(tzinfo=None),
+            "operation": operation,
+            "rows": sum(rows for _, rows in files),
+            "files": len(files),
+            "source": source,
+        }
+        row = self.spark.range(0, 1, 1, 1).select(
+            *[F.lit(value).cast(HISTORY[name]).alias(name) for name, value in entry.items()]
+        )
+        row.write.mode("append").parquet(f"{self.root}/history")
+        return version
 
     def detail(self) -> DataFrame:
         """Current version, rows, files and first and last commit."""
@@ -100,17 +149,16 @@ class SnapshotTable:
             F.max("committed_at").alias("changed_at"),
         ).withColumn("location", F.lit(self.root))
 
-    def vacuum(self, now: datetime, keep: timedelta = timedelta(hours=168)) -> list[int]:
-        """Delete versions replaced before ``now - keep``; never the current one."""
-        commits = self.history().select("version", "committed_at").orderBy("version").toLocalIterator()
-        dropped, previous = [], None
-        for row in commits:
-            if previous is not None and row.committed_at < now - keep:
-                dropped.append(previous)
-            previous = row.version
+    def vacuum(self, now: datetime, keep: timedelta = timedelta(hours=168)) -> list[str]:
+        """Delete files that no version current after ``now - keep`` uses; return their paths."""
+        commits = self.history().select("version", "committed_at").orderBy("version").collect()
+        current_since = [row.version for row in commits if row.committed_at <= now - keep]
+        kept = [row.version for row in commits if not current_since or row.version >= current_since[-1]]
+        used = {row.path for v in kept for row in self.manifest(v).collect()}
+        old = {row.path for c in commits if c.version not in kept for row in self.manifest(c.version).collect()}
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for version in dropped:
-            path = hadoop.Path(self._folder(version))
-            path.getFileSystem(conf).delete(path, True)
-        return dropped
+        for file in sorted(old - used):
+            path = hadoop.Path(f"{self.root}/data/{file}")
+            path.getFileSystem(conf).delete(path, False)
+        return sorted(old - used)

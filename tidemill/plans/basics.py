@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import semi, text, values
 from tidemill.operators import filters
+from tidemill.plans.ingest import delta_tree
 from tidemill.plans.registry import query
 
 
@@ -267,6 +268,14 @@ def default_text(t):
     return t.customer.select("c_custkey", text.or_missing(segment).alias("segment"))
 
 
+@query("str_16_name_from_path", """
+    SELECT 'orders' AS table_name, strftime(o_orderdate, '%Y') || '0101' AS batch_date,
+           CASE WHEN o_orderstatus = 'F' THEN '00' ELSE '01' END AS batch_hour, count(*) AS n
+    FROM orders GROUP BY 1, 2, 3""")
+def name_from_path(t):
+    return delta_tree(t).groupBy("table_name", "batch_date", "batch_hour").agg(F.count("*").alias("n"))
+
+
 @query("dt_01_to_timestamp", "SELECT o_orderkey, o_orderdate AS parsed FROM orders")
 def to_timestamp(t):
     written = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
