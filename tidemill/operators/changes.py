@@ -119,9 +119,13 @@ def scd2(
     log = log.select(*keys, *dict.fromkeys([*sequence, *tracked]))
     sections = Sections(log, keys, sequence, pieces)
     state = F.struct(*tracked)
-    before = previous(log, sections, state, "_before")
-    versions = before.filter(~F.col("_before").eqNullSafe(state)).drop("_before")
-    versions = following(versions, sections, F.col(moment), "valid_to")
+
+    def dated(rows: DataFrame) -> DataFrame:
+        rows = previous(rows, sections, state, "_before")
+        rows = rows.filter(~F.col("_before").eqNullSafe(state)).drop("_before")
+        return following(rows, sections, F.col(moment), "valid_to")
+
+    versions = sections.apply(log, dated)
     return versions.select(
         *keys, *tracked, F.col(moment).alias("valid_from"), "valid_to",
         F.col("valid_to").isNull().alias("is_current"),

@@ -2,9 +2,9 @@
 
 A plain window sends a whole group to one task, so a year or a device that holds a third of
 all rows becomes the slowest task of the job. ``Sections`` finds such groups and cuts them
-along the order; the window then runs per section, a small summary per section carries
-totals over from earlier ones, and the two are joined on the section, so rows shuffle once.
-Where no group is large, the plain window is used.
+along the order. Their windows run per section, and a small summary per section carries
+totals over from earlier ones; it joins on the key the rows are already shuffled by. All
+other groups go through the plain window.
 
 Results do not depend on where the cuts fall; they only balance the work.
 """
@@ -12,7 +12,7 @@ Results do not depend on where the cuts fall; they only balance the work.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window, WindowSpec
 
-KEY, LARGE = "_section", "_large"
+SECTION = "_section"
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
@@ -55,8 +55,8 @@ class Cuts:
     """Approximate quantiles of a column: one aggregate, of which ``pieces - 1`` numbers
     reach the driver.
 
-    A value that fills several quantiles gets a slice of its own (``single``). Nulls get
-    slice -1, which is where Spark sorts them.
+    A value that fills several quantiles gets a slice of its own (``single``). Slices count
+    from 0, which holds the nulls, as Spark sorts them.
     """
 
     def __init__(self, df: DataFrame, name: str, pieces: int):
@@ -68,89 +68,99 @@ class Cuts:
         crowded = {c for c in cuts if cuts.count(c) > 1} if exact else set()
         inner = sorted(set(cuts) | {math.nextafter(c, math.inf) for c in crowded}) or [0.0]
         self.splits = [-math.inf, *inner, math.inf]
-        self.single = [self.splits.index(c) for c in crowded]
+        self.single = [self.splits.index(c) + 1 for c in crowded]
+        self.count = len(self.splits) + 1
 
     def add(self, df: DataFrame, out: str) -> DataFrame:
         bucketed = Bucketizer(
             splits=self.splits, inputCol="_number", outputCol=out, handleInvalid="keep"
         ).transform(df.withColumn("_number", self.number))
-        return bucketed.withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(-1))).drop("_number")
+        return bucketed.withColumn(out, F.coalesce(F.col(out) + 1, F.lit(0)).cast("bigint")).drop("_number")
 
 
 class Sections:
     """How the large groups of a frame are cut along ``order`` (one or more columns).
 
     A group is large if it holds more than one of ``pieces`` equal parts of all rows, so
-    there are fewer than ``pieces`` large groups, whatever the data.
+    there are fewer than ``pieces`` large groups, whatever the data. With no ``by``, the whole
+    frame is one large group.
     """
 
     def __init__(self, df: DataFrame, by: Sequence[str], order: Sequence[str], pieces: int | None = None):
-        conf = df.sparkSession.conf
-        pieces = pieces or min(1024, int(conf.get("spark.sql.shuffle.partitions")))
-        self.pieces, self.by, self.order = max(2, pieces), list(by), list(order)
+        self.by, self.order = list(by), list(order)
+        self.pieces = max(2, pieces or min(1024, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
         self.large = self._large_groups(df)
-        self.needed = not by or bool(self.large)
-        if self.needed:
-            rows = self._mark(df).filter(LARGE)
+        if not self.by or self.large:
+            rows = self._large_rows(df)
             self.cuts = Cuts(rows, self.order[0], self.pieces)
             # One value may hold any share of the rows; its rows are cut along the next column.
             tied = self.cuts.single and len(self.order) > 1
             self.tie_cuts = Cuts(rows, self.order[1], self.pieces) if tied else None
+            self.parts = self.tie_cuts.count if tied else self.pieces
 
-    def _large_groups(self, df: DataFrame) -> list:
+    def _large_groups(self, df: DataFrame) -> DataFrame | None:
         if not self.by:
-            return []
+            return None
         sizes = df.groupBy(*self.by).agg(F.count("*").alias("_rows"))
         share = sizes.select(F.sum("_rows") / self.pieces).scalar()
-        return sizes.filter(F.col("_rows") > share).select(*self.by).take(self.pieces)
-
-    def _mark(self, df: DataFrame) -> DataFrame:
-        if not self.by:
-            return df.withColumn(LARGE, F.lit(True))
-        groups = df.sparkSession.createDataFrame(self.large, df.select(*self.by).schema)
-        groups = groups.withColumnsRenamed({c: f"_large_{c}" for c in self.by})
+        found = sizes.filter(F.col("_rows") > share).select(*self.by).take(self.pieces)
+        if not found:
+            return None
+        schema = T.StructType([T.StructField("_group", T.LongType()), *df.select(*self.by).schema])
+        groups = df.sparkSession.createDataFrame([(i, *row) for i, row in enumerate(found)], schema)
+        return groups.withColumnsRenamed({c: f"_large_{c}" for c in self.by})
+
+    def _match(self, df: DataFrame, how: str) -> DataFrame:
         same = reduce(
             lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_large_{c}")) for c in self.by]
         )
-        marked = df.join(F.broadcast(groups.withColumn(LARGE, F.lit(True))), same, "left")
-        return marked.drop(*groups.columns).withColumn(LARGE, F.coalesce(LARGE, F.lit(False)))
-
-    def add(self, df: DataFrame) -> DataFrame:
-        """Add the section of every row; small groups are one section each."""
-        if not self.needed:
-            return df.withColumn(KEY, F.struct(*self.by))
-        cut = self.cuts.add(self._mark(df), "_slice")
+        return df.join(F.broadcast(self.large), same, how)
+
+    def _large_rows(self, df: DataFrame) -> DataFrame:
+        if not self.by:
+            return df.withColumn("_group", F.lit(0).cast("bigint"))
+        return self._match(df, "inner").drop(*[f"_large_{c}" for c in self.by])
+
+    def whole(self, df: DataFrame) -> DataFrame | None:
+        """The rows of groups that stay in one piece."""
+        if not self.by:
+            return None
+        return self._match(df, "left_anti") if self.large else df
+
+    def cut(self, df: DataFrame) -> DataFrame | None:
+        """The rows of large groups with their section, numbered by group and then in order."""
+        if self.by and not self.large:
+            return None
+        rows = self.cuts.add(self._large_rows(df), "_slice")
         if self.tie_cuts:
-            cut = self.tie_cuts.add(cut, "_part")
+            rows = self.tie_cuts.add(rows, "_part")
         else:
-            cut = cut.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(self.pieces)).cast("int"))
+            rows = rows.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(self.pieces)))
         part = F.when(F.col("_slice").isin(self.cuts.single), F.col("_part")).otherwise(0)
-        zero = F.lit(0)
-        section = F.struct(
-            *self.by,
-            F.when(F.col(LARGE), F.col("_slice")).otherwise(zero).alias("_slice"),
-            F.when(F.col(LARGE), part).otherwise(zero).alias("_part"),
-        )
-        return cut.withColumn(KEY, section).drop("_slice", "_part")
+        number = (F.col("_group") * self.cuts.count + F.col("_slice")) * self.parts + part
+        return rows.withColumn(SECTION, number).drop("_group", "_slice", "_part")
 
-    def summary(self, rows: DataFrame, *aggregates: Column) -> DataFrame:
-        """Totals of the sections of large groups."""
-        return rows.filter(LARGE).groupBy(KEY).agg(*aggregates)
+    def apply(self, df: DataFrame, job: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Run a job over both kinds of groups; it gets the section column for large ones."""
+        frames = [job(rows) for rows in (self.whole(df), self.cut(df)) if rows is not None]
+        return reduce(DataFrame.unionByName, [rows.drop(SECTION) for rows in frames])
+
+    def inside(self, rows: DataFrame, *order: Column | str) -> WindowSpec:
+        """The window of a group, or of a section where the rows are cut."""
+        keys = [SECTION] if SECTION in rows.columns else self.by
+        return Window.partitionBy(*keys).orderBy(*(order or self.order))
 
     def group(self) -> WindowSpec:
-        return Window.partitionBy(*[F.col(f"{KEY}.{c}") for c in self.by])
+        span = self.cuts.count * self.parts
+        return Window.partitionBy(F.floor(F.col(SECTION) / span))
+
+    def slice(self) -> Column:
+        return F.pmod(F.floor(F.col(SECTION) / self.parts), F.lit(self.cuts.count))
 
     def across(self, descending: bool = False) -> WindowSpec:
         """The sections of one group in order."""
-        slot = F.col(f"{KEY}._slice")
-        return self.group().orderBy(slot.desc() if descending else slot.asc(), F.col(f"{KEY}._part"))
-
-    def join(self, rows: DataFrame, summary: DataFrame) -> DataFrame:
-        return rows.join(summary, KEY, "left")
-
-
-def _or_zero(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0))
+        order = [self.slice().desc(), F.col(SECTION)] if descending else [F.col(SECTION)]
+        return self.group().orderBy(*order)
 
 
 def ranked(
@@ -171,33 +181,36 @@ def ranked(
     ``row_number``. Nulls sort first ascending and last descending, as in Spark.
     """
     sections = Sections(df, by, [order, tie] if tie else [order], pieces)
-    rows = sections.add(df)
     key = F.col(order).desc() if descending else F.col(order).asc()
-    inside = Window.partitionBy(KEY).orderBy(key)
-    inside_rows = Window.partitionBy(KEY).orderBy(key, F.col(tie)) if tie else inside
-
-    asked = {"row": (row_number, F.row_number().over(inside_rows)),
-             "rank": (rank, F.rank().over(inside)),
-             "dense": (dense_rank, F.dense_rank().over(inside))}
-    asked = {kind: pair for kind, pair in asked.items() if pair[0]}
-    rows = rows.withColumns({f"_{kind}": number for kind, (_, number) in asked.items()})
-    result = {name: F.col(f"_{kind}") for kind, (name, _) in asked.items()}
-    if sections.needed:
-        rows = sections.join(rows, _rank_bases(sections, sections.add(df), order, descending, dense_rank))
-        result = {name: _or_zero(f"_{kind}_base") + F.col(f"_{kind}") for kind, (name, _) in asked.items()}
-    kept = [F.col(c) for c in df.columns if c not in result]
-    return rows.select(*kept, *[number.cast("bigint").alias(name) for name, number in result.items()])
-
-
-def _rank_bases(sections: Sections, rows: DataFrame, order: str, descending: bool, dense: str | None) -> DataFrame:
+    names = {"_row": row_number, "_rank": rank, "_dense": dense_rank}
+    names = {kind: name for kind, name in names.items() if name}
+
+    def number(rows: DataFrame) -> DataFrame:
+        tied = sections.inside(rows, key)
+        untied = sections.inside(rows, key, F.col(tie)) if tie else tied
+        local = {
+            "_row": F.row_number().over(untied), "_rank": F.rank().over(tied), "_dense": F.dense_rank().over(tied),
+        }
+        numbered = rows.withColumns({kind: local[kind] for kind in names})
+        result = {name: F.col(kind) for kind, name in names.items()}
+        if SECTION in rows.columns:
+            numbered = numbered.join(_rank_bases(sections, rows, order, descending, "_dense" in names), SECTION)
+            result = {name: F.coalesce(F.col(f"{kind}_base"), F.lit(0)) + F.col(kind) for kind, name in names.items()}
+        kept = [F.col(c) for c in df.columns if c not in result]
+        return numbered.select(*kept, *[value.cast("bigint").alias(name) for name, value in result.items()])
+
+    return sections.apply(df, number)
+
+
+def _rank_bases(sections: Sections, rows: DataFrame, order: str, descending: bool, dense: bool) -> DataFrame:
     """Rows and values ahead of each section."""
     totals = [F.count("*").alias("_rows")]
     if dense:
         totals.append(F.countDistinct(order).alias("_values"))
         totals.append(F.max(F.col(order).isNull().cast("int")).alias("_null"))
-    summary = sections.summary(rows, *totals)
+    summary = rows.groupBy(SECTION).agg(*totals)
 
-    slot = F.col(f"{KEY}._slice")
+    slot = sections.slice()
     ahead = sections.across(descending)
     earlier_sections = ahead.rowsBetween(Window.unboundedPreceding, -1)
     earlier_slices = sections.group().orderBy(slot.desc() if descending else slot.asc())
@@ -213,7 +226,7 @@ def _rank_bases(sections: Sections, rows: DataFrame, order: str, descending: boo
             "_new", F.when(repeated, 0).otherwise(F.col("_values") + F.col("_null"))
         )
         bases["_dense_base"] = F.sum("_new").over(earlier_slices)
-    return summary.withColumns(bases).select(KEY, *bases)
+    return summary.withColumns(bases).select(SECTION, *bases)
 
 
 def dense_keys(
@@ -237,28 +250,27 @@ def batch_numbers(
     ).drop("_position")
 
 
-def previous(df: DataFrame, sections: Sections, value: Column, name: str) -> DataFrame:
+def previous(rows: DataFrame, sections: Sections, value: Column, name: str) -> DataFrame:
     """``lag(value)`` along the sections' order, which must leave no ties.
 
-    ``value`` must not be null (wrap nullable columns in a struct).
+    For use in ``Sections.apply``. ``value`` must not be null (wrap nullable columns in a struct).
     """
-    return _neighbour(df, sections, value, name, F.lag, F.max_by)
+    return _neighbour(rows, sections, value, name, F.lag, F.max_by)
 
 
-def following(df: DataFrame, sections: Sections, value: Column, name: str) -> DataFrame:
+def following(rows: DataFrame, sections: Sections, value: Column, name: str) -> DataFrame:
     """``lead(value)``; the mirror image of ``previous``."""
-    return _neighbour(df, sections, value, name, F.lead, F.min_by)
+    return _neighbour(rows, sections, value, name, F.lead, F.min_by)
 
 
-def _neighbour(df, sections, value, name, step, nearest) -> DataFrame:
-    rows = sections.add(df).withColumn("_value", value)
-    local = rows.withColumn("_local", step("_value").over(Window.partitionBy(KEY).orderBy(*sections.order)))
-    if not sections.needed:
-        return local.select(*df.columns, F.col("_local").alias(name))
-    edge = sections.summary(rows, nearest("_value", F.struct(*sections.order)).alias("_edge"))
-    edge = edge.select(KEY, step("_edge").over(sections.across()).alias("_carried"))
-    joined = sections.join(local, edge)
-    return joined.select(*df.columns, F.coalesce("_local", "_carried").alias(name))
+def _neighbour(rows, sections, value, name, step, nearest) -> DataFrame:
+    local = step(value).over(sections.inside(rows))
+    if SECTION not in rows.columns:
+        return rows.withColumn(name, local)
+    edge = rows.groupBy(SECTION).agg(nearest(value, F.struct(*sections.order)).alias("_edge"))
+    edge = edge.select(SECTION, step("_edge").over(sections.across()).alias("_carried"))
+    joined = rows.withColumn("_local", local).join(edge, SECTION)
+    return joined.select(*rows.columns, F.coalesce("_local", "_carried").alias(name))
 
 
 def speed_trace(
@@ -270,42 +282,44 @@ def speed_trace(
     pulses, that speed is S less the lowest S so far (or less 0 while S stayed positive).
     """
     sections = Sections(df, by, order, pieces)
-    inside = Window.partitionBy(KEY).orderBy(*order)
-    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
     zero = F.lit(0)
 
-    rows = sections.add(df).withColumn("_delta", F.coalesce(delta, zero))
-    rows = rows.withColumn("_sum", F.sum("_delta").over(so_far))
-    rows = rows.withColumns({"_low": F.min("_sum").over(so_far), "_n": F.row_number().over(inside)})
-    if sections.needed:
-        earlier = sections.across().rowsBetween(Window.unboundedPreceding, -1)
-        summary = sections.summary(
-            rows, F.sum("_delta").alias("_total"), F.min("_sum").alias("_lowest"), F.count("*").alias("_rows")
-        )
-        summary = summary.withColumns({
-            "_base": F.coalesce(F.sum("_total").over(earlier), zero),
-            "_steps": F.sum("_rows").over(earlier),
+    def trace(rows: DataFrame) -> DataFrame:
+        cut = SECTION in rows.columns
+        so_far = sections.inside(rows).rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn("_delta", F.coalesce(delta, zero))
+        rows = rows.withColumn("_sum", F.sum("_delta").over(so_far))
+        rows = rows.withColumns({
+            "_low": F.min("_sum").over(so_far), "_n": F.row_number().over(sections.inside(rows)),
         })
-        lowest = F.min(F.col("_base") + F.col("_lowest")).over(earlier)
-        summary = summary.select(KEY, "_base", "_steps", F.least(zero, lowest).alias("_floor"))
-        rows = sections.join(rows, summary)
-    else:
-        rows = rows.withColumns({"_base": zero, "_steps": zero, "_floor": zero})
-    lowest = F.least(_or_zero("_floor"), _or_zero("_base") + F.col("_low"))
-    rows = rows.withColumns({
-        "speed": _or_zero("_base") + F.col("_sum") - lowest,
-        "step": (_or_zero("_steps") + F.col("_n")).cast("bigint"),
-    })
-
-    driven = rows.withColumn("_driven", F.sum("speed").over(so_far))
-    if sections.needed:
-        summary = sections.summary(rows, F.sum("speed").alias("_distance"))
-        summary = summary.select(KEY, F.sum("_distance").over(earlier).alias("_driven_base"))
-        driven = sections.join(driven, summary)
-    else:
-        driven = driven.withColumn("_driven_base", zero)
-    odometer = _or_zero("_driven_base") + F.col("_driven")
-    return driven.select(
-        *df.columns, "speed", odometer.alias("odometer"), "step",
-        (odometer / F.col("step")).alias("average_speed"),
-    )
+        if cut:
+            earlier = sections.across().rowsBetween(Window.unboundedPreceding, -1)
+            summary = rows.groupBy(SECTION).agg(
+                F.sum("_delta").alias("_total"), F.min("_sum").alias("_lowest"), F.count("*").alias("_rows")
+            )
+            summary = summary.withColumn("_base", F.coalesce(F.sum("_total").over(earlier), zero))
+            lowest = F.min(F.col("_base") + F.col("_lowest")).over(earlier)
+            steps = F.coalesce(F.sum("_rows").over(earlier), zero)
+            rows = rows.join(summary.select(
+                SECTION, "_base", steps.alias("_steps"), F.least(zero, lowest).alias("_floor")
+            ), SECTION)
+        else:
+            rows = rows.withColumns({"_base": zero, "_steps": zero, "_floor": zero})
+        lowest = F.least(F.col("_floor"), F.col("_base") + F.col("_low"))
+        rows = rows.withColumns({
+            "speed": F.col("_base") + F.col("_sum") - lowest,
+            "step": (F.col("_steps") + F.col("_n")).cast("bigint"),
+        })
+        driven = rows.withColumn("_driven", F.sum("speed").over(so_far))
+        odometer = F.col("_driven")
+        if cut:
+            summary = rows.groupBy(SECTION).agg(F.sum("speed").alias("_distance"))
+            before = F.coalesce(F.sum("_distance").over(earlier), zero)
+            driven = driven.join(summary.select(SECTION, before.alias("_before")), SECTION)
+            odometer = F.col("_before") + F.col("_driven")
+        return driven.select(
+            *df.columns, "speed", odometer.alias("odometer"), "step",
+            (odometer / F.col("step")).alias("average_speed"),
+        )
+
+    return sections.apply(df, trace)
