@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import changes
 from tidemill.operators.snapshots import SnapshotTable
 
+pytestmark = pytest.mark.usefixtures("cut_groups")
 QUICK = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 T0 = datetime(2025, 1, 1)
 

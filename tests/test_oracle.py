@@ -25,5 +25,12 @@ def test_same_answer(spark, con, name):
         df.collect()
 
 
+@pytest.mark.parametrize("name", [
+    n for n in sorted(QUERIES) if n.startswith(("win_", "udf_03", "srt_01", "dml_03", "dml_13_fold_history"))
+])
+def test_same_answer_with_cut_groups(spark, con, many_pieces, name):
+    assert difference(QUERIES[name](spark, FOLDER), con, SQL[name]) is None
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import ordered
 
+pytestmark = pytest.mark.usefixtures("cut_groups")
 QUICK = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
@@ -107,16 +108,21 @@ def test_speed_equals_the_fold(spark, sequences, pieces):
 
 
 @pytest.mark.parametrize("pieces", [2, 3, 30])
-def test_neighbours(spark, pieces):
+def test_changes_of_a_large_group(spark, pieces):
     """Group "a" is large; a third of its rows share one moment; a null key is a group too."""
     rng = random.Random(3)
-    moments = [(50 if rng.random() < 0.4 else i) for i in range(200)]
-    rows = [(rng.choice(["a", "a", "a", "a", "b", None]), m, i, rng.randrange(3)) for i, m in enumerate(moments)]
-    df = spark.createDataFrame(rows, "g STRING, at INT, i INT, v INT")
-    sections = ordered.Sections(df, ["g"], ["at", "i"], pieces)
-    assert pieces == 2 or sections.large
+    moments = [(50 if rng.random() < 0.4 else i) for i in range(300)]
+    rows = [(rng.choice(["a", "a", "a", "a", "b", None]), m, i, rng.choice("xxxy")) for i, m in enumerate(moments)]
+    df = spark.createDataFrame(rows, "g STRING, at INT, i INT, v STRING")
     window = Window.partitionBy("g").orderBy("at", "i")
-    expected = df.withColumns({"p": F.lag("v").over(window), "f": F.lead("v").over(window)})
-    got = sections.apply(df, lambda rows: ordered.following(
-        ordered.previous(rows, sections, F.col("v"), "p"), sections, F.col("v"), "f"))
+    expected = df.withColumn("p", F.lag("v").over(window)).filter("NOT (p <=> v)").drop("p")
+    expected = expected.withColumn("to", F.lead("at").over(window))
+    got = ordered.changes_of_state(df, ["g"], ["at", "i"], F.col("v"), "to", pieces)
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert ordered.Sections(df, ["g"], ["at", "i"], pieces).large is not None
+
+
+def test_a_long_unchanged_state_spans_sections(spark):
+    df = spark.range(100).selectExpr("'a' g", "id at", "id BETWEEN 40 AND 89 v")
+    got = ordered.changes_of_state(df, ["g"], ["at"], F.col("v"), "to", 20).orderBy("at").collect()
+    assert [(r["at"], r.to) for r in got] == [(0, 40), (40, 90), (90, None)]

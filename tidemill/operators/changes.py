@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.aggregates import maximum
 from tidemill.operators.joins import new_rows, same
-from tidemill.operators.ordered import Sections, dense_keys, following, previous
+from tidemill.operators.ordered import changes_of_state, dense_keys
 from tidemill.operators.sets import keep_first
 
 
@@ -117,15 +117,8 @@ def scd2(
     """
     moment = sequence[0]
     log = log.select(*keys, *dict.fromkeys([*sequence, *tracked]))
-    sections = Sections(log, keys, sequence, pieces)
-    state = F.struct(*tracked)
-
-    def dated(rows: DataFrame) -> DataFrame:
-        rows = previous(rows, sections, state, "_before")
-        rows = rows.filter(~F.col("_before").eqNullSafe(state)).drop("_before")
-        return following(rows, sections, F.col(moment), "valid_to")
-
-    versions = sections.apply(log, dated)
+    state = F.col(tracked[0]) if len(tracked) == 1 else F.struct(*tracked)
+    versions = changes_of_state(log, keys, sequence, state, "valid_to", pieces)
     return versions.select(
         *keys, *tracked, F.col(moment).alias("valid_from"), "valid_to",
         F.col("valid_to").isNull().alias("is_current"),

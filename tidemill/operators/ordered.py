@@ -16,12 +16,14 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window, WindowSpec
 
 SECTION = "_section"
+# One task sorts this many rows without trouble, so smaller groups are never cut.
+LARGE_ROWS = 2_000_000
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
@@ -81,9 +83,9 @@ class Cuts:
 class Sections:
     """How the large groups of a frame are cut along ``order`` (one or more columns).
 
-    A group is large if it holds more than one of ``pieces`` equal parts of all rows, so
-    there are fewer than ``pieces`` large groups, whatever the data. With no ``by``, the whole
-    frame is one large group.
+    A group is large if it holds more than one of ``pieces`` equal parts of all rows (and more
+    than ``LARGE_ROWS``), so there are fewer than ``pieces`` large groups, whatever the data.
+    With no ``by``, the whole frame is one large group.
     """
 
     def __init__(self, df: DataFrame, by: Sequence[str], order: Sequence[str], pieces: int | None = None):
@@ -102,8 +104,11 @@ class Sections:
         if not self.by:
             return None
         sizes = df.groupBy(*self.by).agg(F.count("*").alias("_rows"))
-        share = sizes.select(F.sum("_rows") / self.pieces).scalar()
-        found = sizes.filter(F.col("_rows") > share).select(*self.by).take(self.pieces)
+        total = Observation()
+        counted = sizes.observe(total, F.sum("_rows").alias("rows"))
+        largest = counted.orderBy(F.desc("_rows")).limit(self.pieces).collect()
+        share = max((total.get["rows"] or 0) / self.pieces, LARGE_ROWS)
+        found = [[row[c] for c in self.by] for row in largest if row["_rows"] > share]
         if not found:
             return None
         schema = T.StructType([T.StructField("_group", T.LongType()), *df.select(*self.by).schema])
@@ -250,27 +255,48 @@ def batch_numbers(
     ).drop("_position")
 
 
-def previous(rows: DataFrame, sections: Sections, value: Column, name: str) -> DataFrame:
-    """``lag(value)`` along the sections' order, which must leave no ties.
+def changes_of_state(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], state: Column, until: str,
+    pieces: int | None = None,
+) -> DataFrame:
+    """The rows at which a group's state changes, with the moment of the next change.
 
-    For use in ``Sections.apply``. ``value`` must not be null (wrap nullable columns in a struct).
+    The first column of ``order`` is the moment; together its columns must leave no ties.
     """
-    return _neighbour(rows, sections, value, name, F.lag, F.max_by)
-
-
-def following(rows: DataFrame, sections: Sections, value: Column, name: str) -> DataFrame:
-    """``lead(value)``; the mirror image of ``previous``."""
-    return _neighbour(rows, sections, value, name, F.lead, F.min_by)
-
+    sections = Sections(df, by, order, pieces)
+    moment = order[0]
 
-def _neighbour(rows, sections, value, name, step, nearest) -> DataFrame:
-    local = step(value).over(sections.inside(rows))
-    if SECTION not in rows.columns:
-        return rows.withColumn(name, local)
-    edge = rows.groupBy(SECTION).agg(nearest(value, F.struct(*sections.order)).alias("_edge"))
-    edge = edge.select(SECTION, step("_edge").over(sections.across()).alias("_carried"))
-    joined = rows.withColumn("_local", local).join(edge, SECTION)
-    return joined.select(*rows.columns, F.coalesce("_local", "_carried").alias(name))
+    def changed(rows: DataFrame) -> DataFrame:
+        window = sections.inside(rows)
+        rows = rows.withColumn("_state", state)
+        rows = rows.withColumns({
+            "_prior": F.lag("_state").over(window), "_opens": F.lag(F.lit(1)).over(window).isNull(),
+        })
+        rows = rows.filter(F.col("_opens") | ~F.col("_prior").eqNullSafe(F.col("_state")))
+        rows = rows.withColumn("_next", F.lead(moment).over(window))
+        if SECTION not in rows.columns:
+            return rows.select(*df.columns, F.col("_next").alias(until))
+        # The first row of a section looks like a change; whether it is one depends on the
+        # state the section before ended with.
+        place = F.struct(*order)
+        later = sections.across().rowsBetween(1, Window.unboundedFollowing)
+        summary = rows.groupBy(SECTION).agg(
+            F.min_by("_state", place).alias("_opening"),
+            F.max_by("_state", place).alias("_closing"),
+            F.min(moment).alias("_first"),
+            F.min(F.when(~F.col("_opens"), F.col(moment))).alias("_second"),
+        ).withColumns({
+            "_carried": F.lag("_closing").over(sections.across()),
+            "_follows": F.lag(F.lit(True), 1, False).over(sections.across()),
+        })
+        repeats = F.col("_follows") & F.col("_carried").eqNullSafe(F.col("_opening"))
+        summary = summary.withColumn("_change", F.when(repeats, F.col("_second")).otherwise(F.col("_first")))
+        upcoming = F.first("_change", ignorenulls=True).over(later)
+        summary = summary.select(SECTION, repeats.alias("_repeats"), upcoming.alias("_upcoming"))
+        rows = rows.join(summary, SECTION).filter(~(F.col("_opens") & F.col("_repeats")))
+        return rows.select(*df.columns, F.coalesce("_next", "_upcoming").alias(until))
+
+    return sections.apply(df, changed)
 
 
 def speed_trace(
