@@ -100,7 +100,8 @@ def scd1(
         {"create_date": now, "update_date": now}
     )
     fresh = dense_keys(fresh, natural_key, surrogate, after=maximum(dimension, surrogate, F.lit(0)))
-    return upsert(dimension, known.unionByName(fresh), [surrogate], check=False)
+    untouched = new_rows(dimension, feed, [natural_key])
+    return untouched.unionByName(known).unionByName(fresh)
 
 
 def scd2(

@@ -1,10 +1,10 @@
 """Versioned Parquet tables: each version is a list of files, and changes add files only.
 
-``data/version=N`` holds the files a change wrote, ``manifest/version=N`` names all files of
-version N with their row counts, and ``history`` gets one row per commit, written last. A
-change rewrites only the files that hold matching rows, and a restore writes no data at all.
-Readers take the highest version in the history, so an unfinished change is never seen and no
-file is overwritten while it is read. One writer at a time.
+``data/version=N`` holds the files a change wrote; ``commits`` gets one row per version, written
+last, with the manifest of all its files and their row counts. A change rewrites only the
+files that hold matching rows, and a restore writes no data at all. Readers take the highest
+committed version, so an unfinished change is never seen and no file is overwritten while it
+is read. One writer at a time.
 
 What reaches the driver is lists of files, never rows.
 """
@@ -21,11 +21,10 @@ from pyspark.sql import functions as F
 from tidemill.operators.changes import delete_where, require_unique, update_where, upsert
 from tidemill.operators.joins import same
 
-HISTORY = {
-    "version": "int", "committed_at": "timestamp_ntz", "operation": "string",
-    "rows": "bigint", "files": "int", "source": "int",
-}
-MANIFEST = "path STRING, rows BIGINT"
+COMMITS = (
+    "version INT, committed_at TIMESTAMP_NTZ, operation STRING, rows BIGINT, files INT, source INT, "
+    "manifest ARRAY<STRUCT<path: STRING, rows: BIGINT>>"
+)
 
 
 def _file() -> Column:
@@ -39,18 +38,20 @@ class SnapshotTable:
 
     def history(self) -> DataFrame:
         """One row per commit."""
-        schema = ", ".join(f"{name} {kind}" for name, kind in HISTORY.items())
+        return self._commits().drop("manifest")
+
+    def _commits(self) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/history")
+            return self.spark.read.schema(COMMITS).parquet(f"{self.root}/commits")
         except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], COMMITS)
 
     def current_version(self) -> int | None:
         return self.history().agg(F.max("version")).first()[0]
 
     def manifest(self, version: int) -> DataFrame:
         """Files and row counts of a version."""
-        return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/version={version}")
+        return self._commits().filter(F.col("version") == version).select(F.inline("manifest"))
 
     def read(self, version: int | None = None) -> DataFrame:
         if version is None:
@@ -122,20 +123,12 @@ class SnapshotTable:
     def _record(self, last: int | None, files: list, operation: str, at: datetime | None,
                 source: int | None = None) -> int:
         version = 0 if last is None else last + 1
-        listed = self.spark.createDataFrame([tuple(f) for f in files], MANIFEST)
-        listed.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/version={version}")
-        entry = {
-            "version": version,
-            "committed_at": at or datetime.now(timezone.utc).replace(tzinfo=None),
-            "operation": operation,
-            "rows": sum(rows for _, rows in files),
-            "files": len(files),
-            "source": source,
-        }
-        row = self.spark.range(0, 1, 1, 1).select(
-            *[F.lit(value).cast(HISTORY[name]).alias(name) for name, value in entry.items()]
+        entry = (
+            version, at or datetime.now(timezone.utc).replace(tzinfo=None), operation,
+            sum(rows for _, rows in files), len(files), source, [tuple(f) for f in files],
         )
-        row.write.mode("append").parquet(f"{self.root}/history")
+        row = self.spark.createDataFrame([entry], COMMITS).coalesce(1)
+        row.write.mode("append").parquet(f"{self.root}/commits")
         return version
 
     def detail(self) -> DataFrame:
