@@ -100,3 +100,15 @@ def test_any_failing_feed_is_noticed(spark, tmp_path):
 def test_kafka_options():
     assert feeds.kafka_options("broker:29092", "gps_data") == {
         "kafka.bootstrap.servers": "broker:29092", "subscribe": "gps_data", "startingOffsets": "earliest"}
+
+
+def test_landing_keeps_the_first_schema(spark, tmp_path):
+    landing, source = str(tmp_path / "landing"), str(tmp_path / "source")
+    spark.range(3).withColumn("v", F.lit("a")).write.parquet(f"{source}/orders")
+    feeds.ingest_files(spark, ["orders"], lambda n: f"{source}/{n}", landing)
+    later = spark.range(3, 5).withColumn("v", F.lit("b")).withColumn("extra", F.lit(1))
+    later.write.mode("append").parquet(f"{source}/orders")
+    for _ in range(2):
+        feeds.ingest_files(spark, ["orders"], lambda n: f"{source}/{n}", landing)
+    got = spark.read.parquet(f"{landing}/data/orders")
+    assert got.columns == ["id", "v"] and sorted(r.id for r in got.collect()) == [0, 1, 2, 3, 4]

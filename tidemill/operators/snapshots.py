@@ -27,9 +27,12 @@ COMMITS = (
 )
 
 
-def _file() -> Column:
-    """Path of a row's file below ``data``."""
-    return F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)$", 1)
+FILE = "_metadata.file_path"
+
+
+def _name(path: str) -> str:
+    """A file's path below ``data``."""
+    return "/".join(path.rsplit("/", 2)[-2:])
 
 
 class SnapshotTable:
@@ -82,7 +85,7 @@ class SnapshotTable:
         arriving = source.select(*keys).alias("new")
         matching = same("old", "new", [(k, k) for k in keys], null_safe=True)
         files = self.manifest(last).collect()
-        stored = self._open([row.path for row in files]).withColumn("_file", _file()).alias("old")
+        stored = self._open([row.path for row in files]).withColumn("_file", F.col(FILE)).alias("old")
         touched = self._files(stored.join(arriving, matching, "left_semi").select("_file"))
         changed = upsert(self._open(touched), source, keys, check=False) if touched else source
         kept = [row for row in files if row.path not in touched]
@@ -99,13 +102,13 @@ class SnapshotTable:
         return self._add(last, self.read(last).repartition(files), [], "compact", at)
 
     def _files(self, paths: DataFrame) -> set[str]:
-        return {row[0] for row in paths.distinct().collect()}
+        return {_name(row[0]) for row in paths.distinct().collect()}
 
     def _rewrite(self, condition: Column, change, operation: str, at: datetime | None) -> int:
         last = self.current_version()
         files = self.manifest(last).collect()
         stored = self._open([row.path for row in files])
-        touched = self._files(stored.filter(condition).select(_file()))
+        touched = self._files(stored.filter(condition).select(FILE))
         kept = [row for row in files if row.path not in touched]
         if not touched:
             return self._record(last, kept, operation, at)
@@ -116,8 +119,8 @@ class SnapshotTable:
         folder = f"version={0 if last is None else last + 1}"
         df.write.mode("overwrite").parquet(f"{self.root}/data/{folder}")
         written = self.spark.read.schema(df.schema).parquet(f"{self.root}/data/{folder}")
-        rows = dict(written.groupBy(_file()).count().collect())
-        names = [f"{folder}/{path.rsplit('/', 1)[1]}" for path in written.inputFiles()]
+        rows = {_name(path): n for path, n in written.groupBy(FILE).count().collect()}
+        names = [_name(path) for path in written.inputFiles()]
         return self._record(last, [*kept, *[(n, rows.get(n, 0)) for n in names]], operation, at)
 
     def _record(self, last: int | None, files: list, operation: str, at: datetime | None,

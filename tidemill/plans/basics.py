@@ -131,6 +131,11 @@ def valid_rows(t):
     return filters.valid_measures(t.customer, "c_acctbal").select("c_custkey", "c_acctbal")
 
 
+@query("flt_04_not_negative", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal >= 0")
+def not_negative(t):
+    return filters.valid_measures(t.customer, "c_acctbal", zero=True).select("c_custkey", "c_acctbal")
+
+
 @query("flt_05_substring_any_case", "SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%WIDGET%'")
 def substring_any_case(t):
     return t.part.filter(F.ilike("p_name", F.lit("%WIDGET%"))).select("p_partkey", "p_name")

@@ -94,12 +94,11 @@ def versioned_scan(t):
     UNION ALL SELECT 'customer', count(*), round(sum(c_acctbal), 2) FROM customer""")
 def file_arrival(t):
     landing = t.scratch("landing")
-    schemas = {"events": EVENTS, "orders": ORDERS, "customer": CUSTOMER}
-    feeds.ingest_files(t.spark, schemas, t.arrivals, landing, schemas)
     measures = {"events": "value", "orders": "o_totalprice", "customer": "c_acctbal"}
+    feeds.ingest_files(t.spark, measures, t.arrivals, landing)
     counts = None
     for name, measure in measures.items():
-        one = t.spark.read.schema(schemas[name]).parquet(f"{landing}/data/{name}").agg(
+        one = t.spark.read.parquet(f"{landing}/data/{name}").agg(
             F.lit(name).alias("table_name"), F.count("*").alias("n"),
             F.round(F.sum(measure), 2).alias("total"),
         )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidemill.operators.quality import keep_expected
 from tidemill.operators.snapshots import SnapshotTable
@@ -112,14 +115,32 @@ def await_all(queries: Iterable[StreamingQuery]) -> None:
                 query.stop()
 
 
+def tracked_schema(spark: SparkSession, path: str, location: str) -> StructType:
+    """The schema kept at ``location``; the first run takes it from the files and keeps it."""
+    try:
+        kept = spark.read.text(location, wholetext=True).first()[0]
+        return StructType.fromJson(json.loads(kept))
+    except AnalysisException:
+        schema = spark.read.parquet(path).schema
+        one = spark.createDataFrame([(schema.json(),)], "value STRING")
+        one.coalesce(1).write.text(location)
+        return schema
+
+
 def ingest_files(
     spark: SparkSession, names: Iterable[str], source: Callable[[str], str], landing: str,
-    schemas: Mapping[str, str],
+    schemas: Mapping[str, str] | None = None,
 ) -> None:
-    """Copy newly arrived Parquet files of each data set to its landing folder, once."""
-    streams = {
-        name: spark.readStream.schema(schemas[name]).parquet(source(name)) for name in names
-    }
+    """Copy newly arrived Parquet files of each data set to its landing folder, once.
+
+    Without given schemas, that of the first run is kept beside the data and used from then on.
+    """
+    streams = {}
+    for name in names:
+        schema = (
+            schemas[name] if schemas else tracked_schema(spark, source(name), f"{landing}/schemas/{name}")
+        )
+        streams[name] = spark.readStream.schema(schema).parquet(source(name))
     await_all(write_feeds(streams, landing, drain=True).values())
 
 
