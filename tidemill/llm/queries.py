@@ -6,6 +6,7 @@ from collections.abc import Callable
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemill.llm.frames import importable
 from tidemill.plans.registry import Query, Tables
@@ -40,6 +41,32 @@ def op1(t: Tables) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query("op3_distribution_divergence")
+def op3(t: Tables) -> DataFrame:
+    from tidemill.llm.divergence import judged
+
+    return judged(t.documents).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"),
+    )
+
+
+@query("op6_importance_resampling")
+def op6(t: Tables) -> DataFrame:
+    from tidemill.llm.resampling import resampled
+
+    found = resampled(t.documents.select("doc_id", "text"), t.labels)
+    return found.select("doc_id", "n_grams", "log_weight", "gumbel_key", "kept")
+
+
+@query("op8_simhash_near_dedup")
+def op8(t: Tables) -> DataFrame:
+    from tidemill.llm.simhash import near_duplicates
+
+    found = near_duplicates(t.documents, shingle=3, radius=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query("op9_token_records")
 def op9(t: Tables) -> DataFrame:
     from tidemill.llm.records import read_records, with_starts, write_records
