@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text handled at once: temporary arrays are a small multiple of it.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -18,7 +18,7 @@ import pyarrow as pa
 from tidemill.llm.columns import SPACE, binary_array, codes, lower_ascii, text_bytes
 
 # Pieces remembered by a worker; beyond that it starts afresh.
-REMEMBERED = 1_500_000
+REMEMBERED = 600_000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 WORD = re.compile(rf" ?[{LETTERS}]+")
 ALPHA, SIGN = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
