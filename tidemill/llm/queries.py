@@ -8,6 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.llm import urllists
 from tidemill.llm.frames import importable
 from tidemill.plans.registry import Query, Tables
 
@@ -59,6 +60,13 @@ def op6(t: Tables) -> DataFrame:
     return found.select("doc_id", "n_grams", "log_weight", "gumbel_key", "kept")
 
 
+@query("op7_warc_normaliser")
+def op7(t: Tables) -> DataFrame:
+    from tidemill.llm.warc import archived
+
+    return archived(t.pages, t.scratch("warc"))
+
+
 @query("op8_simhash_near_dedup")
 def op8(t: Tables) -> DataFrame:
     from tidemill.llm.simhash import near_duplicates
@@ -76,6 +84,12 @@ def op9(t: Tables) -> DataFrame:
     return with_starts(read_records(index, folder)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query("op10_temporal_url_lists", urllists.SQL)
+def op10(t: Tables) -> DataFrame:
+    captures = urllists.captures_of(t.pages)
+    return urllists.judged(captures, urllists.entries_of(t.pages)).drop("url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
 
