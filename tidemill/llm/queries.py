@@ -52,6 +52,14 @@ def op3(t: Tables) -> DataFrame:
     )
 
 
+@query("op4_suffix_dedup")
+def op4(t: Tables) -> DataFrame:
+    from tidemill.llm.suffixes import without_repeats
+
+    found = without_repeats(t.documents.select("doc_id", "text"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op6_importance_resampling")
 def op6(t: Tables) -> DataFrame:
     from tidemill.llm.resampling import resampled
