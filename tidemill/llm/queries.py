@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from importlib import import_module
 
@@ -60,6 +61,16 @@ def op4(t: Tables) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op5_context_tree_scores")
+def op5(t: Tables) -> DataFrame:
+    from tidemill.llm.lmscoring import scored
+
+    found = scored(t.documents).withColumn("bits_per_byte", -F.col("score") * math.log2(10) / F.col("n_bytes"))
+    return found.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"
+    )
+
+
 @query("op6_importance_resampling")
 def op6(t: Tables) -> DataFrame:
     from tidemill.llm.resampling import resampled
