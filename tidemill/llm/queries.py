@@ -43,6 +43,13 @@ def op1(t: Tables) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query("op2_benchmark_decontamination")
+def op2(t: Tables) -> DataFrame:
+    from tidemill.llm.decontamination import contaminated
+
+    return contaminated(t.documents, t.benchmark)
+
+
 @query("op3_distribution_divergence")
 def op3(t: Tables) -> DataFrame:
     from tidemill.llm.divergence import judged

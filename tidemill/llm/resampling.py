@@ -31,6 +31,7 @@ class Model:
     buckets: int = 1 << 18
     labelled: int = 100_000  # labelled documents that are used, the ones with the smallest hashes
     prior: float = 100.0  # n-grams of the raw text's make-up that every bucket of the target is given
+    good_weight: float = 5.0  # a good document lost counts as many times one bad document kept
     seed: int = 6
 
 
@@ -121,14 +122,14 @@ def scored(documents: DataFrame, ratio: np.ndarray, model: Model, n_grams: str,
     return documents.mapInArrow(score, schema)
 
 
-def calibrated(good: list[float], bad: list[float]) -> float:
-    """The weight that parts good from bad best: the most good kept plus bad dropped, in shares."""
+def calibrated(good: list[float], bad: list[float], good_weight: float) -> float:
+    """The weight that parts good from bad best: the most good kept and bad dropped, in shares."""
     if not good or not bad:
         return -math.inf
     cuts = np.unique(np.concatenate([good, bad]))
     kept = 1 - np.searchsorted(np.sort(good), cuts, "left") / len(good)
     dropped = np.searchsorted(np.sort(bad), cuts, "left") / len(bad)
-    return float(cuts[np.argmax(kept + dropped)])
+    return float(cuts[np.argmax(good_weight * kept + dropped)])
 
 
 def largest(keys: DataFrame, name: str, k: int) -> float:
@@ -174,6 +175,7 @@ def resampled(documents: DataFrame, labels: DataFrame, model: Model | None = Non
     held_out = {d: good for d, (good, fits) in sample.items() if not fits}
     ids = documents.sparkSession.createDataFrame([(d, g) for d, g in held_out.items()], "sample_id long, good boolean")
     known = table.select(F.col("doc_id").cast("long").alias("sample_id"), "log_weight").join(ids, "sample_id").collect()
-    cut = calibrated([r["log_weight"] for r in known if r["good"]], [r["log_weight"] for r in known if not r["good"]])
+    good, bad = ([r["log_weight"] for r in known if r["good"] == kind] for kind in (True, False))
+    cut = calibrated(good, bad, model.good_weight)
     k = table.filter(F.col("log_weight") >= cut).count()
     return table.withColumn("kept", F.col("gumbel_key") >= largest(table, "gumbel_key", k))

@@ -67,7 +67,8 @@ def simhash(hashes: np.ndarray) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, fp``: the SimHash of each whole text's lower-cased word shingles, repeats included.
+    """``doc_id, fp, tag``: the SimHash of each whole text's lower-cased word shingles, repeats
+    included, and a hash of the text that tells rows with one id apart.
 
     Null, empty and blank texts have the fingerprint zero.
     """
@@ -78,9 +79,16 @@ def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
             joined, begins, ends, starts = shingle_spans(lower_ascii(data), offsets, shingle)
             hashes = shingle_hashes(joined, begins, ends)
             found = [simhash(hashes[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(found, pa.int64()), batch.column("tag")], names=["doc_id", "fp", "tag"]
+            )
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(marks, "doc_id long, fp long")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_tag(documents).alias("tag"))
+    return rows.mapInArrow(marks, "doc_id long, fp long, tag long")
+
+
+def text_tag(documents: DataFrame):
+    return F.xxhash64(documents["text"])
 
 
 def forest(left: np.ndarray, right: np.ndarray, radius: int, block: int = 256) -> list[tuple[int, int]]:
@@ -145,7 +153,9 @@ def near_links(prints: DataFrame, radius: int, segments: int = 4, tile: int = 20
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """``doc_id, fp, component_id``: the smallest ``doc_id`` linked to each document.
+    """``doc_id, fp, tag, root, component_id``: the smallest ``doc_id`` linked to each document.
+
+    ``root`` is the smallest fingerprint of the group, which every member shares.
 
     Documents with one fingerprint are one node, however many they are. Documents without an
     id get their group's smallest id, or null if no member has one.
@@ -156,4 +166,4 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, radius: int = 2) ->
     known = least.join(nodes, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     known = stored(known, "nodes")
     smallest = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(known.join(smallest, "root").select("fp", "component_id"), "fp")
+    return prints.join(known.join(smallest, "root").select("fp", "root", "component_id"), "fp")
