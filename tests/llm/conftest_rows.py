@@ -1,0 +1,31 @@
+"""Rows that every operator must cope with."""
+
+import random
+
+from pyspark.sql import types as T
+
+SCHEMA = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
+    T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
+    T.StructField("kept", T.StringType()), T.StructField("part", T.StringType()),
+])
+
+
+def prose(seed: int, n: int) -> str:
+    r = random.Random(seed)
+    words = [r.choice(["the", "of", "and", "Ärger", "naïve", "über"]) if r.random() < 0.4 else "".join(
+        r.choice(["ten", "ri", "sol", "mé", "gat", "ou"]) for _ in range(r.randrange(1, 5))
+    ) for _ in range(n)]
+    return "".join(w + (".\n" if r.random() < 0.1 else ", " if r.random() < 0.1 else " ") for w in words)
+
+
+def rows() -> list[tuple]:
+    """Nulls in every column, empty, blank, short and long texts, copies, near copies, repeated rows."""
+    shared = prose(99, 40)
+    texts = [prose(i, 30 + 7 * i) for i in range(20)]
+    texts += [texts[3], texts[3], texts[4].replace("the", "tho", 1), texts[5] + " end", prose(50, 60) + shared, shared + prose(51, 60)]
+    texts += [None, "", " \n\t", "word", "two Words", "x" * 130, "ab" * 90, prose(7, 12_000), "a b  c\r\nd\x0be  f", "日本語 " * 40]
+    out = [(i, t, "en" if i % 3 else "fr", f"s{i % 2}", 0, "x", None) for i, t in enumerate(texts)]
+    out += [out[6], out[6], (None, texts[8], None, None, None, None, None), (None, None, None, None, None, None, None)]
+    out += [(100, texts[9], "en", "s", 1, "y", "z"), (100, prose(77, 50), "en", "s", 1, "y", "z")]
+    return out

@@ -23,10 +23,21 @@ from tidemill.llm.suffixes import without_repeats
 from tidemill.session import tune
 
 
+def _shielded(docs: DataFrame, *added: str) -> DataFrame:
+    """The documents with columns renamed that have the names an operator adds."""
+    return docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c.lower() in added})
+
+
+def _own(found: DataFrame, shielded: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of the documents under their own names again."""
+    return found.select(*[F.col(a).alias(b) for a, b in zip(shielded.columns, docs.columns)])
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by importance resampling against the labelled good ones."""
-    found = resampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return found.filter("kept").select(*docs.columns)
+    shielded = _shielded(docs, "n_grams", "log_weight", "gumbel_key", "kept")
+    found = resampled(shielded, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _own(found.filter("kept"), shielded, docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +50,9 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "tag")
     keepers = groups.groupBy("root").agg(F.min(place).alias("kept"))
     keepers = keepers.select(F.col("kept.doc_id").alias("_kept_id"), F.col("kept.tag").alias("_kept_tag"))
-    same = F.col("_kept_id").eqNullSafe(docs.doc_id.cast("long")) & (F.col("_kept_tag") == text_tag(docs))
-    return docs.join(keepers, same).dropDuplicates(["_kept_id", "_kept_tag"]).select(*docs.columns)
+    shielded = _shielded(docs, "_kept_id", "_kept_tag")
+    same = F.col("_kept_id").eqNullSafe(shielded.doc_id.cast("long")) & (F.col("_kept_tag") == text_tag(shielded))
+    return _own(shielded.join(keepers, same).dropDuplicates(["_kept_id", "_kept_tag"]), shielded, docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +61,8 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     A character that loses one of its bytes goes as a whole. Every document stays, also one of
     which nothing is left; ``n_chars`` follows the text.
     """
-    kept, names = without_repeats(docs, length=50), docs.columns
+    shielded = _shielded(docs, "kept", "n_bytes", "n_removed", "n_spans")
+    kept, names = without_repeats(shielded, length=50), shielded.columns
 
     def decode(batches):
         place = names.index("text")
@@ -64,7 +77,7 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
                 columns[count] = pc.utf8_length(columns[place]).cast(columns[count].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return kept.select(*names, "kept").mapInArrow(decode, docs.schema)
+    return _own(kept.select(*names, "kept").mapInArrow(decode, shielded.schema), shielded, docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
