@@ -9,9 +9,9 @@ from tidemill.session import build_session  # noqa: E402
 
 
 @pytest.fixture
-def cut_groups(monkeypatch):
-    """Treat groups as large by their share alone, so that small data gets cut too."""
-    monkeypatch.setattr("tidemill.operators.ordered.LARGE_ROWS", 0)
+def small_sections(monkeypatch):
+    """Sections of a few rows, so that small data gets cut too."""
+    monkeypatch.setattr("tidemill.operators.ordered.SECTION_ROWS", 40)
 
 
 @pytest.fixture(scope="session")
@@ -27,12 +27,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-@pytest.fixture
-def many_pieces(spark, cut_groups):
-    """Shares so small that every year and most users count as large."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "24")
-    yield
-    spark.conf.set("spark.sql.shuffle.partitions", before)

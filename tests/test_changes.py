@@ -8,9 +8,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemill.operators import changes
-from tidemill.operators.snapshots import SnapshotTable
+from tidemill.sources.tables import FolderTable
 
-pytestmark = pytest.mark.usefixtures("cut_groups")
+pytestmark = pytest.mark.usefixtures("small_sections")
 QUICK = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 T0 = datetime(2025, 1, 1)
 
@@ -43,9 +43,9 @@ def test_three_batches(spark):
 
 @QUICK
 @given(st.lists(st.tuples(st.integers(1, 4), st.sampled_from(["x", "y", None])), max_size=30), st.integers(2, 9))
-def test_history_invariants(spark, log, pieces):
+def test_history_invariants(spark, log, section_rows):
     df = spark.createDataFrame([(k, i, v) for i, (k, v) in enumerate(log)], "k INT, seq INT, v STRING")
-    versions = changes.scd2(df, ["k"], ["seq"], ["v"], pieces).collect()
+    versions = changes.scd2(df, ["k"], ["seq"], ["v"], section_rows).collect()
     for key in {k for k, _ in log}:
         mine = sorted((r for r in versions if r.k == key), key=lambda r: r.valid_from)
         assert [r.is_current for r in mine] == [False] * (len(mine) - 1) + [True]
@@ -96,45 +96,72 @@ def test_delete_keeps_unknown(spark):
     assert rows_of(changes.delete_where(rows, F.col("v") == 1)) == [(2,), (None,)]
 
 
-def test_snapshots(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "zone"))
-    assert table.current_version() is None
+def test_folder_table(spark, tmp_path):
+    table = FolderTable(spark, str(tmp_path / "zone"))
+    assert table.versions() == []
     zones = spark.createDataFrame([(1, "EWR"), (2, "Queens")], "LocationID INT, Borough STRING")
-    table.merge(zones, ["LocationID"], T0)
-    table.update(F.col("LocationID") == 1, T0 + timedelta(1), Borough=F.lit("EMR"))
-    table.delete(F.col("LocationID") == 1, T0 + timedelta(2))
-    assert rows_of(table.read()) == [(2, "Queens")]
-    table.restore(0, T0 + timedelta(3))
-    assert rows_of(table.read()) == rows_of(zones)
-    assert rows_of(table.read(1)) == [(1, "EMR"), (2, "Queens")]
-    past = table.history().orderBy("version").collect()
-    assert [(r.operation, r.rows, r.source) for r in past] == [
-        ("merge", 2, None), ("update", 2, None), ("delete", 1, None), ("restore", 2, 0)]
-    table.compact(1, T0 + timedelta(4))
-    detail = table.detail().first()
-    assert (detail.version, detail.rows, detail.files) == (4, 2, 1)
-    assert table.vacuum(T0 + timedelta(hours=168)) == []
-    dropped = table.vacuum(T0 + timedelta(days=400))
-    assert {path.split("/")[0] for path in dropped} == {"version=0", "version=1", "version=2"}
+    table.write(zones)
+    table.write(changes.update_where(table.read(), F.col("LocationID") == 1, Borough=F.lit("EMR")))
+    table.write(changes.delete_where(table.read(), F.col("LocationID") == 1))
+    assert rows_of(table.read()) == [(2, "Queens")] and rows_of(table.read(1)) == [(1, "EMR"), (2, "Queens")]
+    table.write(table.read(0))
     assert rows_of(table.read()) == rows_of(zones)
+    assert rows_of(table.sizes()) == [(0, 2), (1, 2), (2, 1), (3, 2)]
+    (tmp_path / "zone/version=9").mkdir()  # a write that did not finish
+    assert table.versions() == [0, 1, 2, 3]
+    with pytest.raises(ValueError):
+        table.read(7)
+
+
+def test_a_null_member_keeps_its_key(spark):
+    now = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
+    feed = spark.createDataFrame([(None, "x"), ("C1", "a")], "id STRING, city STRING")
+    dim = changes.scd1(None, feed, "id", "key", now)
+    for _ in range(3):
+        dim = changes.scd1(dim, feed, "id", "key", now)
+    assert {r.id: r.key for r in dim.collect()} == {None: 1, "C1": 2} and dim.count() == 2
 
 
-def test_changes_rewrite_only_files_they_touch(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "wide"))
-    rows = spark.range(100).withColumn("v", F.lit(0))
-    table.commit(rows.repartitionByRange(5, "id"), "write", T0)
-    whole = {r.path for r in table.manifest(0).collect()}
-    table.update(F.col("id") == 7, T0, v=F.lit(1))
-    first = {r.path for r in table.manifest(1).collect()}
-    assert len(whole) == 5 and len(whole & first) == 4
-    source = spark.createDataFrame([(7, 2), (500, 2), (99, 2)], "id BIGINT, v INT")
-    table.merge(source, ["id"], T0)
-    assert len(first & {r.path for r in table.manifest(2).collect()}) == 3
-    table.delete(F.col("id") == 12345, T0)
-    table.delete(F.col("id") < 1000, T0)
-    counts = [(r.operation, r.rows) for r in table.history().orderBy("version").collect()]
-    assert counts == [("write", 100), ("update", 100), ("merge", 101), ("delete", 101), ("delete", 0)]
-    assert table.read().columns == ["id", "v"] and table.read().count() == 0
-    table.restore(2, T0)
-    changed = table.read().filter("v > 0").orderBy("id").collect()
-    assert [tuple(r) for r in changed] == [(7, 2), (99, 2), (500, 2)] and table.read().count() == 101
+def test_a_null_link_is_refused(spark):
+    stored = spark.createDataFrame([("a", 1)], "link STRING, n INT")
+    feed = spark.createDataFrame([(None, 2), ("b", 2)], "link STRING, n INT")
+    with pytest.raises(Exception, match="is null"):
+        changes.insert_absent(stored, feed, ["link"], F.col("n")).collect()
+
+
+@QUICK
+@given(st.lists(st.tuples(st.integers(1, 3), st.sampled_from("xy")), min_size=1, max_size=14), st.integers(1, 4), st.randoms())
+def test_history_by_batches_is_that_of_the_whole_log(spark, log, size, rng):
+    """Any order of batches, repeats included, gives the versions of the whole log."""
+    rows = [(k, i, v) for i, (k, v) in enumerate(log)]
+    schema = "k INT, seq INT, v STRING"
+    whole = changes.scd2(spark.createDataFrame(rows, schema), ["k"], ["seq"], ["v"])
+    parts = [rows[i : i + size] for i in range(0, len(rows), size)][:4]
+    if sum(map(len, parts)) < len(rows):
+        parts.append(rows[4 * size :])
+    rng.shuffle(parts)
+    stored = None
+    for part in [*parts, parts[0]]:
+        step = changes.scd2_step(stored, spark.createDataFrame(part, schema), ["k"], "seq", ["v"])
+        stored = spark.createDataFrame(step.collect(), step.schema)
+    assert rows_of(changes.scd2_versions(stored)) == rows_of(whole)
+
+
+def test_upsert_newer(spark):
+    make = lambda *rows: spark.createDataFrame(list(rows), "k INT, seq INT, v STRING")
+    table = changes.upsert_newer(None, make((1, 5, "a"), (1, 4, "b"), (None, 1, "n")), ["k"], "seq")
+    table = changes.upsert_newer(table, make((1, 3, "late"), (2, 1, "c"), (1, 5, "a")), ["k"], "seq")
+    assert rows_of(table) == [(1, 5, "a"), (2, 1, "c"), (None, 1, "n")]
+    for bad in (make((1, 5, "other")), make((1, None, "x"))):
+        with pytest.raises(Exception, match="same or no"):
+            changes.upsert_newer(table, bad, ["k"], "seq").collect()
+
+
+def test_flights_golden(spark):
+    """The sizes of the shipped flight batches: 113 keys, 118 versions."""
+    make = lambda ids, line: spark.createDataFrame([(f"F{i:04}", line) for i in ids], "flight_id STRING, airline STRING")
+    batches = [make(range(1, 101), "A"), make(range(101, 111), "A"),
+               make([45, 5, 3, 32, 52], "B").unionByName(make([111, 112, 113], "A"))]
+    assert changes.fold_batches(batches, ["flight_id"]).count() == 113
+    history = changes.fold_history(batches, ["flight_id"])
+    assert history.count() == 118 and history.filter("is_current").count() == 113

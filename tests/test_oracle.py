@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from tidemill.plans import REGISTRY
 
 FOLDER = os.environ.get("TIDEMILL_TEST_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = dict(REGISTRY)
+SQL = {name: q.sql for name, q in REGISTRY.items() if q.sql}
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +30,7 @@ def test_same_answer(spark, con, name):
 @pytest.mark.parametrize("name", [
     n for n in sorted(QUERIES) if n.startswith(("win_", "udf_03", "srt_01", "dml_03", "dml_13_fold_history"))
 ])
-def test_same_answer_with_cut_groups(spark, con, many_pieces, name):
+def test_same_answer_in_small_sections(spark, con, small_sections, name):
     assert difference(QUERIES[name](spark, FOLDER), con, SQL[name]) is None
 
 

@@ -1,5 +1,6 @@
 """Golden cases of the text, list and record functions."""
 
+import html
 from html.parser import HTMLParser
 
 import pytest
@@ -160,6 +161,19 @@ def test_product_record(spark):
     assert got[2]["id"] == 9 and got[2]["description"] == "A. B." and got[2]["images"] == []
 
 
+@pytest.mark.parametrize("given", [
+    "&#00000038;", "&#x00000026;x", "&#150;", "&notit;", "&amp;lt;", "&hellip;&copy2", "&bogus; &", "&AMP", "&#xD800;",
+    "&#99999999;", "&CounterClockwiseContourIntegral;", "&nbsp;a&eacute", "&#x80;", "&#0;", "&lt&gt", "a&b", "&;", "&#;", "&#x;",
+])
+def test_references_as_the_standard_library_reads_them(spark, given):
+    assert values_of(spark, text.decode_entities, given) == [html.unescape(given)]
+
+
+def test_only_texts_and_objects_are_images(spark):
+    images = '[3, "a", {"url": "u"}, null, true, "9", ["x"], {}]'
+    assert values_of(spark, lambda c: semi.image_urls(c, []), images, "x", None) == [["a", "u", "9"], [], []]
+
+
 def test_not_a_record(spark):
     rows = spark.createDataFrame([("[1]",), ("x",), ('{"id": 1}',)], "raw STRING")
     found = rows.select(semi.product_struct(F.col("raw")).isNull().alias("bad")).collect()

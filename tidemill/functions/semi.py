@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemill.functions.text import describe_product, first_truthy, strip
+from tidemill.functions.text import describe_product, first_truthy, let, strip
 
 JSON_OPTIONS = {"allowBackslashEscapingAnyCharacter": "true"}
 
@@ -70,25 +70,27 @@ def unquoted_items(text: Column) -> Column:
 
 
 def _inner_object(json: Column, field: str) -> Column:
-    inner = F.get_json_object(json, f"$.{field}")
-    return F.when(inner.startswith("{"), inner).otherwise(json)
+    return let(F.get_json_object(json, f"$.{field}"), lambda inner: F.when(inner.startswith("{"), inner).otherwise(json))
 
 
 def unwrap(json: Column) -> Column:
-    """Step into ``data`` and then ``product`` where those are objects."""
-    return _inner_object(_inner_object(json, "data"), "product")
+    """Step into ``data`` and then ``product`` where those are objects; each is looked up once."""
+    return let(_inner_object(json, "data"), lambda inner: _inner_object(inner, "product"))
 
 
 def image_urls(images: Column, thumbnails: list[Column]) -> Column:
-    """URLs of the image list, with every thumbnail that is not listed yet put in front."""
-    listed = F.from_json(images, "array<string>", JSON_OPTIONS)
-    urls = F.transform(
-        listed,
-        lambda item: F.when(
-            item.startswith("{"),
-            first_truthy(*[F.get_json_object(item, f"$.{f}") for f in IMAGE_FIELDS]),
-        ).otherwise(item),
-    )
+    """URLs of the image list, with every thumbnail that is not listed yet put in front.
+
+    The list may hold texts and objects; numbers and other values are no images.
+    """
+    def url(item: Column) -> Column:
+        kind = F.schema_of_variant(item)
+        fields = [F.try_variant_get(item, f"$.{f}", "string") for f in IMAGE_FIELDS]
+        return F.when(kind == "STRING", F.try_variant_get(item, "$", "string")).when(
+            kind.startswith("OBJECT"), first_truthy(*fields)
+        )
+
+    urls = F.transform(F.from_json(images, "array<variant>", JSON_OPTIONS), url)
     urls = F.coalesce(F.filter(urls, lambda url: url.isNotNull()), F.array().cast("array<string>"))
     for thumbnail in thumbnails:
         wanted = (F.coalesce(thumbnail, F.lit("")) != "") & ~F.array_contains(urls, thumbnail)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -92,35 +92,59 @@ def email_or_default(name: Column, email: Column, domain: str = "default.com") -
     return F.when(valid_email(email), email).otherwise(F.concat(name, F.lit(f"@{domain}")))
 
 
-def _named_entities() -> Column:
-    pairs = []
-    for name, code in sorted({**name2codepoint, "apos": 39}.items()):
-        pairs += [F.lit(name), F.lit(chr(code))]
-    return F.create_map(*pairs)
+# Names that HTML accepts without a semicolon, longest first, so that the longest one is found.
+BARE_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+NAME = rf"^([A-Za-z][A-Za-z0-9]*;|{BARE_NAMES})"
+NUMBER = r"^#(?:[xX]0*([0-9a-fA-F]+)|0*([0-9]+));?"
+COMMON = ["amp;", "nbsp;", "lt;", "gt;", "quot;"]
 
 
-REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);?"
+def _literal_map(pairs: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+
+
+def _windows_1252() -> dict[int, int]:
+    """Numbers 128 to 159 stand for the characters that Windows-1252 has there."""
+    found = {i: bytes([i]).decode("cp1252", "ignore") for i in range(0x80, 0xA0)}
+    return {i: ord(c) for i, c in found.items() if c}
+
+
+def _number(code: Column) -> Column:
+    """The character of a number; the replacement character for one that is none."""
+    moved = F.coalesce(F.element_at(_literal_map(_windows_1252()), code), code)
+    valid = moved.between(1, 0xD7FF) | moved.between(0xE000, 0x10FFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, moved).otherwise(0xFFFD)), 8, "0")), "UTF-32")
 
 
 def _reference(piece: Column) -> Column:
     """Decode the character reference that ``piece`` (text after an ``&``) starts with."""
 
-    def decoded(name: Column) -> Column:
-        digits = F.when(
-            name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10)
-        ).otherwise(F.substring(name, 2, 7))
-        numeric = let(digits.try_cast("int"), lambda code: F.decode(
-            F.unhex(F.lpad(F.hex(
-                F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), code)
-                .otherwise(0xFFFD)
-            ), 8, "0")),
-            "UTF-32",
-        ))
-        known = F.when(name.startswith("#"), numeric).otherwise(F.element_at(_named_entities(), name))
-        rest = F.regexp_replace(piece, REFERENCE, "")
-        return F.coalesce(F.concat(known, rest), F.concat(F.lit("&"), piece))
-
-    return let(F.regexp_extract(piece, REFERENCE, 1), decoded)
+    def numeric(piece: Column) -> Column:
+        hexadecimal, decimal = F.regexp_extract(piece, NUMBER, 1), F.regexp_extract(piece, NUMBER, 2)
+        # More digits than any character has make no character.
+        code = F.when(F.length(hexadecimal) > 6, -1).when(hexadecimal != "", F.conv(hexadecimal, 16, 10).try_cast("int"))
+        code = F.coalesce(code, F.when(F.length(decimal) > 7, -1).otherwise(decimal.try_cast("int")))
+        return F.concat(let(code, _number), F.regexp_replace(piece, NUMBER, ""))
+
+    def named(piece: Column) -> Column:
+        def replaced(name: Column) -> Column:
+            known = F.element_at(_literal_map({n: c for n, c in html5.items() if n not in COMMON}), name)
+            for common in COMMON:
+                known = F.when(name == common, html5[common]).otherwise(known)
+            whole = F.concat(known, F.substring(piece, F.length(name) + 1, F.length(piece)))
+            # An unknown name with a semicolon may still begin with one that needs none.
+            bare = F.regexp_extract(piece, f"^({BARE_NAMES})", 1)
+            short = let(bare, lambda b: F.when(b != "", F.concat(
+                F.element_at(_literal_map({n: c for n, c in html5.items() if not n.endswith(";")}), b),
+                F.substring(piece, F.length(b) + 1, F.length(piece)),
+            )))
+            return F.coalesce(whole, short, F.concat(F.lit("&"), piece))
+
+        return let(F.regexp_extract(piece, NAME, 1), replaced)
+
+    return F.when(piece.rlike(NUMBER), numeric(piece)).when(piece.rlike(NAME), named(piece)).otherwise(
+        F.concat(F.lit("&"), piece)
+    )
 
 
 def decode_entities(text: Column) -> Column:

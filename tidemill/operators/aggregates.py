@@ -26,7 +26,10 @@ def item_counts(df: DataFrame, items: Column, name: str, count: str = "n") -> Da
 
 
 def extreme_rows(df: DataFrame, measure: str, largest: bool = True) -> DataFrame:
-    """Every row that holds the largest (or smallest) value, ties included."""
+    """Every row that holds the largest (or smallest) value, ties included.
+
+    The value is found by a scan of its column alone; ties, however many, stay where they are.
+    """
     pick = F.max if largest else F.min
     return df.filter(F.col(measure) == df.select(pick(measure)).scalar())
 
@@ -66,8 +69,10 @@ def top_per_group(
 
 
 def flow_matrix(
-    df: DataFrame, origin: str, target: str, targets: Sequence[str]
+    df: DataFrame, origin: str, target: str, targets: Sequence[str], other: str = "other"
 ) -> DataFrame:
-    """Origins as rows, the listed targets as columns, row counts in the cells."""
-    counts = df.groupBy(origin).pivot(target, list(targets)).count()
+    """Origins as rows, the listed targets as columns, row counts in the cells; all further
+    targets, and missing ones, are counted as ``other``."""
+    known = F.when(F.col(target).isin(list(targets)), F.col(target)).otherwise(other)
+    counts = df.withColumn(target, known).groupBy(origin).pivot(target, [*targets, other]).count()
     return counts.na.fill(0)

@@ -1,6 +1,6 @@
 """Change application as frame transforms: ``new table = f(old table, change feed)``.
 
-Nothing is written here; see ``snapshots`` for storing the result as a new version.
+Nothing is written here; ``tidemill.sources.tables`` stores a result as the next folder of a table.
 """
 
 from __future__ import annotations
@@ -44,9 +44,18 @@ def upsert_latest(target: DataFrame | None, source: DataFrame, keys: Sequence[st
     return upsert(target, keep_first(source, keys, *newest), keys, check=False)
 
 
+def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows, failing the job at a null in a key column."""
+    missing = F.lit(False)
+    for key in keys:
+        missing |= F.col(key).isNull()
+    message = F.lit(f"a key of {list(keys)} is null")
+    return df.filter(F.when(missing, F.raise_error(message).cast("boolean")).otherwise(True))
+
+
 def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
-    """Append the rows whose key is new, one per key."""
-    return target.unionByName(new_rows(keep_first(source, keys, *order), target, keys))
+    """Append the rows whose key is new, one per key; a null key is an error, as in a primary key."""
+    return target.unionByName(new_rows(keep_first(keyed(source, keys), keys, *order), target, keys))
 
 
 def latest(log: DataFrame, keys: Sequence[str], *newest: Column) -> DataFrame:
@@ -87,20 +96,20 @@ def scd1(
 ) -> DataFrame:
     """Dimension that keeps the newest attributes only.
 
-    Known members keep their key and ``create_date``; new ones get the next dense keys.
+    Known members keep their key and ``create_date``; new ones get the next dense keys. A null
+    natural key is one member, however often it is loaded.
     """
     feed = keep_first(feed, [natural_key], *(order or [F.col(natural_key)]))
     if dimension is None:
-        dated = feed.withColumns({"create_date": now, "update_date": now})
-        return dense_keys(dated, natural_key, surrogate)
-    known = feed.join(
-        dimension.select(natural_key, surrogate, "create_date"), natural_key
-    ).withColumn("update_date", now)
-    fresh = new_rows(feed, dimension, [natural_key]).withColumns(
-        {"create_date": now, "update_date": now}
-    )
+        return dense_keys(feed.withColumns({"create_date": now, "update_date": now}), natural_key, surrogate)
+    old = dimension.select(natural_key, surrogate, "create_date", F.lit(True).alias("_known")).alias("old")
+    arriving = feed.withColumn("update_date", now).alias("new")
+    matched = same("old", "new", [(natural_key, natural_key)], null_safe=True)
+    marked = arriving.join(old, matched, "left").select("new.*", surrogate, "create_date", "_known")
+    known = marked.filter("_known").drop("_known")
+    fresh = marked.filter("_known IS NULL").drop("_known", surrogate).withColumn("create_date", now)
     fresh = dense_keys(fresh, natural_key, surrogate, after=maximum(dimension, surrogate, F.lit(0)))
-    untouched = new_rows(dimension, feed, [natural_key])
+    untouched = dimension.alias("old").join(arriving.select(natural_key).alias("new"), matched, "left_anti")
     return untouched.unionByName(known).unionByName(fresh)
 
 
@@ -109,7 +118,7 @@ def scd2(
     keys: Sequence[str],
     sequence: Sequence[str],
     tracked: Sequence[str],
-    pieces: int | None = None,
+    section_rows: int | None = None,
 ) -> DataFrame:
     """Every version of every key, valid in ``[valid_from, valid_to)``.
 
@@ -119,27 +128,84 @@ def scd2(
     moment = sequence[0]
     log = log.select(*keys, *dict.fromkeys([*sequence, *tracked]))
     state = F.col(tracked[0]) if len(tracked) == 1 else F.struct(*tracked)
-    versions = changes_of_state(log, keys, sequence, state, "valid_to", pieces)
+    versions = changes_of_state(log, keys, sequence, state, "valid_to", section_rows)
     return versions.select(
         *keys, *tracked, F.col(moment).alias("valid_from"), "valid_to",
         F.col("valid_to").isNull().alias("is_current"),
     )
 
 
+def scd2_step(
+    stored: DataFrame | None, batch: DataFrame, keys: Sequence[str], sequence: str, tracked: Sequence[str]
+) -> DataFrame:
+    """Apply a batch of changes to a stored history, as if the whole log had been folded.
+
+    Only keys of the batch are worked on. The result holds every observation, since a late row
+    may make a version of one that repeated its predecessor; ``scd2_versions`` shows the versions.
+    A row that was applied before changes nothing; two different rows of a key with one
+    sequence value, and a null one, are errors.
+    """
+    arriving = batch.select(*keys, *tracked, F.col(sequence).alias("valid_from")).distinct()
+    if stored is None:
+        return _observed(arriving, keys, tracked)
+    own = same("old", "new", [(k, k) for k in keys], null_safe=True)
+    touched = arriving.select(*keys).distinct().alias("new")
+    known = stored.select(*keys, *tracked, "valid_from").alias("old").join(touched, own, "left_semi")
+    untouched = stored.alias("old").join(touched, own, "left_anti")
+    return untouched.unionByName(_observed(known.unionByName(arriving).distinct(), keys, tracked))
+
+
+def _observed(rows: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
+    versions = scd2(rows, keys, ["valid_from"], tracked).select(*keys, "valid_from", "valid_to", "is_current")
+    place = same("old", "new", [(k, k) for k in [*keys, "valid_from"]], null_safe=True)
+    return rows.alias("old").join(versions.alias("new"), place, "left").select(
+        "old.*", "new.valid_to", "new.is_current"
+    )
+
+
+def scd2_versions(stored: DataFrame) -> DataFrame:
+    """The versions of a history kept by ``scd2_step``."""
+    return stored.filter(F.col("is_current").isNotNull())
+
+
+def upsert_newer(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], *sequence: str) -> DataFrame:
+    """Upsert a feed that repeats keys: the row with the largest ``sequence`` wins, stored or not.
+
+    An older row that comes late never replaces a newer one, and a batch replayed changes
+    nothing. Rows of a key that share the largest sequence but differ are an error.
+    """
+    rows = batch if target is None else target.unionByName(batch.select(*target.columns))
+    place = F.struct(*sequence)
+    newest = rows.groupBy(*keys).agg(
+        F.max_by(F.struct(*rows.columns), place).alias("row"), F.max(place).alias("_place"),
+        F.max(F.greatest(*[F.col(c).isNull().cast("int") for c in sequence], F.lit(0))).alias("_null"),
+    )
+    ties = rows.distinct().groupBy(*keys, place.alias("_place")).agg(F.count("*").alias("_rows"))
+    matched = newest.alias("old").join(
+        ties.alias("new"), same("old", "new", [(k, k) for k in [*keys, "_place"]], null_safe=True)
+    )
+    message = F.lit(f"rows of one {list(keys)} have the same or no {list(sequence)}")
+    open_order = (F.col("_rows") > 1) | (F.col("_null") > 0)
+    checked = matched.filter(F.when(open_order, F.raise_error(message).cast("boolean")).otherwise(True))
+    return checked.select("old.row.*").select(*rows.columns)
+
+
 def fold_batches(batches: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Apply dimension batches in order, newest attributes winning."""
-    numbered = [df.withColumn("_batch", F.lit(i)) for i, df in enumerate(batches)]
-    log = numbered[0]
-    for df in numbered[1:]:
-        log = log.unionByName(df)
-    return latest(log, keys, F.desc("_batch")).drop("_batch")
+    """Apply dimension batches in order, newest attributes winning; a batch holds a key once."""
+    log = _log(batches, "_batch")
+    return upsert_newer(None, log, keys, "_batch").drop("_batch")
 
 
-def fold_history(batches: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """All versions over the batches; ``valid_from`` is the batch number."""
+def _log(batches: Sequence[DataFrame], number: str) -> DataFrame:
     log = None
     for i, df in enumerate(batches):
-        df = df.withColumn("batch", F.lit(i))
+        df = df.withColumn(number, F.lit(i))
         log = df if log is None else log.unionByName(df)
+    return log
+
+
+def fold_history(batches: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """All versions over the batches; ``valid_from`` is the batch number."""
+    log = _log(batches, "batch")
     tracked = [c for c in log.columns if c not in keys and c != "batch"]
     return scd2(log, keys, ["batch"], tracked)

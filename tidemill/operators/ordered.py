@@ -1,171 +1,90 @@
 """Ordered calculations that stay parallel inside one group.
 
-A plain window sends a whole group to one task, so a year or a device that holds a third of
-all rows becomes the slowest task of the job. ``Sections`` finds such groups and cuts them
-along the order. Their windows run per section, and a small summary per section carries
-totals over from earlier ones; it joins on the key the rows are already shuffled by. All
-other groups go through the plain window.
+A plain window sends a whole group to one task, so a year or a device that holds a third of all
+rows becomes the slowest task of the job. ``Sections`` cuts the rows, sorted by group and order,
+into sections of a bounded number of rows: a section holds many small groups or a stretch of a
+large one. Windows run per section, and a group that goes on into the next section carries its
+totals over. Only the first group of a section can have begun earlier and only its last one can
+go on, so there is at most one carried row per section and direction.
 
 Results do not depend on where the cuts fall; they only balance the work.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window, WindowSpec
 
-SECTION = "_section"
-# One task sorts this many rows without trouble, so smaller groups are never cut.
-LARGE_ROWS = 2_000_000
-
-
-def _as_number(df: DataFrame, name: str) -> Column:
-    """A double that never decreases when the column's value grows."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.StringType):
-        low, high = df.agg(F.min(name), F.max(name)).first()
-        shared = 0
-        for a, b in zip(low or "", high or ""):
-            if a != b:
-                break
-            shared += 1
-        # Values share their first characters; the six bytes that follow order them.
-        head = F.hex(F.encode(F.substring(name, shared + 1, 6), "utf-8"))
-        return F.conv(F.rpad(F.substring(head, 1, 12), 12, "0"), 16, 10).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    return F.col(name).cast("double")
-
-
-# Types for which equal numbers from ``_as_number`` always mean equal values.
-EXACT = (
-    T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType,
-    T.DateType, T.TimestampType, T.TimestampNTZType,
-)
-
-
-class Cuts:
-    """Approximate quantiles of a column: one aggregate, of which ``pieces - 1`` numbers
-    reach the driver.
-
-    A value that fills several quantiles gets a slice of its own (``single``). Slices count
-    from 0, which holds the nulls, as Spark sorts them.
-    """
-
-    def __init__(self, df: DataFrame, name: str, pieces: int):
-        self.number = _as_number(df, name)
-        shares = [i / pieces for i in range(1, pieces)]
-        found = df.agg(F.percentile_approx(self.number, shares, 10000)).first()[0] or []
-        cuts = [c for c in found if math.isfinite(c)]
-        exact = isinstance(df.schema[name].dataType, EXACT)
-        crowded = {c for c in cuts if cuts.count(c) > 1} if exact else set()
-        inner = sorted(set(cuts) | {math.nextafter(c, math.inf) for c in crowded}) or [0.0]
-        self.splits = [-math.inf, *inner, math.inf]
-        self.single = [self.splits.index(c) + 1 for c in crowded]
-        self.count = len(self.splits) + 1
+from tidemill.session import stored
 
-    def add(self, df: DataFrame, out: str) -> DataFrame:
-        bucketed = Bucketizer(
-            splits=self.splits, inputCol="_number", outputCol=out, handleInvalid="keep"
-        ).transform(df.withColumn("_number", self.number))
-        return bucketed.withColumn(out, F.coalesce(F.col(out) + 1, F.lit(0)).cast("bigint")).drop("_number")
+SECTION = "_section"
+# One task sorts this many rows without trouble.
+SECTION_ROWS = 250_000
 
 
 class Sections:
-    """How the large groups of a frame are cut along ``order`` (one or more columns).
+    """The rows of a frame in sections of at most ``section_rows`` rows.
 
-    A group is large if it holds more than one of ``pieces`` equal parts of all rows (and more
-    than ``LARGE_ROWS``), so there are fewer than ``pieces`` large groups, whatever the data.
-    With no ``by``, the whole frame is one large group.
+    ``order`` sorts the rows of a group; the place in the stored input comes last, so equal
+    rows, nulls and any crowded value are cut like all others. The input is evaluated once, and
+    the rows are written once more with their sections if there are more than fit in one.
     """
 
-    def __init__(self, df: DataFrame, by: Sequence[str], order: Sequence[str], pieces: int | None = None):
-        self.by, self.order = list(by), list(order)
-        self.pieces = max(2, pieces or min(1024, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-        self.large = self._large_groups(df)
-        if not self.by or self.large:
-            rows = self._large_rows(df)
-            self.cuts = Cuts(rows, self.order[0], self.pieces)
-            # One value may hold any share of the rows; its rows are cut along the next column.
-            tied = self.cuts.single and len(self.order) > 1
-            self.tie_cuts = Cuts(rows, self.order[1], self.pieces) if tied else None
-            self.parts = self.tie_cuts.count if tied else self.pieces
-
-    def _large_groups(self, df: DataFrame) -> DataFrame | None:
-        if not self.by:
-            return None
-        sizes = df.groupBy(*self.by).agg(F.count("*").alias("_rows"))
-        total = Observation()
-        counted = sizes.observe(total, F.sum("_rows").alias("rows"))
-        largest = counted.orderBy(F.desc("_rows")).limit(self.pieces).collect()
-        share = max((total.get["rows"] or 0) / self.pieces, LARGE_ROWS)
-        found = [[row[c] for c in self.by] for row in largest if row["_rows"] > share]
-        if not found:
-            return None
-        schema = T.StructType([T.StructField("_group", T.LongType()), *df.select(*self.by).schema])
-        groups = df.sparkSession.createDataFrame([(i, *row) for i, row in enumerate(found)], schema)
-        return groups.withColumnsRenamed({c: f"_large_{c}" for c in self.by})
-
-    def _match(self, df: DataFrame, how: str) -> DataFrame:
-        same = reduce(
-            lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_large_{c}")) for c in self.by]
+    def __init__(self, df: DataFrame, by: Sequence[str], order: Sequence[Column], section_rows: int | None = None):
+        self.by = list(by)
+        most = section_rows or SECTION_ROWS
+        counted = Observation()
+        kept = stored(df.observe(counted, F.count(F.lit(1)).alias("rows")), "ordered")
+        total = counted.get["rows"]
+        self.count = 1
+        self.rows = kept.withColumn(SECTION, F.lit(0))
+        largest = total
+        while largest > most:
+            # Sections of sampled bounds vary in size, so they aim at half of what is allowed.
+            self.count = 2 * self.count if self.count > 1 else 2 * total // most + 1
+            placed = kept.withColumn("_place", F.monotonically_increasing_id())
+            cut = placed.repartitionByRange(self.count, *by, *order, "_place").drop("_place")
+            self.rows = stored(cut.withColumn(SECTION, F.spark_partition_id()), "sections")
+            largest = self.rows.groupBy(SECTION).count().agg(F.max("count")).first()[0]
+        self.rows = self.rows.repartition(SECTION) if self.count > 1 or not self.by else self.rows
+
+    def inside(self, *order: Column) -> WindowSpec:
+        """The rows of one group in one section."""
+        return Window.partitionBy(SECTION, *self.by).orderBy(*order)
+
+    def summary(self, rows: DataFrame, *totals: Column) -> DataFrame:
+        """One row per group and section."""
+        return rows.groupBy(SECTION, *self.by).agg(*totals)
+
+    def across(self) -> WindowSpec:
+        """A group's sections in order: no more rows than there are sections."""
+        return Window.partitionBy(*self.by).orderBy(SECTION)
+
+    def attach(self, rows: DataFrame, summary: DataFrame, spans: Column, carried: dict[str, Column]) -> DataFrame:
+        """Add what a group carries over from (or to) other sections; null where it does not.
+
+        ``carried`` and ``spans``, which tells whether there is another section on that side, are
+        window expressions over the summary.
+        """
+        if self.count == 1:
+            return rows.withColumns({name: F.lit(None).cast(kind) for name, kind in self._kinds(summary, carried)})
+        kept = summary.withColumns(carried).filter(spans).select(
+            SECTION, *[F.col(c).alias(f"_of_{c}") for c in self.by], *carried, F.lit(True).alias("_spans")
+        )
+        joined = rows.join(kept, SECTION, "left")
+        same = F.coalesce(F.col("_spans"), F.lit(False))
+        for c in self.by:
+            same &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+        return joined.withColumns({name: F.when(same, F.col(name)) for name in carried}).drop(
+            "_spans", *[f"_of_{c}" for c in self.by]
         )
-        return df.join(F.broadcast(self.large), same, how)
-
-    def _large_rows(self, df: DataFrame) -> DataFrame:
-        if not self.by:
-            return df.withColumn("_group", F.lit(0).cast("bigint"))
-        return self._match(df, "inner").drop(*[f"_large_{c}" for c in self.by])
-
-    def whole(self, df: DataFrame) -> DataFrame | None:
-        """The rows of groups that stay in one piece."""
-        if not self.by:
-            return None
-        return self._match(df, "left_anti") if self.large else df
-
-    def cut(self, df: DataFrame) -> DataFrame | None:
-        """The rows of large groups with their section, numbered by group and then in order."""
-        if self.by and not self.large:
-            return None
-        rows = self.cuts.add(self._large_rows(df), "_slice")
-        if self.tie_cuts:
-            rows = self.tie_cuts.add(rows, "_part")
-        else:
-            rows = rows.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(self.pieces)))
-        part = F.when(F.col("_slice").isin(self.cuts.single), F.col("_part")).otherwise(0)
-        number = (F.col("_group") * self.cuts.count + F.col("_slice")) * self.parts + part
-        return rows.withColumn(SECTION, number).drop("_group", "_slice", "_part")
-
-    def apply(self, df: DataFrame, job: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Run a job over both kinds of groups; it gets the section column for large ones."""
-        frames = [job(rows) for rows in (self.whole(df), self.cut(df)) if rows is not None]
-        return reduce(DataFrame.unionByName, [rows.drop(SECTION) for rows in frames])
-
-    def inside(self, rows: DataFrame, *order: Column | str) -> WindowSpec:
-        """The window of a group, or of a section where the rows are cut."""
-        keys = [SECTION] if SECTION in rows.columns else self.by
-        return Window.partitionBy(*keys).orderBy(*(order or self.order))
-
-    def group(self) -> WindowSpec:
-        span = self.cuts.count * self.parts
-        return Window.partitionBy(F.floor(F.col(SECTION) / span))
-
-    def slice(self) -> Column:
-        return F.pmod(F.floor(F.col(SECTION) / self.parts), F.lit(self.cuts.count))
 
-    def across(self, descending: bool = False) -> WindowSpec:
-        """The sections of one group in order."""
-        order = [self.slice().desc(), F.col(SECTION)] if descending else [F.col(SECTION)]
-        return self.group().orderBy(*order)
+    def _kinds(self, summary: DataFrame, carried: dict[str, Column]):
+        schema = summary.withColumns(carried).schema
+        return [(name, schema[name].dataType) for name in carried]
 
 
 def ranked(
@@ -178,78 +97,67 @@ def ranked(
     row_number: str | None = None,
     rank: str | None = None,
     dense_rank: str | None = None,
-    pieces: int | None = None,
+    section_rows: int | None = None,
 ) -> DataFrame:
     """Add SQL's ``row_number``, ``rank`` and ``dense_rank`` under the given names.
 
     Rows are ordered by ``order``; ``tie`` decides between equal rows and only matters for
     ``row_number``. Nulls sort first ascending and last descending, as in Spark.
     """
-    sections = Sections(df, by, [order, tie] if tie else [order], pieces)
     key = F.col(order).desc() if descending else F.col(order).asc()
-    names = {"_row": row_number, "_rank": rank, "_dense": dense_rank}
-    names = {kind: name for kind, name in names.items() if name}
-
-    def number(rows: DataFrame) -> DataFrame:
-        tied = sections.inside(rows, key)
-        untied = sections.inside(rows, key, F.col(tie)) if tie else tied
-        local = {
-            "_row": F.row_number().over(untied), "_rank": F.rank().over(tied), "_dense": F.dense_rank().over(tied),
-        }
-        numbered = rows.withColumns({kind: local[kind] for kind in names})
-        result = {name: F.col(kind) for kind, name in names.items()}
-        if SECTION in rows.columns:
-            numbered = numbered.join(_rank_bases(sections, rows, order, descending, "_dense" in names), SECTION)
-            result = {name: F.coalesce(F.col(f"{kind}_base"), F.lit(0)) + F.col(kind) for kind, name in names.items()}
-        kept = [F.col(c) for c in df.columns if c not in result]
-        return numbered.select(*kept, *[value.cast("bigint").alias(name) for name, value in result.items()])
-
-    return sections.apply(df, number)
-
-
-def _rank_bases(sections: Sections, rows: DataFrame, order: str, descending: bool, dense: bool) -> DataFrame:
-    """Rows and values ahead of each section."""
-    totals = [F.count("*").alias("_rows")]
-    if dense:
-        totals.append(F.countDistinct(order).alias("_values"))
-        totals.append(F.max(F.col(order).isNull().cast("int")).alias("_null"))
-    summary = rows.groupBy(SECTION).agg(*totals)
-
-    slot = sections.slice()
-    ahead = sections.across(descending)
-    earlier_sections = ahead.rowsBetween(Window.unboundedPreceding, -1)
-    earlier_slices = sections.group().orderBy(slot.desc() if descending else slot.asc())
-    earlier_slices = earlier_slices.rangeBetween(Window.unboundedPreceding, -1)
-    bases = {
-        "_row_base": F.sum("_rows").over(earlier_sections),
-        "_rank_base": F.sum("_rows").over(earlier_slices),
+    full = [key, F.col(tie).asc()] if tie else [key]
+    sections = Sections(df, by, full, section_rows)
+    rows = sections.rows.withColumns({
+        "_row": F.row_number().over(sections.inside(*full)),
+        "_rank": F.rank().over(sections.inside(key)),
+        "_dense": F.dense_rank().over(sections.inside(key)),
+    })
+    summary = sections.summary(
+        rows, F.count("*").alias("_rows"), F.max("_rank").alias("_top"), F.max("_dense").alias("_values"),
+        F.min_by(F.struct(order), "_row").alias("_first"), F.max_by(F.struct(order), "_row").alias("_last"),
+    )
+    across = sections.across()
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.withColumns({
+        "_before": F.sum("_rows").over(earlier),
+        # The section begins with the value the one before ends with.
+        "_goes_on": F.coalesce(F.lag("_last").over(across).eqNullSafe(F.col("_first")), F.lit(False)),
+    })
+    summary = summary.withColumn("_goes_on", F.col("_goes_on") & F.col("_before").isNotNull())
+    # Where the section's last value begins: here, unless the section is all of a value that goes on.
+    here = (F.col("_top") > 1) | ~F.col("_goes_on")
+    summary = summary.withColumn("_begins", F.when(here, F.coalesce("_before", F.lit(0)) + F.col("_top")))
+    rows = sections.attach(rows, summary, F.col("_before").isNotNull(), {
+        "_row_base": F.col("_before"),
+        "_run": F.when(F.col("_goes_on"), F.last("_begins", ignorenulls=True).over(earlier)),
+        "_dense_base": F.sum(F.col("_values") - F.col("_goes_on").cast("int")).over(earlier) - F.col("_goes_on").cast("int"),
+    })
+    base = F.coalesce("_row_base", F.lit(0))
+    result = {
+        row_number: base + F.col("_row"),
+        rank: F.when(F.col("_run").isNotNull() & (F.col("_rank") == 1), F.col("_run")).otherwise(base + F.col("_rank")),
+        dense_rank: F.coalesce("_dense_base", F.lit(0)) + F.col("_dense"),
     }
-    if dense:
-        # A value spread over several sections counts once, at the first of them.
-        repeated = F.lag(slot).over(ahead).eqNullSafe(slot)
-        summary = summary.withColumn(
-            "_new", F.when(repeated, 0).otherwise(F.col("_values") + F.col("_null"))
-        )
-        bases["_dense_base"] = F.sum("_new").over(earlier_slices)
-    return summary.withColumns(bases).select(SECTION, *bases)
+    result = {name: value.cast("bigint") for name, value in result.items() if name}
+    return rows.withColumns(result).select(*[c for c in df.columns if c not in result], *result)
 
 
 def dense_keys(
     df: DataFrame, natural_key: str, name: str, after: Column | None = None,
-    pieces: int | None = None,
+    section_rows: int | None = None,
 ) -> DataFrame:
     """Surrogate keys 1..n in the order of the natural key, on top of ``after`` if given."""
-    keyed = ranked(df, [], natural_key, row_number=name, pieces=pieces)
+    keyed = ranked(df, [], natural_key, row_number=name, section_rows=section_rows)
     if after is None:
         return keyed
     return keyed.withColumn(name, (F.coalesce(after, F.lit(0)) + F.col(name)).cast("bigint"))
 
 
 def batch_numbers(
-    df: DataFrame, order: str, size: int, name: str, pieces: int | None = None
+    df: DataFrame, order: str, size: int, name: str, section_rows: int | None = None
 ) -> DataFrame:
     """Number consecutive batches of ``size`` rows from 1."""
-    placed = ranked(df, [], order, row_number="_position", pieces=pieces)
+    placed = ranked(df, [], order, row_number="_position", section_rows=section_rows)
     return placed.withColumn(
         name, (F.floor((F.col("_position") - 1) / size) + 1).cast("bigint")
     ).drop("_position")
@@ -257,95 +165,83 @@ def batch_numbers(
 
 def changes_of_state(
     df: DataFrame, by: Sequence[str], order: Sequence[str], state: Column, until: str,
-    pieces: int | None = None,
+    section_rows: int | None = None,
 ) -> DataFrame:
     """The rows at which a group's state changes, with the moment of the next change.
 
-    The first column of ``order`` is the moment; together its columns must leave no ties.
+    The first column of ``order`` is the moment. A null in ``order``, or two rows of a group
+    that agree in it, leave the order open and fail the job.
     """
-    sections = Sections(df, by, order, pieces)
-    moment = order[0]
-
-    def changed(rows: DataFrame) -> DataFrame:
-        window = sections.inside(rows)
-        rows = rows.withColumn("_state", state)
-        rows = rows.withColumns({
-            "_prior": F.lag("_state").over(window), "_opens": F.lag(F.lit(1)).over(window).isNull(),
-        })
-        rows = rows.filter(F.col("_opens") | ~F.col("_prior").eqNullSafe(F.col("_state")))
-        rows = rows.withColumn("_next", F.lead(moment).over(window))
-        if SECTION not in rows.columns:
-            return rows.select(*df.columns, F.col("_next").alias(until))
-        # The first row of a section looks like a change; whether it is one depends on the
-        # state the section before ended with.
-        place = F.struct(*order)
-        later = sections.across().rowsBetween(1, Window.unboundedFollowing)
-        summary = rows.groupBy(SECTION).agg(
-            F.min_by("_state", place).alias("_opening"),
-            F.max_by("_state", place).alias("_closing"),
-            F.min(moment).alias("_first"),
-            F.min(F.when(~F.col("_opens"), F.col(moment))).alias("_second"),
-        ).withColumns({
-            "_carried": F.lag("_closing").over(sections.across()),
-            "_follows": F.lag(F.lit(True), 1, False).over(sections.across()),
-        })
-        repeats = F.col("_follows") & F.col("_carried").eqNullSafe(F.col("_opening"))
-        summary = summary.withColumn("_change", F.when(repeats, F.col("_second")).otherwise(F.col("_first")))
-        upcoming = F.first("_change", ignorenulls=True).over(later)
-        summary = summary.select(SECTION, repeats.alias("_repeats"), upcoming.alias("_upcoming"))
-        rows = rows.join(summary, SECTION).filter(~(F.col("_opens") & F.col("_repeats")))
-        return rows.select(*df.columns, F.coalesce("_next", "_upcoming").alias(until))
-
-    return sections.apply(df, changed)
+    order_by = [F.col(c).asc() for c in order]
+    sections = Sections(df.withColumn("_state", state), by, order_by, section_rows)
+    moment, place = order[0], F.struct(*order)
+    window = sections.inside(*order_by)
+    rows = sections.rows.withColumns({
+        "_prior": F.lag("_state").over(window), "_prior_place": F.lag(place).over(window),
+        "_opens": F.lag(F.lit(1)).over(window).isNull(), "_row": F.row_number().over(window),
+    })
+    summary = sections.summary(
+        rows, F.min_by(F.struct("_state"), "_row").alias("_opening"), F.max_by(F.struct("_state"), "_row").alias("_closing"),
+        F.max_by(place, "_row").alias("_last_place"), F.min_by(F.struct(moment), "_row").alias("_first"),
+        F.min(F.when(~F.col("_opens") & ~F.col("_prior").eqNullSafe(F.col("_state")), F.struct(moment))).alias("_second"),
+    )
+    across = sections.across()
+    later = across.rowsBetween(1, Window.unboundedFollowing)
+    summary = summary.withColumn("_carried", F.lag("_closing").over(across))
+    repeats = F.col("_carried").isNotNull() & F.col("_carried").eqNullSafe(F.col("_opening"))
+    summary = summary.withColumn("_change", F.when(repeats, F.col("_second")).otherwise(F.col("_first")))
+    rows = sections.attach(rows, summary, F.col("_carried").isNotNull(), {
+        "_before": F.col("_carried"), "_before_place": F.lag("_last_place").over(across),
+    })
+    prior_place = F.coalesce("_prior_place", "_before_place")
+    unordered = F.lit(False)
+    for c in order:
+        unordered |= F.col(c).isNull()
+    broken = unordered | F.coalesce(prior_place == place, F.lit(False))
+    failed = F.raise_error(F.lit(f"the order {list(order)} is null or leaves rows of one {list(by)} in any order"))
+    first = F.col("_opens") & F.col("_before").isNull()
+    prior = F.coalesce(F.when(~F.col("_opens"), F.struct(F.col("_prior").alias("_state"))), "_before")
+    changed = rows.filter(F.when(broken, failed.cast("boolean")).otherwise(first | ~prior.eqNullSafe(F.struct("_state"))))
+    changed = changed.withColumn("_next", F.lead(F.struct(moment)).over(window))
+    changed = sections.attach(changed, summary, F.col("_upcoming").isNotNull(), {
+        "_upcoming": F.first("_change", ignorenulls=True).over(later),
+    })
+    return changed.select(*df.columns, F.coalesce("_next", "_upcoming")[moment].alias(until))
 
 
 def speed_trace(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], delta: Column, pieces: int | None = None
+    df: DataFrame, by: Sequence[str], order: Sequence[str], delta: Column, section_rows: int | None = None
 ) -> DataFrame:
     """Speed, odometer, step number and average speed after each pulse of a device.
 
     A pulse adds ``delta``; the speed never falls below 0. With S the running sum of the
     pulses, that speed is S less the lowest S so far (or less 0 while S stayed positive).
     """
-    sections = Sections(df, by, order, pieces)
+    order_by = [F.col(c).asc() for c in order]
+    sections = Sections(df.withColumn("_delta", F.coalesce(delta, F.lit(0))), by, order_by, section_rows)
+    so_far = sections.inside(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = sections.across().rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0)
-
-    def trace(rows: DataFrame) -> DataFrame:
-        cut = SECTION in rows.columns
-        so_far = sections.inside(rows).rowsBetween(Window.unboundedPreceding, 0)
-        rows = rows.withColumn("_delta", F.coalesce(delta, zero))
-        rows = rows.withColumn("_sum", F.sum("_delta").over(so_far))
-        rows = rows.withColumns({
-            "_low": F.min("_sum").over(so_far), "_n": F.row_number().over(sections.inside(rows)),
-        })
-        if cut:
-            earlier = sections.across().rowsBetween(Window.unboundedPreceding, -1)
-            summary = rows.groupBy(SECTION).agg(
-                F.sum("_delta").alias("_total"), F.min("_sum").alias("_lowest"), F.count("*").alias("_rows")
-            )
-            summary = summary.withColumn("_base", F.coalesce(F.sum("_total").over(earlier), zero))
-            lowest = F.min(F.col("_base") + F.col("_lowest")).over(earlier)
-            steps = F.coalesce(F.sum("_rows").over(earlier), zero)
-            rows = rows.join(summary.select(
-                SECTION, "_base", steps.alias("_steps"), F.least(zero, lowest).alias("_floor")
-            ), SECTION)
-        else:
-            rows = rows.withColumns({"_base": zero, "_steps": zero, "_floor": zero})
-        lowest = F.least(F.col("_floor"), F.col("_base") + F.col("_low"))
-        rows = rows.withColumns({
-            "speed": F.col("_base") + F.col("_sum") - lowest,
-            "step": (F.col("_steps") + F.col("_n")).cast("bigint"),
-        })
-        driven = rows.withColumn("_driven", F.sum("speed").over(so_far))
-        odometer = F.col("_driven")
-        if cut:
-            summary = rows.groupBy(SECTION).agg(F.sum("speed").alias("_distance"))
-            before = F.coalesce(F.sum("_distance").over(earlier), zero)
-            driven = driven.join(summary.select(SECTION, before.alias("_before")), SECTION)
-            odometer = F.col("_before") + F.col("_driven")
-        return driven.select(
-            *df.columns, "speed", odometer.alias("odometer"), "step",
-            (odometer / F.col("step")).alias("average_speed"),
-        )
-
-    return sections.apply(df, trace)
+    rows = sections.rows.withColumn("_sum", F.sum("_delta").over(so_far))
+    rows = rows.withColumns({"_low": F.min("_sum").over(so_far), "_n": F.row_number().over(sections.inside(*order_by))})
+    summary = sections.summary(
+        rows, F.sum("_delta").alias("_total"), F.min("_sum").alias("_lowest"), F.count("*").alias("_rows")
+    ).withColumn("_base", F.sum("_total").over(earlier))
+    rows = sections.attach(rows, summary, F.col("_base").isNotNull(), {
+        "_base": F.col("_base"),
+        "_floor": F.min(F.coalesce("_base", zero) + F.col("_lowest")).over(earlier),
+        "_steps": F.sum("_rows").over(earlier),
+    })
+    base = F.coalesce("_base", zero)
+    rows = rows.withColumns({
+        "speed": base + F.col("_sum") - F.least(zero, F.coalesce("_floor", zero), base + F.col("_low")),
+        "step": (F.coalesce("_steps", zero) + F.col("_n")).cast("bigint"),
+    }).withColumn("_driven", F.sum("speed").over(so_far))
+    summary = sections.summary(rows, F.sum("speed").alias("_distance"))
+    rows = sections.attach(rows, summary.withColumn("_earlier", F.sum("_distance").over(earlier)), F.col("_earlier").isNotNull(), {
+        "_earlier": F.col("_earlier"),
+    })
+    odometer = F.coalesce("_earlier", zero) + F.col("_driven")
+    return rows.select(
+        *df.columns, "speed", odometer.alias("odometer"), "step", (odometer / F.col("step")).alias("average_speed"),
+    )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.joins import keys_of
+from tidemill.session import stored
 
 
 def check_table(
@@ -77,8 +78,8 @@ def with_error(df: DataFrame, checks: Sequence[tuple[Column, str]]) -> DataFrame
 def quarantine(
     df: DataFrame, id_column: str, checks: Sequence[tuple[Column, str]]
 ) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and ``(id, error)`` for the others."""
-    marked = with_error(df, checks)
+    """Good rows, and ``(id, error)`` for the others; the input is evaluated once and stored."""
+    marked = stored(with_error(df, checks), "checked")
     good = marked.filter(F.col("error").isNull()).drop("error")
     bad = marked.filter(F.col("error").isNotNull()).select(
         F.col(id_column).cast("string").alias("id"), "error"

@@ -92,12 +92,12 @@ def temp_view(t):
 
 @query("prj_11_cte", """
     WITH fact_base AS (
-        SELECT o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'O')
+        SELECT o_custkey, o_totalprice FROM orders)
     SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM fact_base GROUP BY 1""")
 def cte(t):
     return t.spark.sql("""
         WITH fact_base AS (
-            SELECT o_custkey, o_totalprice FROM {orders} WHERE o_orderstatus = 'O')
+            SELECT o_custkey, o_totalprice FROM {orders})
         SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS total
         FROM fact_base GROUP BY o_custkey""", orders=t.orders)
 
@@ -113,17 +113,12 @@ def threshold(t):
 
 
 @query("flt_03_null_split", """
-    SELECT c_custkey, CASE WHEN last_order IS NULL THEN 'new' ELSE 'existing' END AS kind
-    FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_order FROM orders
-        WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY 1) ON c_custkey = o_custkey""")
+    SELECT d.doc_id, CASE WHEN quality IS NULL THEN 'new' ELSE 'existing' END AS kind
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def null_split(t):
-    last = (
-        t.orders.filter("o_orderdate < TIMESTAMP_NTZ '1996-01-01'").groupBy("o_custkey")
-        .agg(F.max("o_orderdate").alias("last_order"))
-    )
-    joined = t.customer.join(last, F.col("c_custkey") == F.col("o_custkey"), "left")
-    kind = F.when(F.col("last_order").isNull(), "new").otherwise("existing")
-    return joined.select("c_custkey", kind.alias("kind"))
+    joined = t.documents.select("doc_id").join(t.labels, "doc_id", "left")
+    kind = F.when(F.col("quality").isNull(), "new").otherwise("existing")
+    return joined.select("doc_id", kind.alias("kind"))
 
 
 @query("flt_04_valid_rows", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0")

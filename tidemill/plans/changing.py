@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import functions as F
 
 from tidemill.operators import changes
-from tidemill.operators.snapshots import SnapshotTable
 from tidemill.plans.registry import query
-
-T0 = datetime(2025, 1, 1)
+from tidemill.sources.tables import FolderTable
 
 
 def moment(text: str):
@@ -36,23 +32,29 @@ def fact_upsert(t):
 
 
 @query("dml_02_scd1", """
-    WITH old AS (SELECT *, row_number() OVER (ORDER BY c_custkey) AS dim_key FROM customer WHERE c_nationkey < 15),
-    fresh AS (SELECT *, row_number() OVER (ORDER BY c_custkey) + (SELECT max(dim_key) FROM old) AS dim_key
-              FROM customer WHERE c_nationkey >= 15)
-    SELECT dim_key, c_custkey, CASE WHEN c_nationkey >= 10 THEN lower(c_mktsegment) ELSE c_mktsegment END AS c_mktsegment,
+    WITH keyed AS (SELECT *, NULLIF(c_custkey, 7) AS k FROM customer),
+    old AS (SELECT *, row_number() OVER (ORDER BY k NULLS FIRST) AS dim_key FROM keyed WHERE c_nationkey < 15 OR k IS NULL),
+    fresh AS (SELECT *, row_number() OVER (ORDER BY k) + (SELECT max(dim_key) FROM old) AS dim_key
+              FROM keyed WHERE c_nationkey >= 15 AND k IS NOT NULL)
+    SELECT dim_key, k AS c_custkey,
+           CASE WHEN c_nationkey >= 10 OR k IS NULL THEN lower(c_mktsegment) ELSE c_mktsegment END AS c_mktsegment,
            TIMESTAMP '2025-01-01' AS create_date,
-           CASE WHEN c_nationkey >= 10 THEN TIMESTAMP '2025-02-01' ELSE TIMESTAMP '2025-01-01' END AS update_date
+           CASE WHEN c_nationkey >= 10 OR k IS NULL THEN TIMESTAMP '2025-02-01' ELSE TIMESTAMP '2025-01-01' END AS update_date
     FROM old
-    UNION ALL SELECT dim_key, c_custkey, lower(c_mktsegment), TIMESTAMP '2025-02-01', TIMESTAMP '2025-02-01' FROM fresh""")
+    UNION ALL SELECT dim_key, k, lower(c_mktsegment), TIMESTAMP '2025-02-01', TIMESTAMP '2025-02-01' FROM fresh""")
 def scd1(t):
-    """Nations below 15 load first; nations from 10 arrive later with a changed segment, each row twice."""
-    first = t.customer.filter("c_nationkey < 15").select("c_custkey", "c_mktsegment")
-    dimension = SnapshotTable(t.spark, t.scratch("dimension"))
-    dimension.commit(changes.scd1(None, first, "c_custkey", "dim_key", moment("2025-01-01 00:00:00")), "write", T0)
-    feed = t.customer.filter("c_nationkey >= 10").select("c_custkey", F.lower("c_mktsegment").alias("c_mktsegment"))
-    return changes.scd1(
-        dimension.read(), feed.unionByName(feed), "c_custkey", "dim_key", moment("2025-02-01 00:00:00")
+    """Nations below 15 load first; nations from 10 arrive later with a changed segment, each row twice.
+
+    Customer 7 has a null key in both loads and stays one member.
+    """
+    members = t.customer.withColumn("c_custkey", F.nullif("c_custkey", F.lit(7)))
+    first = members.filter("c_nationkey < 15 OR c_custkey IS NULL").select("c_custkey", "c_mktsegment")
+    table = FolderTable(t.spark, t.scratch("dimension"))
+    table.write(changes.scd1(None, first, "c_custkey", "dim_key", moment("2025-01-01 00:00:00")))
+    feed = members.filter("c_nationkey >= 10 OR c_custkey IS NULL").select(
+        "c_custkey", F.lower("c_mktsegment").alias("c_mktsegment")
     )
+    return changes.scd1(table.read(), feed.unionByName(feed), "c_custkey", "dim_key", moment("2025-02-01 00:00:00"))
 
 
 @query("dml_03_scd2", """
@@ -65,6 +67,23 @@ def scd2(t):
     return changes.scd2(t.events, ["user_id"], ["ts", "event_id"], ["event_type"])
 
 
+@query("dml_03_scd2_batches", """
+    WITH log AS (SELECT DISTINCT ON (user_id, ts) user_id, ts, event_type FROM events ORDER BY user_id, ts, event_id),
+    marked AS (SELECT *, lag(event_type) OVER w AS before FROM log WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    versions AS (SELECT * FROM marked WHERE before IS DISTINCT FROM event_type)
+    SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER w AS valid_to, lead(ts) OVER w IS NULL AS is_current
+    FROM versions WINDOW w AS (PARTITION BY user_id ORDER BY ts)""")
+def scd2_batches(t):
+    """The history stored batch by batch, the later events first, the last batch sent twice."""
+    log = t.events.groupBy("user_id", "ts").agg(F.min_by("event_type", "event_id").alias("event_type"))
+    table = FolderTable(t.spark, t.scratch("history"))
+    late = "ts < TIMESTAMP_NTZ '2024-01-10'"
+    for batch in (f"NOT ({late})", late, late):
+        stored = table.read() if table.versions() else None
+        table.write(changes.scd2_step(stored, log.filter(batch), ["user_id"], "ts", ["event_type"]))
+    return changes.scd2_versions(table.read())
+
+
 @query("dml_04_upsert_latest", """
     SELECT user_id, event_type, value FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts >= TIMESTAMP '2024-01-20' DESC,
@@ -94,56 +113,46 @@ def insert_absent(t):
 @query("dml_06_update", """
     SELECT c_custkey, CASE WHEN c_nationkey = 1 THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
 def update(t):
-    table = SnapshotTable(t.spark, t.scratch("update"))
-    table.commit(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"), "write", T0)
-    table.update(F.col("c_nationkey") == 1, T0 + timedelta(days=1), c_mktsegment=F.lit("MOVED"))
-    return table.read().drop("c_nationkey")
+    rows = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    return changes.update_where(rows, F.col("c_nationkey") == 1, c_mktsegment=F.lit("MOVED")).drop("c_nationkey")
 
 
 @query("dml_07_delete", "SELECT * FROM customer WHERE NOT (c_nationkey = 1)")
 def delete(t):
-    table = SnapshotTable(t.spark, t.scratch("delete"))
-    table.commit(t.customer, "write", T0)
-    table.delete(F.col("c_nationkey") == 1, T0 + timedelta(days=1))
-    return table.read()
+    return changes.delete_where(t.customer, F.col("c_nationkey") == 1)
 
 
 @query("dml_08_restore", "SELECT * FROM customer")
 def restore(t):
-    table = SnapshotTable(t.spark, t.scratch("restore"))
-    first = table.commit(t.customer, "write", T0)
-    table.update(F.col("c_nationkey") == 1, T0 + timedelta(days=1), c_mktsegment=F.lit("MOVED"))
-    table.delete(F.col("c_nationkey") == 1, T0 + timedelta(days=2))
-    table.restore(first, T0 + timedelta(days=3))
+    """An earlier version of a stored table becomes the current one again."""
+    table = FolderTable(t.spark, t.scratch("restore"))
+    first = table.write(t.customer)
+    table.write(changes.delete_where(table.read(), F.col("c_nationkey") == 1))
+    table.write(table.read(first))
     return table.read()
 
 
 @query("dml_09_history", """
-    SELECT 0 AS version, TIMESTAMP '2025-01-01' AS committed_at, 'write' AS operation, count(*) AS rows FROM supplier
-    UNION ALL SELECT 1, TIMESTAMP '2025-01-02', 'delete', count(*) FROM supplier WHERE s_acctbal >= 0
-    UNION ALL SELECT 2, TIMESTAMP '2025-01-03', 'restore', count(*) FROM supplier""")
+    SELECT 0 AS version, count(*) AS rows FROM supplier
+    UNION ALL SELECT 1, count(*) FROM supplier WHERE s_acctbal >= 0
+    UNION ALL SELECT 2, count(*) FROM supplier""")
 def history(t):
-    table = SnapshotTable(t.spark, t.scratch("history"))
-    table.commit(t.supplier, "write", T0)
-    table.delete(F.col("s_acctbal") < 0, T0 + timedelta(days=1))
-    table.restore(0, T0 + timedelta(days=2))
-    past = table.history().withColumn("committed_at", F.col("committed_at").cast("timestamp_ntz"))
-    return past.select("version", "committed_at", "operation", "rows")
+    table = FolderTable(t.spark, t.scratch("history"))
+    table.write(t.supplier)
+    table.write(changes.delete_where(table.read(), F.col("s_acctbal") < 0))
+    table.write(table.read(0))
+    return table.sizes()
 
 
-@query("dml_10_compact", """
-    SELECT s_suppkey, s_name, CAST(2 AS BIGINT) AS files, true AS dropped FROM supplier""")
+@query("dml_10_compact", "SELECT s_suppkey, s_name, CAST(2 AS BIGINT) AS files FROM supplier")
 def compact(t):
-    table = SnapshotTable(t.spark, t.scratch("compact"))
-    table.commit(t.supplier.repartition(8), "write", T0)
-    table.update(F.col("s_nationkey") == 1, T0 + timedelta(days=1), s_name=F.col("s_name"))
-    table.compact(2, T0 + timedelta(days=2))
-    dropped = table.vacuum(T0 + timedelta(days=30))
-    return table.read().select(
-        "s_suppkey", "s_name",
-        table.detail().select("files").scalar().cast("bigint").alias("files"),
-        F.lit(len(dropped) >= 8).alias("dropped"),
-    )
+    """Many small files rewritten as two."""
+    table = FolderTable(t.spark, t.scratch("compact"))
+    table.write(t.supplier.repartition(8))
+    table.write(table.read().repartition(2))
+    stored = table.read().select("s_suppkey", "s_name", F.input_file_name().alias("file"))
+    files = stored.agg(F.count_distinct("file")).scalar().cast("bigint")
+    return stored.select("s_suppkey", "s_name", files.alias("files"))
 
 
 @query("dml_11_incremental_load", """

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.filters import digits_only
 from tidemill.operators.sets import first_seen
-from tidemill.operators.snapshots import SnapshotTable
 from tidemill.plans.registry import query
+from tidemill.sources.tables import FolderTable
 from tidemill.sources import catalog, readers, writers
 from tidemill.streaming import feeds
 
@@ -67,11 +67,11 @@ def explicit_schema_recursive(t):
 
 
 @query("src_04_catalog_table", """
-    SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal > 0""")
+    SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""")
 def catalog_table(t):
     table = f"{fresh_database(t, 'scan')}.supplier"
     catalog.save_external(t.supplier, table, t.scratch("supplier"))
-    return t.spark.sql(f"SELECT * FROM {table} WHERE s_acctbal > 0")
+    return t.spark.sql(f"SELECT * FROM {table}")
 
 
 @query("src_05_versioned_scan", """
@@ -81,8 +81,8 @@ def catalog_table(t):
 def versioned_scan(t):
     counts = None
     for name in ("region", "nation", "supplier"):
-        table = SnapshotTable(t.spark, t.scratch(name))
-        table.commit(getattr(t, name), "write")
+        table = FolderTable(t.spark, t.scratch(name))
+        table.write(getattr(t, name))
         one = table.read().agg(F.lit(name).alias("table_name"), F.count("*").alias("n"))
         counts = one if counts is None else counts.unionByName(one)
     return counts
@@ -165,15 +165,12 @@ def xml_items(t):
     FROM orders""")
 def delta_tree(t):
     root = t.scratch("tree")
-    years = t.orders.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
-    done = F.col("o_orderstatus") == "F"
-    for year in range(years[0], years[1] + 1):
-        batch = t.orders.filter(F.year("o_orderdate") == year)
-        for hour, part in (("00", done), ("01", ~done)):
-            writers.write_csv(
-                batch.filter(part).select("o_orderkey", "o_custkey", "o_totalprice"),
-                f"{root}/{year}0101/{hour}/orders.csv",
-            )
+    hour = F.when(F.col("o_orderstatus") == "F", "00").otherwise("01")
+    rows = t.orders.select(
+        "o_orderkey", "o_custkey", "o_totalprice", hour.alias("hour"),
+        F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("0101")).alias("date"), F.lit("orders.csv").alias("table"),
+    )
+    rows.write.partitionBy("date", "hour", "table").option("header", True).csv(root)
     return readers.read_delta_tree(
         t.spark, root, "orders", "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE"
     )
@@ -205,14 +202,17 @@ def quoted_csv(t):
 PAGE_IDS_SQL = "regexp_extract(url, '([^/?]+)(\\?[^/]*)?$', 1)"
 
 
-@query("src_14_id_list", f"""
-    SELECT {PAGE_IDS_SQL} AS id, min(page_id) AS position FROM pages
-    WHERE regexp_matches({PAGE_IDS_SQL}, '^[0-9]+$') GROUP BY 1""")
+@query("src_14_id_list", """
+    SELECT CAST(doc_id AS VARCHAR) AS id FROM documents
+    UNION SELECT CAST(page_id AS VARCHAR) FROM pages""")
 def id_list(t):
-    cells = t.pages.select(
-        F.regexp_extract("url", r"([^/?]+)(\?[^/]*)?$", 1).alias("id"), F.col("page_id").alias("position")
-    )
-    return first_seen(cells.filter(digits_only(F.col("id"))), "id", "position")
+    """A written list whose cells are ids, repeats, blanks and words."""
+    path = t.scratch("ids")
+    ids = t.documents.select(F.col("doc_id").cast("string").alias("id"), "source")
+    more = t.pages.select(F.concat(F.lit(" "), F.col("page_id").cast("string")).alias("id"), F.lit("crawl").alias("source"))
+    words = t.pages.select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"), F.lit("").alias("source"))
+    ids.unionByName(more).unionByName(words).write.option("header", True).csv(path)
+    return readers.read_id_list(t.spark, path).select("id")
 
 
 @query("snk_01_append", "SELECT s_suppkey, CAST(2 AS BIGINT) AS copies FROM supplier")
@@ -231,19 +231,19 @@ def overwrite(t):
     return t.spark.read.parquet(path)
 
 
-@query("snk_03_external_table", "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'")
+@query("snk_03_external_table", "SELECT * FROM customer")
 def external_table(t):
     table = f"{fresh_database(t, 'external')}.customer"
     catalog.save_external(t.customer, table, t.scratch("customer"))
-    return t.spark.table(table).filter("c_mktsegment = 'BUILDING'")
+    return t.spark.table(table)
 
 
-@query("snk_04_register_location", "SELECT * FROM part WHERE p_size < 10")
+@query("snk_04_register_location", "SELECT * FROM part")
 def register_location(t):
     path, table = t.scratch("part"), f"{fresh_database(t, 'register')}.part"
     writers.overwrite_parquet(t.part, path)
     catalog.register_location(t.spark, table, path)
-    return t.spark.table(table).filter("p_size < 10")
+    return t.spark.table(table)
 
 
 @query("snk_05_recreate_database", """
@@ -267,12 +267,10 @@ def stream_to_parquet(t):
     return t.spark.read.schema(ORDERS).parquet(f"{out}/data")
 
 
-@query("snk_07_csv_with_header", "SELECT p_partkey, p_name, p_retailprice FROM part WHERE p_retailprice > 1000")
+@query("snk_07_csv_with_header", "SELECT p_partkey, p_name, p_retailprice FROM part")
 def csv_with_header(t):
     path = t.scratch("csv")
-    writers.write_csv(
-        t.part.filter("p_retailprice > 1000").select("p_partkey", "p_name", "p_retailprice"), path
-    )
+    writers.write_csv(t.part.select("p_partkey", "p_name", "p_retailprice"), path)
     return readers.read_csv(t.spark, path, "p_partkey BIGINT, p_name STRING, p_retailprice DOUBLE")
 
 

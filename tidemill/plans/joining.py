@@ -65,14 +65,10 @@ TRIPS_SQL = """
 
 
 @query("jn_01_left_join", """
-    SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer
-    LEFT JOIN (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01') ON c_custkey = o_custkey""")
+    SELECT d.doc_id, lang, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def left_join(t):
-    recent = t.orders.filter("o_orderdate >= TIMESTAMP_NTZ '2000-01-01'").select(
-        "o_custkey", "o_orderkey", "o_totalprice"
-    )
-    joined = joins.left_join_many(t.customer.select("c_custkey", "c_name"), recent, "c_custkey", "o_custkey")
-    return joined.drop("o_custkey")
+    labels = t.labels.withColumnRenamed("doc_id", "labelled")
+    return joins.left_join_many(t.documents.select("doc_id", "lang"), labels, "doc_id", "labelled").drop("labelled")
 
 
 @query("jn_02_star_fact", """
@@ -86,35 +82,24 @@ def star_fact(t):
 
 
 @query("jn_03_key_lookup", """
-    SELECT l_orderkey, l_linenumber, l_suppkey, c_custkey AS dim_customer_key, p_partkey AS product_id
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) ON o_custkey = c_custkey
-    LEFT JOIN (SELECT * FROM part WHERE p_size > 5) ON l_partkey = p_partkey""")
+    SELECT d.doc_id, d.source, l.quality AS dim_quality, p.url AS dim_url
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id LEFT JOIN pages p ON d.doc_id = p.page_id""")
 def key_lookup(t):
-    fact = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    fact = joins.lookup(fact, t.customer.filter("c_acctbal >= 0"), "o_custkey", "c_custkey", dim_customer_key="c_custkey")
-    fact = joins.lookup(fact, t.part.filter("p_size > 5"), "l_partkey", "p_partkey", product_id="p_partkey")
-    return fact.select("l_orderkey", "l_linenumber", "l_suppkey", "dim_customer_key", "product_id")
-
-
-# A range on the raw column reaches the Parquet scan; year(...) would not.
-IN_1999 = "o_orderdate >= TIMESTAMP_NTZ '1999-01-01' AND o_orderdate < TIMESTAMP_NTZ '2000-01-01'"
+    fact = t.documents.select("doc_id", "source")
+    fact = joins.lookup(fact, t.labels, "doc_id", "doc_id", dim_quality="quality")
+    return joins.lookup(fact, t.pages, "doc_id", "page_id", dim_url="url")
 
 
 @query("jn_04_new_rows", """
-    SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (
-        SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1999)""")
+    SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def new_rows(t):
-    stored = t.orders.filter(IN_1999).select(F.col("o_custkey").alias("c_custkey"))
-    return joins.new_rows(t.customer, stored, ["c_custkey"]).select("c_custkey", "c_name")
+    return joins.new_rows(t.documents.select("doc_id", "lang"), t.labels, ["doc_id"])
 
 
 @query("jn_05_existing_rows", """
-    SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (
-        SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1999)""")
+    SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)""")
 def existing_rows(t):
-    stored = t.orders.filter(IN_1999).select(F.col("o_custkey").alias("c_custkey"))
-    return joins.existing_rows(t.customer, stored, ["c_custkey"]).select("c_custkey", "c_name")
+    return joins.existing_rows(t.documents.select("doc_id", "lang"), t.labels, ["doc_id"])
 
 
 @query("jn_06_role_playing", f"WITH {TRIPS_SQL} SELECT * FROM trips")

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import changes
 from tidemill.operators.joins import correlate
-from tidemill.operators.snapshots import SnapshotTable
 from tidemill.plans.ingest import EVENTS, MICROSECONDS, READING, READINGS_SQL, readings
 from tidemill.plans.registry import query
+from tidemill.sources.tables import FolderTable
 from tidemill.streaming import feeds
 
 TOPICS = ["click", "error", "purchase", "signup", "view"]
@@ -59,9 +59,10 @@ def watermark_keeps_rows(t):
 @query("stm_03_independent_sinks", """
     SELECT event_type AS topic, user_id, count(*) AS n FROM events GROUP BY 1, 2""")
 def independent_sinks(t):
-    out = t.scratch("sinks")
-    stream = event_stream(t)
-    parts = {name: stream.filter(F.col("topic") == name) for name in TOPICS}
+    topics, out = t.scratch("topics"), t.scratch("sinks")
+    rows = readings(t.events)
+    rows.withColumn("feed", F.col("topic")).write.partitionBy("feed").parquet(topics)
+    parts = {name: t.spark.readStream.schema(rows.schema).parquet(f"{topics}/feed={name}") for name in TOPICS}
     feeds.await_all(feeds.write_feeds(parts, out, drain=True).values())
     stored = t.spark.read.schema(READING).parquet(*[f"{out}/data/{name}" for name in TOPICS])
     return stored.groupBy("topic", F.col("deviceId").cast("bigint").alias("user_id")).agg(F.count("*").alias("n"))
@@ -84,21 +85,18 @@ def drain_and_restart(t):
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
         FROM events WHERE value > 1) WHERE place = 1""")
 def streamed_changes(t):
-    """Rules drop rows from the stream; each micro-batch merges into a versioned table."""
-    table = SnapshotTable(t.spark, t.scratch("changes"))
-    newest = [F.desc("ts"), F.desc("event_id")]
+    """Rules drop rows from the stream; each micro-batch merges into a stored table.
 
-    def apply(batch, _):
-        log = batch.select("user_id", "event_id", "event_type", "ts")
-        stored = None if table.current_version() is None else table.read()
-        if stored is not None:
-            log = stored.unionByName(log)
-        table.commit(changes.latest(log, ["user_id"], *newest), "merge")
-
-    stream = t.spark.readStream.schema(EVENTS).parquet(t.arrivals("events"))
-    run = feeds.apply_changes(stream, {"large": "value > 1"}, apply, t.scratch("checkpoint"))
-    feeds.await_all([run])
-    return table.read().drop("ts")
+    The later half of the events arrives first, so the second batch is late.
+    """
+    table, arriving, checkpoint = FolderTable(t.spark, t.scratch("changes")), t.scratch("arriving"), t.scratch("checkpoint")
+    log = t.events.select("user_id", "event_id", "event_type", "ts", "value")
+    for half in ("ts >= TIMESTAMP_NTZ '2024-01-16'", "ts < TIMESTAMP_NTZ '2024-01-16'"):
+        log.filter(half).write.mode("append").parquet(arriving)
+        stream = t.spark.readStream.schema(log.schema).parquet(arriving)
+        apply = feeds.upsert_into(table, ["user_id"], "ts", "event_id")
+        feeds.await_all([feeds.apply_changes(stream, {"large": "value > 1"}, apply, checkpoint)])
+    return table.read().select("user_id", "event_id", "event_type")
 
 
 @query("stm_06_stream_join", """
@@ -125,11 +123,10 @@ def stream_join(t):
 @query("stm_07_minute_average", """
     SELECT CAST(user_id AS VARCHAR) AS "deviceId", date_trunc('minute', ts) AS window_start,
            round(avg(value), 6) AS avg_speed, count(*) AS readings
-    FROM events WHERE event_type = 'click'
-    AND date_trunc('minute', ts) + INTERVAL 3 MINUTE <= (SELECT max(ts) FROM events WHERE event_type = 'click')
+    FROM events WHERE date_trunc('minute', ts) + INTERVAL 3 MINUTE <= (SELECT max(ts) FROM events)
     GROUP BY 1, 2""")
 def minute_average(t):
     """Closed windows only: append mode holds back the minutes inside the watermark."""
-    feed = event_stream(t).filter(F.col("topic") == "click").withWatermark("timestamp", feeds.LATENESS)
+    feed = event_stream(t).withWatermark("timestamp", feeds.LATENESS)
     stored = drain(t, feeds.minute_average(feed, "speed"), "minutes")
     return without_zone(stored, "window_start").withColumn("avg_speed", F.round("avg_speed", 6))

@@ -37,9 +37,9 @@ def without_rescued(df: DataFrame, column: str = "_rescued_data") -> DataFrame:
 def read_delta_tree(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
     """One table of a ``<date>/<hour>/<table>.csv`` tree, with its batch date and hour."""
     path = F.col("_metadata.file_path")
-    place = r"/([^/]+)/([^/]+)/([^/.]+)\.csv(?:/[^/]*)?$"
+    place = r"/(?:date=)?([^/=]+)/(?:hour=)?([^/=]+)/(?:table=)?([^/.=]+)\.csv(?:/[^/]*)?$"
     return (
-        spark.read.option("header", True).schema(schema).csv(f"{root.rstrip('/')}/*/*/{table}.csv")
+        spark.read.option("header", True).schema(schema).csv(f"{root.rstrip('/')}/*/*/*{table}.csv")
         .withColumns({
             "batch_date": F.regexp_extract(path, place, 1),
             "batch_hour": F.regexp_extract(path, place, 2),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.session import stored
+
 
 def append_parquet(df: DataFrame, path: str) -> None:
     """Append; running it twice stores the rows twice."""
@@ -27,9 +29,9 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 def write_split(df: DataFrame, error: Column, good_path: str, bad_path: str, id_column: str) -> None:
     """Good records to one folder, ``{id, error}`` of the others to another.
 
-    The input is read once per folder; both are plain filters over the same rows.
+    The input is evaluated once, into a stored table; both outputs are read from that.
     """
-    marked = df.withColumn("error", error)
+    marked = stored(df.withColumn("error", error), "split")
     write_json_lines(marked.filter(F.col("error").isNull()).drop("error"), good_path)
     bad = marked.filter(F.col("error").isNotNull())
     write_json_lines(bad.select(F.col(id_column).cast("string").alias("id"), "error"), bad_path)

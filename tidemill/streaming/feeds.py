@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Mapping
-from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidemill.operators.changes import upsert_newer
 from tidemill.operators.quality import keep_expected
-from tidemill.operators.snapshots import SnapshotTable
 from tidemill.schemas import FEEDS
+from tidemill.sources.tables import FolderTable
 
 LATENESS = "2 minutes"
 
@@ -69,30 +69,13 @@ def parse_location(location):
     return F.struct(F.get(pair, F.lit(0)).alias("lat"), F.get(pair, F.lit(1)).alias("lon"))
 
 
-@contextmanager
-def sized_state(spark: SparkSession):
-    """Start streams with at most two state partitions per core.
-
-    A stream keeps the partition count of its first run, and every partition writes its state
-    in every micro-batch, so the count for batch shuffles is usually too high.
-    """
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    fitting = min(int(before), 2 * spark.sparkContext.defaultParallelism)
-    spark.conf.set("spark.sql.shuffle.partitions", str(fitting))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
 def write_feed(df: DataFrame, path: str, checkpoint: str, drain: bool = False) -> StreamingQuery:
     """Append a stream to Parquet; ``drain`` stops after the data available now."""
     writer = (
         df.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint).option("path", path)
     )
-    with sized_state(df.sparkSession):
-        return (writer.trigger(availableNow=True) if drain else writer).start()
+    return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
 def write_feeds(feeds: Mapping[str, DataFrame], folder: str, drain: bool = False) -> dict[str, StreamingQuery]:
@@ -119,7 +102,12 @@ def tracked_schema(spark: SparkSession, path: str, location: str) -> StructType:
     """The schema kept at ``location``; the first run takes it from the files and keeps it."""
     try:
         kept = spark.read.text(location, wholetext=True).first()[0]
-        return StructType.fromJson(json.loads(kept))
+        schema = StructType.fromJson(json.loads(kept))
+        arrived = spark.read.option("mergeSchema", True).parquet(path).schema
+        added = [f.name for f in arrived if f.name.lower() not in {k.name.lower() for k in schema}]
+        if added:
+            raise ValueError(f"{path} has new columns {added} beside {schema.names}")
+        return schema
     except AnalysisException:
         schema = spark.read.parquet(path).schema
         one = spark.createDataFrame([(schema.json(),)], "value STRING")
@@ -134,6 +122,8 @@ def ingest_files(
     """Copy newly arrived Parquet files of each data set to its landing folder, once.
 
     Without given schemas, that of the first run is kept beside the data and used from then on.
+    Files that later bring a column the kept schema lacks stop the job before anything is
+    copied, since the column would be lost.
     """
     streams = {}
     for name in names:
@@ -154,12 +144,14 @@ def apply_changes(
     )
 
 
-def upsert_into(table: SnapshotTable, keys: list[str]) -> Callable[[DataFrame, int], object]:
-    """A batch function that merges into a snapshot table.
+def upsert_into(table: FolderTable, keys: list[str], *sequence: str) -> Callable[[DataFrame, int], object]:
+    """A batch function that merges into a stored table; see ``upsert_newer``.
 
-    A batch replayed after a failure merges to the same rows, so the table stays right.
+    A batch replayed after a failure, or a late one, merges to the same rows.
     """
-    return lambda batch, _: table.merge(batch, keys)
+    return lambda batch, _: table.write(
+        upsert_newer(table.read() if table.versions() else None, batch, keys, *sequence)
+    )
 
 
 def minute_average(feed: DataFrame, measure: str, event_time: str = "timestamp", width: str = "1 minute") -> DataFrame:
