@@ -63,6 +63,13 @@ def packet_rows(packet: bytes):
     return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(packet))
 
 
+def block_rows(table: pa.Table):
+    """The rows of a block in batches of bounded bytes, far fewer than its packets."""
+    packets = [packet_rows(p).read_all() for p in table.column("packet").to_pylist()]
+    if packets:
+        yield from slices(pa.concat_tables(packets).combine_chunks().to_batches(), "text")
+
+
 def repeated_ids(table: pa.Table) -> set[int]:
     """Ids that several rows of a block have."""
     docs = [doc_ids(b.column("doc_id")) for packet in table.column("packet").to_pylist() for b in packet_rows(packet)]
