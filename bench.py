@@ -18,8 +18,8 @@ HEADLINES = [
     "agg_12_monthly_figures", "agg_14_revenue_by_place", "agg_15_flow_matrix", "agg_16_column_profile",
     "win_01_dense_rank", "win_03_row_number", "win_04_dense_keys", "win_07_odometer", "srt_01_sorted_by_date",
     "srt_02_top_profit", "srt_06_top_groups", "set_02_keep_first", "dml_01_fact_upsert", "dml_02_scd1",
-    "dml_03_scd2", "dml_08_restore", "dml_12_latest_version", "dq_01_column_tests", "dq_07_retry_set",
-    "str_08_html_to_text", "str_11_drop_sentences", "udf_04_describe_pages", "jsn_04_product_record",
+    "dml_03_scd2", "dml_06_update", "dml_12_latest_version", "dq_01_column_tests", "dq_07_retry_set",
+    "str_08_html_to_text", "str_09_first_sentences", "str_10_shorten", "str_11_drop_sentences", "udf_04_describe_pages", "jsn_04_product_record",
     "src_07_topic_stream", "stm_06_stream_join",
 ]
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators import quality
-from tidemill.schemas import STORE, STORE_KEYS
+from tidemill.schemas import STORE, STORE_KEYS, STORE_RULES
 
 
 def test_store_rules_report_restarted_ids(spark):
@@ -58,3 +58,13 @@ def test_retry_set(spark):
     errors = spark.createDataFrame([("2", "HTTP 404", 1), ("2", "Timeout", 2), ("1", "HTTP 500", 1)], "id STRING, error STRING, n INT")
     assert sorted(map(tuple, quality.retry_set(ids, loaded, errors, "n").collect())) == [("2", "Timeout"), ("3", None)]
     assert quality.reconcile(ids, loaded).first().missing == 1
+
+
+def test_retry_rows_have_the_loaded_shape(spark):
+    loaded = spark.createDataFrame([(1, "n", [1])], "id BIGINT, name STRING, images ARRAY<INT>")
+    rows = quality.retry_rows(spark.createDataFrame([("7", "HTTP 404")], "id STRING, error STRING"), loaded)
+    assert rows.schema == loaded.schema and [tuple(r) for r in rows.collect()] == [(7, None, None)]
+
+
+def test_store_rules_are_complete():
+    assert sum(len(filled) for filled, _ in STORE_RULES.values()) == 27 and len(STORE_RULES) == 5

@@ -85,3 +85,23 @@ def correlate(left: DataFrame, right: DataFrame, device: str, moment: str) -> Da
     renamed = right.withColumnsRenamed({device: "_device", moment: "_moment"})
     condition = (F.col(device) == F.col("_device")) & (F.col(moment) == F.col("_moment"))
     return left.join(renamed, condition).drop("_device", "_moment")
+
+
+def correlate_within(left: DataFrame, right: DataFrame, device: str, moment: str, seconds: int) -> DataFrame:
+    """Pair raw readings of one device that lie at most ``seconds`` apart.
+
+    Times meet in buckets of that length, the right side in its own and both next to it, so a
+    device with very many readings is many keys. Works on streams, where both sides need a
+    watermark on ``moment``; the bound tells Spark when state can go.
+    """
+    bucket = lambda column: F.floor(F.unix_micros(F.col(column).cast("timestamp")) / (seconds * 1_000_000))
+    near = F.array(*[bucket("_moment") + i for i in (-1, 0, 1)])
+    renamed = right.withColumnsRenamed({device: "_device", moment: "_moment"}).withColumn("_bucket", F.explode(near))
+    span = F.expr(f"interval {seconds} seconds")
+    condition = (
+        (F.col(device) == F.col("_device")) & (F.col("_own_bucket") == F.col("_bucket"))
+        & (F.col(moment) >= F.col("_moment") - span) & (F.col(moment) <= F.col("_moment") + span)
+    )
+    return left.withColumn("_own_bucket", bucket(moment)).join(renamed, condition).drop(
+        "_device", "_moment", "_bucket", "_own_bucket"
+    )

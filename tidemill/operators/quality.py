@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.joins import keys_of
+from tidemill.schemas import STORE_RULES
 from tidemill.session import stored
 
 
@@ -39,6 +40,12 @@ def check_table(
     return reduce(DataFrame.unionByName, reports)
 
 
+def check_store(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The report of all rules of the store tables, by name; see ``schemas.STORE_RULES``."""
+    reports = [check_table(tables[name], name, filled, [unique]) for name, (filled, unique) in STORE_RULES.items()]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def holds(rule: str | Column) -> Column:
     """Whether a rule holds; an unknown outcome counts as a failure."""
     test = F.expr(rule) if isinstance(rule, str) else rule
@@ -117,3 +124,10 @@ def retry_set(ids: DataFrame, loaded: DataFrame, errors: DataFrame, attempt: str
     waiting = ids.join(keys_of(loaded, ["id"]), "id", "left_anti")
     last = errors.groupBy("id").agg(F.max_by("error", attempt).alias("error"))
     return waiting.join(last, "id", "left")
+
+
+def retry_rows(retries: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Ids to try again in the shape of the loaded table, all other columns null."""
+    return retries.select(*[
+        (F.col("id") if f.name == "id" else F.lit(None)).cast(f.dataType).alias(f.name) for f in loaded.schema
+    ])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import quality
 from tidemill.plans.registry import query
+from tidemill.schemas import STORE_RULES
 from tidemill.sources import writers
 
 CHECKS = {
@@ -38,6 +39,46 @@ def column_tests(t):
     return report
 
 
+def store(t):
+    """The given tables in the shapes of the store tables; one item has no goods, one user no name."""
+    at = [F.col("at").alias("created_at"), F.col("at").alias("updated_at")]
+    dated = lambda df, day: df.withColumn("at", day)
+    now = F.lit("2024-10-31 14:00:00").cast("timestamp_ntz")
+    return {
+        "users": dated(t.customer, now).select(
+            F.col("c_custkey").alias("id"), F.nullif("c_name", F.lit("Customer#000000001")).alias("name"),
+            F.col("c_mktsegment").alias("email"), F.col("c_nationkey").alias("phone"), *at),
+        "orders": dated(t.orders, F.col("o_orderdate")).select(
+            F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"),
+            (F.col("o_orderstatus") == "F").alias("is_refund"), *at),
+        "order_item": dated(t.lineitem, F.col("l_shipdate")).select(
+            F.col("l_linenumber").alias("id"), F.col("l_orderkey").alias("order_id"),
+            F.nullif("l_partkey", F.lit(1)).alias("goods_id"), F.col("l_quantity").alias("qty"), *at),
+        "goods": dated(t.part, now).select(
+            F.col("p_partkey").alias("id"), F.col("p_size").alias("category_id"), F.col("p_name").alias("name"),
+            F.col("p_retailprice").alias("price"), *at),
+        "categories": dated(t.nation, now).select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), *at),
+    }
+
+
+STORE_SQL = """
+    WITH users AS (SELECT c_custkey AS id, NULLIF(c_name, 'Customer#000000001') AS name, c_mktsegment AS email,
+            c_nationkey AS phone, 1 AS created_at, 1 AS updated_at FROM customer),
+    sales AS (SELECT o_orderkey AS id, o_custkey AS user_id, o_orderstatus AS is_refund, o_orderdate AS created_at,
+            o_orderdate AS updated_at FROM orders),
+    order_item AS (SELECT l_linenumber AS id, l_orderkey AS order_id, NULLIF(l_partkey, 1) AS goods_id, l_quantity AS qty,
+            l_shipdate AS created_at, l_shipdate AS updated_at FROM lineitem),
+    goods AS (SELECT p_partkey AS id, p_size AS category_id, p_name AS name, p_retailprice AS price, 1 AS created_at,
+            1 AS updated_at FROM part),
+    categories AS (SELECT n_nationkey AS id, n_name AS name, 1 AS created_at, 1 AS updated_at FROM nation) """
+
+
+@query("dq_01_store_rules", STORE_SQL + " UNION ALL ".join(
+    check_sql("sales" if name == "orders" else name, *rule).replace("'sales'", "'orders'") for name, rule in STORE_RULES.items()))
+def store_rules(t):
+    return quality.check_store(store(t))
+
+
 RULES = {
     "has_name": "c_name IS NOT NULL",
     "positive_balance": "c_acctbal > 0",
@@ -112,3 +153,14 @@ def retry_set(t):
     errors = bad.withColumn("attempt", F.lit(1)).unionByName(second)
     loaded = good.select(F.col("c_custkey").cast("string").alias("id"))
     return quality.retry_set(ids, loaded, errors, "attempt")
+
+
+@query("dq_07_retry_table", f"""
+    SELECT c_custkey AS id, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS DOUBLE) AS price
+    FROM customer WHERE {ERROR_SQL} IS NOT NULL""")
+def retry_table(t):
+    """Failed ids appended to a stored table of the loaded shape."""
+    shape = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("price"))
+    path = t.scratch("retries")
+    writers.append_parquet(quality.retry_rows(retry_set(t), shape), path)
+    return t.spark.read.parquet(path)

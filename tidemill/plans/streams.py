@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.operators import changes
-from tidemill.operators.joins import correlate
+from tidemill.operators.joins import correlate, correlate_within
 from tidemill.plans.ingest import EVENTS, MICROSECONDS, READING, READINGS_SQL, readings
 from tidemill.plans.registry import query
 from tidemill.sources.tables import FolderTable
@@ -120,6 +120,20 @@ def stream_join(t):
     return without_zone(hours, "hour")
 
 
+@query("stm_06_raw_readings", """
+    SELECT c.event_id AS left_id, v.event_id AS right_id
+    FROM events c JOIN events v ON c.user_id = v.user_id AND c.event_type = 'click' AND v.event_type = 'view'
+    AND c.ts BETWEEN v.ts - INTERVAL 1800 SECOND AND v.ts + INTERVAL 1800 SECOND""")
+def raw_readings(t):
+    """Readings of two feeds paired as streams, no more than half an hour apart."""
+    def feed(kind: str, name: str):
+        one = event_stream(t).filter(F.col("topic") == kind).withWatermark("timestamp", "400 days")
+        return one.select(F.col("event_id").alias(name), "deviceId", "timestamp")
+
+    joined = correlate_within(feed("click", "left_id"), feed("view", "right_id"), "deviceId", "timestamp", 1800)
+    return drain(t, joined.select("left_id", "right_id"), "paired")
+
+
 @query("stm_07_minute_average", """
     SELECT CAST(user_id AS VARCHAR) AS "deviceId", date_trunc('minute', ts) AS window_start,
            round(avg(value), 6) AS avg_speed, count(*) AS readings

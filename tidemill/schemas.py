@@ -29,7 +29,10 @@ STORE = {
     "categories": "id INT, name STRING, created_at TIMESTAMP, updated_at TIMESTAMP",
 }
 
-# Rules for the store tables: columns that must be filled, and the key that must be unique.
+# Rules for the store tables: every column must be filled, and ``id`` must be unique.
+STORE_RULES = {name: ([f.split()[0] for f in fields.split(", ")], ["id"]) for name, fields in STORE.items()}
+
+# What really identifies a row: item ids restart with every hourly file.
 STORE_KEYS = {
     "users": ["id"],
     "orders": ["id"],
@@ -59,4 +62,3 @@ PRODUCTS = (
     "id BIGINT, name STRING, url_key STRING, price BIGINT, description STRING, images ARRAY<STRING>"
 )
 EPISODES = "link STRING, title STRING, pubDate STRING, description STRING"
-ERRORS = "id STRING, error STRING"
