@@ -1,4 +1,4 @@
-"""What the operators need of Spark beside DataFrames: tables in the shared folder, and files there."""
+"""What the operators need of Spark beside DataFrames: imports in workers, files in the shared folder, schemas."""
 
 from __future__ import annotations
 
@@ -6,11 +6,8 @@ import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.session import scratch_path
-
 
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this library from where the driver has it, unless it is installed."""
@@ -20,13 +17,6 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The frame written to the shared folder and read again: later jobs neither repeat nor lose it."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def filesystem(uri: str):
     """The file system of a shared folder and the path in it, for use inside tasks."""
     from pyarrow import fs
@@ -34,10 +24,6 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
 
 
-def text_or_empty(name: str = "text"):
-    return F.coalesce(F.col(name), F.lit(""))
-
-
 def fields(df: DataFrame, *extra: tuple[str, T.DataType], keep: list[str] | None = None) -> T.StructType:
     """The schema of some columns of ``df`` followed by further ones."""
     kept = [df.schema[c] for c in (df.columns if keep is None else keep)]

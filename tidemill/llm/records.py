@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.columns import SLICE_BYTES, slices
-from tidemill.llm.frames import filesystem, stored
+from tidemill.llm.frames import filesystem
 from tidemill.llm.tokens import encoder, ids_crc32
+from tidemill.session import stored
 
 INDEX = "doc_id long, file string, at long, size long, first long, n_tokens long"
 READ = "doc_id long, file string, first long, n_tokens long, ids_crc32 long"

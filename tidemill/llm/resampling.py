@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm.columns import codes, lower_ascii, per_row, slices, text_bytes, words
-from tidemill.llm.frames import fields, stored
+from tidemill.llm.frames import fields
+from tidemill.session import stored
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 

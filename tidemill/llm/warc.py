@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.columns import slices
-from tidemill.llm.frames import filesystem, stored
+from tidemill.llm.frames import filesystem
+from tidemill.session import stored
 
 CHUNK = 1 << 20
 FILES = "file string, records long"
