@@ -6,8 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidemill.operators.filters import digits_only
-from tidemill.operators.sets import first_seen
 from tidemill.plans.registry import query
 from tidemill.sources.tables import FolderTable
 from tidemill.sources import catalog, readers, writers

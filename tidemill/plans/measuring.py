@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import text
 from tidemill.operators import aggregates, quality
-from tidemill.operators.ordered import ranked
 from tidemill.plans.joining import TRIPS_SQL, transactions, trips
 from tidemill.plans.registry import query
 

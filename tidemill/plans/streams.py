@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemill.operators import changes
 from tidemill.operators.joins import correlate, correlate_within
 from tidemill.plans.ingest import EVENTS, MICROSECONDS, READING, READINGS_SQL, readings
 from tidemill.plans.registry import query
