@@ -5,6 +5,8 @@ A text column becomes one array of UTF-8 bytes with row offsets; a null counts a
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +20,13 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def release() -> None:
+    """Give memory that a task no longer uses back: its worker goes on with other tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that no part holds over ``limit`` bytes of text, unless it is one row."""
     for batch in batches:
@@ -30,6 +39,7 @@ def slices(batches, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.Record
             stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
             yield batch.slice(start, stop - start)
             start, done = stop, int(ends[stop - 1])
+    release()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -9,8 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# Rows hold whole texts, so fewer of them make a batch than Spark's default; long ones are bounded by bytes.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this library from where the driver has it, unless it is installed."""
+    """Let Python workers import this library from where the driver has it, and get batches of bounded size."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     root = str(Path(__file__).resolve().parents[2])
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
     if root not in paths:
