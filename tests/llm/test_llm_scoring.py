@@ -247,3 +247,60 @@ def test_held_out_text_of_the_training_kind_is_likelier(spark):
     found = lmscoring.scored(documents).filter("held_out and n_bytes > 200").collect()
     bits = [-r.score * math.log2(10) / r.n_bytes for r in found]
     assert 0 < sum(bits) / len(bits) < 4
+
+
+def deep_tree(texts, depth):
+    """As ``brute_tree``, with every node's children and probability remembered."""
+    counts, children = defaultdict(lambda: [0, 0]), defaultdict(set)
+    for t in texts:
+        padded = bytes(depth) + t
+        for i in range(len(t)):
+            bits = f"{t[i]:08b}"
+            for b in range(8):
+                for d in range(depth + 1):
+                    node = padded[depth + i - d : depth + i], bits[:b]
+                    counts[node][int(bits[b])] += 1
+                    if d:
+                        children[node[0][1:], bits[:b]].add(node)
+    logs = {}
+    for node in sorted(counts, key=lambda n: -len(n[0])):
+        zeros, ones = counts[node]
+        own = math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - math.lgamma(zeros + ones + 1) - math.log(math.pi)
+        product = sum(logs[c][1] for c in children[node])
+        logs[node] = own, own if len(node[0]) == depth else np.logaddexp(own, product) - math.log(2)
+
+    def score(t):
+        padded, total = bytes(depth) + t, 0.0
+        for i in range(len(t)):
+            bits = f"{t[i]:08b}"
+            for b in range(8):
+                p = None
+                for d in range(depth, -1, -1):
+                    node = padded[depth + i - d : depth + i], bits[:b]
+                    if node not in logs:
+                        p = None
+                        continue
+                    own = (counts[node][1] + 0.5) / (sum(counts[node]) + 1)
+                    w = math.exp(logs[node][0] - logs[node][1]) / 2
+                    p = own if p is None else w * own + (1 - w) * p
+                p = 0.5 if p is None else p
+                total += math.log10(p if bits[b] == "1" else 1 - p)
+        return total
+
+    return score
+
+
+@pytest.mark.parametrize("depth, subtree", [(12, 1 << 20), (12, 40), (15, 3), (3, 1)])
+def test_deep_contexts_keep_all_counts(spark, depth, subtree):
+    """Contexts longer than words, with every string of a level kept, whatever is in the top of the tree."""
+    r = random.Random(4)
+    words = ["the", "theme", "thesis", "über", "a", "on", "another one"]
+    texts = [" ".join(r.choice(words) for _ in range(r.randrange(0, 12))) for _ in range(40)] + ["", "the the the theme " * 3, "zz\u0000z"]
+    train = [t.encode() for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1]
+    score = deep_tree(train, depth)
+    found = lmscoring.scored(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), lmscoring.Settings(depth=depth, subtree=subtree)
+    ).collect()
+    assert len(found) == len(texts)
+    for row in found:
+        assert math.isclose(row.score, score(texts[row.doc_id].encode()), abs_tol=1e-4)
