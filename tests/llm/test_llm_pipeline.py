@@ -86,6 +86,25 @@ def test_multi_index_finds_all_within_the_radius():
     assert dict(zip(zip(row.tolist(), item.tolist()), distance.tolist())) == expected
 
 
+def test_fingerprints_lose_no_similar_window(spark):
+    """Items with one word changed in the middle are found at 0.8 even where over 16 bits differ."""
+    import pyarrow as pa
+
+    items, texts = [], []
+    for i in range(4000):
+        r = random.Random(i)
+        words = [f"w{r.getrandbits(40)}" for _ in range(49 + i % 11)]
+        items.append(" ".join(words))
+        words[len(words) // 2] = "other"
+        texts.append(" ".join(words))
+    rule = decontamination.Rule()
+    index = decontamination.Benchmark(list(range(len(items))), items, rule)
+    wanted = {i for i, (a, b) in enumerate(zip(texts, items)) if likeness(bare(a), bare(b)) >= rule.similarity}
+    found = {(r, match[0]): match for r, match in decontamination._found(pa.RecordBatch.from_pydict({"text": texts}), index)}
+    assert wanted and {r for r, item in found if r == item} >= wanted
+    assert max(match[2] for match in found.values()) > rule.radius
+
+
 def test_nothing_to_decontaminate(documents, none, benchmark):
     assert decontamination.contaminated(none, benchmark[1]).collect() == []
     assert decontamination.contaminated(documents, benchmark[1].limit(0)).collect() == []
