@@ -112,6 +112,20 @@ def test_resampling(documents, labels):
     assert resampling.resampled(documents, labels, model).filter("kept").count() == len(kept)
 
 
+def test_toxic_documents_are_not_drawn(spark):
+    """Fluent text labelled good and toxic goes, labelled or not; nearly all good text stays."""
+    r = random.Random(1)
+    plain = lambda: " ".join(r.choice(["the", "of", "ten", "sol", "ri", "gat", "moon", "tide"]) for _ in range(60))
+    table = [(i, plain() + (" you idiot " + plain() if i % 6 == 0 else ""), int(i % 11 > 0), int(i % 6 == 0)) for i in range(600)]
+    table = [(i, text if good else "## $$ zz " * 30, good, toxic and good) for i, text, good, toxic in table]
+    labels = spark.createDataFrame([(i, good, toxic) for i, _, good, toxic in table if i < 400], "doc_id long, quality int, toxic int")
+    documents = spark.createDataFrame([(i, text) for i, text, *_ in table], "doc_id long, text string").repartition(3)
+    kept = {row.doc_id for row in resampling.resampled(documents, labels).filter("kept").collect()}
+    assert not kept & {i for i, *_, toxic in table if toxic}
+    fine = {i for i, _, good, toxic in table if good and not toxic}
+    assert len(kept & fine) >= 0.9 * len(fine)
+
+
 def test_resampling_without_labels_or_documents(documents, none, labels):
     assert resampling.resampled(documents, labels.limit(0)).filter("not kept").count() == 0
     assert resampling.resampled(none, labels).collect() == []
