@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable
 from importlib import import_module
@@ -9,7 +10,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import urllists
+from tidemill.llm import planeclusters, urllists, walshcodes
 from tidemill.llm.frames import importable
 from tidemill.plans.registry import Query, Tables
 
@@ -116,6 +117,28 @@ def op10(t: Tables) -> DataFrame:
     return urllists.judged(captures, urllists.entries_of(t.pages)).drop("url")
 
 
+@query("op11_walsh_vector_codes", walshcodes.SQL)
+def op11(t: Tables) -> DataFrame:
+    found = walshcodes.coded(t.embeddings)
+    totals = found.rows.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error"))
+    rows = found.rows.join(totals, F.col("label").eqNullSafe(F.col("_label")), "left")
+    code = F.array_join(F.transform("code", lambda n: F.lower(F.lpad(F.hex(n), 2, "0"))), "")
+    digest = hashlib.sha256(walshcodes.decimals(found.codebooks).encode()).hexdigest()
+    return rows.select("vec_id", code.alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+@query("op12_bit_plane_clusters", planeclusters.SQL)
+def op12(t: Tables) -> DataFrame:
+    found = planeclusters.clustered(t.embeddings)
+    digests = [hashlib.sha256(walshcodes.decimals(c).encode()).hexdigest() for c in found.centroids]
+    inertia = [found.inertia.get(i, 0) for i in range(len(digests))]
+    of_cluster = lambda values, kind: F.get(F.array(*map(F.lit, values)).cast(f"array<{kind}>"), F.col("cluster"))
+    return found.rows.select(
+        "vec_id", "cluster", "distance", of_cluster(inertia, "long").alias("cluster_inertia"),
+        F.lit(sum(inertia)).cast("long").alias("inertia"), of_cluster(digests, "string").alias("centroid_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
 
