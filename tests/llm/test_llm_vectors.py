@@ -132,7 +132,7 @@ def direct_clusters(rows, centroids, rounds, scale=64):
 
 @pytest.mark.parametrize("centroids, scale", [(16, 64), (3, 1), (400, 64), (5, 1 << 20)])
 def test_clusters_are_those_of_a_direct_search(spark, documents, centroids, scale):
-    rows = vectors() + [(*r[:3], None, None, None, None) for r in vectors(63, 3)]
+    rows = vectors() + [(*r[:3], None, None, None, None) for r in vectors(63, 10)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     found = planeclusters.clustered(df, centroids=centroids, rounds=2, scale=scale)
     expected, centres = direct_clusters(rows, centroids, 2, scale)

@@ -139,6 +139,15 @@ def op12(t: Tables) -> DataFrame:
     )
 
 
+@query("op13_segmentation_languages")
+def op13(t: Tables) -> DataFrame:
+    from tidemill.llm.languages import fitted, predicted, trains
+
+    model = fitted(t.documents.filter(trains(F.col("doc_id"))), tokenizer("byte_bpe_multi_50k.tiktoken"))
+    found = predicted(t.documents, model)
+    return found.select("doc_id", (~trains(F.col("doc_id"))).alias("held_out"), "lang_pred", F.round("score", 9).alias("score"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
 
