@@ -196,12 +196,15 @@ def trains(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 != 0
 
 
-def _drawn(training: DataFrame, sizes: dict[str, int], settings: Settings) -> DataFrame:
-    """Whole documents of each language, drawn by a hash of id and text to about ``fit_bytes``."""
-    shares = [(lang, min(settings.fit_bytes / max(size, 1), 1.0)) for lang, size in sizes.items()]
-    shares = training.sparkSession.createDataFrame(shares, "_lang string, _share double")
+def _drawn(training: DataFrame, settings: Settings) -> DataFrame:
+    """Whole documents of each language, drawn by a hash of id and text to about ``fit_bytes``.
+
+    The sizes, a row per language, are stored first: Spark knows how small they are and moves no text.
+    """
+    sizes = training.groupBy(F.col("lang").alias("_lang")).agg(F.sum(F.octet_length("text")).alias("_size"))
     number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
-    return training.join(shares, F.col("lang") == F.col("_lang")).filter(number < F.col("_share")).select("lang", "text")
+    joined = training.join(stored(sizes, "language_sizes"), F.col("lang") == F.col("_lang"))
+    return joined.filter(number * F.col("_size") < settings.fit_bytes).select("lang", "text")
 
 
 def counted_words(drawn: DataFrame) -> DataFrame:
@@ -257,9 +260,8 @@ def fitted(documents: DataFrame, vocabulary: str, settings: Settings | None = No
     pieces = tuple(pieces_of(vocabulary))
     training = documents.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     training = training.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
-    sizes = training.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")).collect()  # a short row per language
-    words = stored(counted_words(_drawn(training, {r.lang: r.size for r in sizes}, settings)), "language_words")
-    langs = sorted(r.lang for r in words.select("lang").distinct().collect())
+    words = stored(counted_words(_drawn(training, settings)), "language_words")
+    langs = sorted(r.lang for r in words.select("lang").distinct().collect())  # a name per language
     model = Fitted(None, langs, pieces, settings)
     told = words.sparkSession.sparkContext.broadcast(pieces)
     for _ in range(settings.rounds):
