@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemill.operators import ordered
+from tidemill.session import stored
 
 QUICK = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -118,7 +119,7 @@ def test_changes_of_a_large_group(spark, section_rows):
     expected = expected.withColumn("to", F.lead("at").over(window))
     got = ordered.changes_of_state(df, ["g"], ["at", "i"], F.col("v"), "to", section_rows)
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
-    assert ordered.Sections(df, ["g"], [F.col("at"), F.col("i")], section_rows).count > 1
+    assert ordered.Sections(df, ["g"], [F.col("at"), F.col("i")], section_rows).cut
 
 
 def test_a_long_unchanged_state_spans_sections(spark):
@@ -139,6 +140,25 @@ def test_no_section_exceeds_its_rows(spark, value, by):
     assert sum(sizes) == 3000 and max(sizes) <= 200
 
 
+@pytest.mark.parametrize("sample, ranges", [(1, 10_000), (1, 3), (100, 3)])
+def test_sections_hold_their_bound_whatever_the_ranges(spark, monkeypatch, sample, ranges):
+    """Few sample points, or far fewer ranges than sections, change neither the bound nor the order, and cost no second write."""
+    written = []
+    monkeypatch.setattr(ordered, "stored", lambda df, label: written.append(label) or stored(df, label))
+    monkeypatch.setattr(ordered, "RANGES", ranges)
+    spark.conf.set("spark.sql.execution.rangeExchange.sampleSizePerPartition", sample)
+    try:
+        df = spark.range(5000).selectExpr("id", "CAST(id * 7919 % 5000 AS INT) AS v")
+        sections = ordered.Sections(df, [], [F.col("v").asc()], 100)
+        spans = sections.rows.groupBy(ordered.SECTION).agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
+        spans = spans.orderBy(ordered.SECTION).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.rangeExchange.sampleSizePerPartition")
+    assert written == ["ordered", "sections"]
+    assert max(r.n for r in spans) <= 100 and sum(r.n for r in spans) == 5000
+    assert all(p.b < q.a for p, q in zip(spans, spans[1:]))
+
+
 @pytest.mark.parametrize("rows", [[("a", None, "x")], [("a", 1, "x"), ("a", 1, "y")]])
 @pytest.mark.parametrize("section_rows", [1, 100])
 def test_an_open_order_is_an_error(spark, rows, section_rows):

@@ -26,9 +26,12 @@ def test_delta_tree_reads_both_timestamp_shapes(spark, tmp_path):
     put(tmp_path / "20241031/14/categories.csv", head + "1,a,2024-10-31 14:00:00,2024-10-31 14:00:00\n")
     put(tmp_path / "20241101/00/categories.csv", head + "2,b,2024-11-01,2024-11-01\n")
     put(tmp_path / "20241101/00/users.csv", head)
+    put(tmp_path / "20241101/00/subcategories.csv", head + "3,c,2024-11-01,2024-11-01\n")
+    put(tmp_path / "date=20241101/hour=01/table=subcategories.csv/part-0.csv", head + "4,d,2024-11-01,2024-11-01\n")
+    put(tmp_path / "date=20241101/hour=01/table=categories.csv/part-0.csv", head + "5,e,2024-11-01,2024-11-01\n")
     rows = readers.read_delta_tree(spark, str(tmp_path), "categories", STORE["categories"]).orderBy("id").collect()
     assert [(r.id, r.table_name, r.batch_date, r.batch_hour) for r in rows] == [
-        (1, "categories", "20241031", "14"), (2, "categories", "20241101", "00")]
+        (1, "categories", "20241031", "14"), (2, "categories", "20241101", "00"), (5, "categories", "20241101", "01")]
     assert str(rows[1].created_at) == "2024-11-01 00:00:00"
 
 

@@ -172,22 +172,28 @@ def upsert_newer(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]
     """Upsert a feed that repeats keys: the row with the largest ``sequence`` wins, stored or not.
 
     An older row that comes late never replaces a newer one, and a batch replayed changes
-    nothing. Rows of a key that share the largest sequence but differ are an error.
+    nothing. Rows of a key that share the largest sequence but differ are an error. Only stored rows
+    whose key is in the batch are worked on; the others pass as they are.
     """
-    rows = batch if target is None else target.unionByName(batch.select(*target.columns))
-    place = F.struct(*sequence)
-    newest = rows.groupBy(*keys).agg(
-        F.max_by(F.struct(*rows.columns), place).alias("row"), F.max(place).alias("_place"),
-        F.max(F.greatest(*[F.col(c).isNull().cast("int") for c in sequence], F.lit(0))).alias("_null"),
-    )
-    ties = rows.distinct().groupBy(*keys, place.alias("_place")).agg(F.count("*").alias("_rows"))
-    matched = newest.alias("old").join(
-        ties.alias("new"), same("old", "new", [(k, k) for k in [*keys, "_place"]], null_safe=True)
-    )
+    if target is None:
+        return _newest(batch, keys, sequence)
+    own = same("old", "new", [(k, k) for k in keys], null_safe=True)
+    touched = batch.select(*keys).distinct().alias("new")
+    known = target.alias("old").join(touched, own, "left_semi")
+    untouched = target.alias("old").join(touched, own, "left_anti")
+    return untouched.unionByName(_newest(known.unionByName(batch.select(*target.columns)), keys, sequence))
+
+
+def _newest(rows: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
+    """The row with the largest sequence of every key; an open order fails the job."""
+    place, row = F.struct(*sequence), F.struct(*rows.columns)
+    at_place = rows.groupBy(*keys, place.alias("_place")).agg(F.min(row).alias("_least"), F.max(row).alias("_row"))
+    blank = F.greatest(*[F.col(f"_place.{c}").isNull() for c in sequence], F.lit(False))
+    newest = at_place.groupBy(*keys).agg(F.max_by(F.struct("_least", "_row"), "_place").alias("_of"), F.max(blank).alias("_blank"))
     message = F.lit(f"rows of one {list(keys)} have the same or no {list(sequence)}")
-    open_order = (F.col("_rows") > 1) | (F.col("_null") > 0)
-    checked = matched.filter(F.when(open_order, F.raise_error(message).cast("boolean")).otherwise(True))
-    return checked.select("old.row.*").select(*rows.columns)
+    open_order = F.col("_blank") | ~F.col("_of._least").eqNullSafe(F.col("_of._row"))
+    checked = newest.filter(F.when(open_order, F.raise_error(message).cast("boolean")).otherwise(True))
+    return checked.select("_of._row.*").select(*rows.columns)
 
 
 def fold_batches(batches: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

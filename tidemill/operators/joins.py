@@ -7,7 +7,7 @@ at run time (see ``session.RUNTIME_SETTINGS``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -87,6 +87,21 @@ def correlate(left: DataFrame, right: DataFrame, device: str, moment: str) -> Da
     return left.join(renamed, condition).drop("_device", "_moment")
 
 
+def correlate_all(feeds: Mapping[str, DataFrame], device: str, moment: str) -> DataFrame:
+    """The readings that all feeds took for one device at one moment, one after another joined.
+
+    Columns of a feed but ``device`` and ``moment`` come as ``<feed>_<column>``. Each feed must hold
+    one row per device and moment. On streams every feed needs a watermark on ``moment``: the joins
+    are on the event time itself, so what no later reading can meet leaves the state of every join. Spark's
+    default policy, the minimum, lets the slowest feed hold the watermark, so no feed loses rows to a faster one.
+    """
+    joined = None
+    for name, feed in feeds.items():
+        own = feed.select(device, moment, *[F.col(c).alias(f"{name}_{c}") for c in feed.columns if c not in (device, moment)])
+        joined = own if joined is None else correlate(joined, own, device, moment)
+    return joined
+
+
 def correlate_within(left: DataFrame, right: DataFrame, device: str, moment: str, seconds: int) -> DataFrame:
     """Pair raw readings of one device that lie at most ``seconds`` apart.
 

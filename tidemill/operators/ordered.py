@@ -23,14 +23,18 @@ from tidemill.session import stored
 SECTION = "_section"
 # One task sorts this many rows without trouble.
 SECTION_ROWS = 250_000
+# Spark samples a million rows at most to find ranges: this many get a hundred each.
+RANGES = 10_000
 
 
 class Sections:
     """The rows of a frame in sections of at most ``section_rows`` rows.
 
     ``order`` sorts the rows of a group; the place in the stored input comes last, so equal
-    rows, nulls and any crowded value are cut like all others. The input is evaluated once, and
-    the rows are written once more with their sections if there are more than fit in one.
+    rows, nulls and any crowded value are cut like all others. The input is evaluated once. If it
+    has more rows than fit in one section, it is range-partitioned and sorted once, and the rows of
+    each sorted partition are cut by their number: the bound holds however uneven the sampled
+    partitions are, and a section's number follows the order.
     """
 
     def __init__(self, df: DataFrame, by: Sequence[str], order: Sequence[Column], section_rows: int | None = None):
@@ -39,17 +43,19 @@ class Sections:
         counted = Observation()
         kept = stored(df.observe(counted, F.count(F.lit(1)).alias("rows")), "ordered")
         total = counted.get["rows"]
-        self.count = 1
-        self.rows = kept.withColumn(SECTION, F.lit(0))
-        largest = total
-        while largest > most:
-            # Sections of sampled bounds vary in size, so they aim at half of what is allowed.
-            self.count = 2 * self.count if self.count > 1 else 2 * total // most + 1
+        self.cut = total > most
+        self.rows = kept.withColumn(SECTION, F.lit(0).cast("long"))
+        if self.cut:
+            ranges = max(min(-(-total // most), RANGES), df.sparkSession.sparkContext.defaultParallelism)
+            full = [*by, *order, "_place"]
             placed = kept.withColumn("_place", F.monotonically_increasing_id())
-            cut = placed.repartitionByRange(self.count, *by, *order, "_place").drop("_place")
-            self.rows = stored(cut.withColumn(SECTION, F.spark_partition_id()), "sections")
-            largest = self.rows.groupBy(SECTION).count().agg(F.max("count")).first()[0]
-        self.rows = self.rows.repartition(SECTION) if self.count > 1 or not self.by else self.rows
+            cut = placed.repartitionByRange(ranges, *full).sortWithinPartitions(*full).drop("_place")
+            # The id is the partition and, below it, the row in the sorted partition.
+            number = F.monotonically_increasing_id()
+            row = number.bitwiseAND(F.lit((1 << 33) - 1))
+            section = number - row + F.floor(row / F.lit(most))
+            self.rows = stored(cut.withColumn(SECTION, section.cast("long")), "sections")
+        self.rows = self.rows.repartition(SECTION) if self.cut or not self.by else self.rows
 
     def inside(self, *order: Column) -> WindowSpec:
         """The rows of one group in one section."""
@@ -69,7 +75,7 @@ class Sections:
         ``carried`` and ``spans``, which tells whether there is another section on that side, are
         window expressions over the summary.
         """
-        if self.count == 1:
+        if not self.cut:
             return rows.withColumns({name: F.lit(None).cast(kind) for name, kind in self._kinds(summary, carried)})
         kept = summary.withColumns(carried).filter(spans).select(
             SECTION, *[F.col(c).alias(f"_of_{c}") for c in self.by], *carried, F.lit(True).alias("_spans")

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemill.operators.joins import correlate, correlate_within
+from tidemill.operators import changes
+from tidemill.operators.joins import correlate, correlate_all, correlate_within
 from tidemill.plans.ingest import EVENTS, MICROSECONDS, READING, READINGS_SQL, readings
+from tidemill.plans.ranking import SPEED_SQL
 from tidemill.plans.registry import query
-from tidemill.sources.tables import FolderTable
-from tidemill.streaming import feeds
+from tidemill.session import stateful
+from tidemill.sources.tables import BucketTable
+from tidemill.streaming import devices, feeds
 
+BUCKETS = 8  # of tables that hold a row or a few per user
+STATES = 4  # partitions of state that holds a few rows per user
 TOPICS = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -84,18 +89,37 @@ def drain_and_restart(t):
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
         FROM events WHERE value > 1) WHERE place = 1""")
 def streamed_changes(t):
-    """Rules drop rows from the stream; each micro-batch merges into a stored table.
+    """Rules drop rows from the stream; each micro-batch merges into the buckets of its keys.
 
     The later half of the events arrives first, so the second batch is late.
     """
-    table, arriving, checkpoint = FolderTable(t.spark, t.scratch("changes")), t.scratch("arriving"), t.scratch("checkpoint")
+    table = BucketTable(t.spark, t.scratch("changes"), ["user_id"], BUCKETS)
     log = t.events.select("user_id", "event_id", "event_type", "ts", "value")
+    apply_halves(t, log, {"large": "value > 1"}, feeds.upsert_into(table, "ts", "event_id"))
+    return table.read().select("user_id", "event_id", "event_type")
+
+
+def apply_halves(t, log, rules, apply):
+    """The later half of a log of events arrives first, the earlier one after a restart."""
+    arriving, checkpoint = t.scratch("arriving"), t.scratch("checkpoint")
     for half in ("ts >= TIMESTAMP_NTZ '2024-01-16'", "ts < TIMESTAMP_NTZ '2024-01-16'"):
         log.filter(half).write.mode("append").parquet(arriving)
         stream = t.spark.readStream.schema(log.schema).parquet(arriving)
-        apply = feeds.upsert_into(table, ["user_id"], "ts", "event_id")
-        feeds.await_all([feeds.apply_changes(stream, {"large": "value > 1"}, apply, checkpoint)])
-    return table.read().select("user_id", "event_id", "event_type")
+        feeds.await_all([feeds.apply_changes(stream, rules, apply, checkpoint)])
+
+
+@query("stm_05_streamed_history", """
+    WITH v AS (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS prior
+               FROM events WHERE value > 1),
+    c AS (SELECT user_id, event_type, event_id AS valid_from FROM v WHERE prior IS DISTINCT FROM event_type)
+    SELECT *, lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current
+    FROM c WINDOW w AS (PARTITION BY user_id ORDER BY valid_from)""")
+def streamed_history(t):
+    """Every version of every user's last event, kept by micro-batches of which the second one is late."""
+    table = BucketTable(t.spark, t.scratch("history"), ["user_id"], BUCKETS)
+    log = t.events.select("user_id", "event_id", "event_type", "ts", "value")
+    apply_halves(t, log, {"large": "value > 1"}, feeds.history_into(table, "event_id", ["event_type"]))
+    return changes.scd2_versions(table.read())
 
 
 @query("stm_06_stream_join", """
@@ -126,13 +150,63 @@ def stream_join(t):
 def raw_readings(t):
     """Readings of two feeds paired as streams, no more than half an hour apart."""
     def feed(kind: str, name: str):
-        one = event_stream(t).filter(F.col("topic") == kind).withWatermark("timestamp", "400 days")
+        one = event_stream(t).filter(F.col("topic") == kind).withWatermark("timestamp", feeds.LATENESS)
         return one.select(F.col("event_id").alias(name), "deviceId", "timestamp")
 
     joined = correlate_within(feed("click", "left_id"), feed("view", "right_id"), "deviceId", "timestamp", 1800)
     return drain(t, joined.select("left_id", "right_id"), "paired")
 
 
+FEED_NAMES = ", ".join(f"{name}.speed AS {name}_speed" for name in TOPICS)
+FEED_JOINS = " ".join(
+    f"{'JOIN' if i else 'FROM'} (SELECT * FROM daily WHERE event_type = '{name}') {name}" + (" USING (user_id, day)" if i else "")
+    for i, name in enumerate(TOPICS)
+)
+
+
+@query("stm_06_five_feeds", f"""
+    WITH daily AS (SELECT user_id, event_type, date_trunc('day', ts) AS day, round(sum(value), 6) AS speed
+                   FROM events GROUP BY 1, 2, 3)
+    SELECT CAST(user_id AS VARCHAR) AS "deviceId", CAST(day AS TIMESTAMP) AS "timestamp", {FEED_NAMES} {FEED_JOINS}""")
+def five_feeds(t):
+    """A reading of every device and day in five topics, which chained stream joins bring together.
+
+    The days arrive in order, those of the second half of the month after a restart.
+    """
+    day = F.date_trunc("day", F.col("ts").cast("timestamp")).alias("timestamp")
+    daily = t.events.groupBy(F.col("user_id").cast("string").alias("deviceId"), day, "event_type").agg(F.round(F.sum("value"), 6).alias("speed"))
+    topics, out, spark = t.scratch("topics"), t.scratch("five"), stateful(t.spark, STATES)
+    message = F.to_json(F.struct("deviceId", "timestamp", "speed"), MICROSECONDS).alias("value")
+    for half in ("timestamp < TIMESTAMP '2024-01-16 00:00:00 UTC'", "timestamp >= TIMESTAMP '2024-01-16 00:00:00 UTC'"):
+        daily.filter(half).select(message, F.col("event_type").alias("feed")).write.mode("append").partitionBy("feed").text(topics)
+        streams = feeds.read_feeds(
+            spark, "text", lambda name: {"path": f"{topics}/feed={name}"},
+            dict.fromkeys(TOPICS, "deviceId STRING, timestamp TIMESTAMP, speed DOUBLE"),
+        )
+        joined = correlate_all(streams, "deviceId", "timestamp")
+        feeds.await_all([feeds.write_feed(joined, f"{out}/data", f"{out}/checkpoint", drain=True)])
+    return without_zone(t.spark.read.schema(joined.schema).parquet(f"{out}/data"), "timestamp")
+
+
+@query("win_06_streamed_speed", SPEED_SQL + """
+    SELECT event_id, CAST(user_id AS VARCHAR) AS "deviceId", speed, CAST(sum(speed) OVER w AS BIGINT) AS odometer,
+           row_number() OVER w AS step, round(avg(speed) OVER w, 6) AS average_speed
+    FROM speeds WHERE ts + INTERVAL 2 MINUTE <= (SELECT max(ts) FROM events)
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
+def streamed_speed(t):
+    """Pulses of devices in two runs with a restart between; those inside the watermark still wait."""
+    arriving, out = t.scratch("pulses"), t.scratch("traced")
+    spark = stateful(t.spark, STATES)
+    for half in ("ts < TIMESTAMP_NTZ '2024-01-16'", "ts >= TIMESTAMP_NTZ '2024-01-16'"):
+        t.events.filter(half).write.mode("append").parquet(arriving)
+        stream = readings(spark.readStream.schema(EVENTS).parquet(arriving)).withWatermark("timestamp", feeds.LATENESS)
+        delta = F.when(F.col("topic") == "click", 5).when(F.col("topic") == "error", -5).otherwise(0)
+        traced = devices.speed_stream(stream, "deviceId", "timestamp", "event_id", delta)
+        feeds.await_all([feeds.write_feed(traced, f"{out}/data", f"{out}/checkpoint", drain=True)])
+    stored = t.spark.read.schema(traced.schema).parquet(f"{out}/data")
+    return stored.drop("timestamp").withColumn("average_speed", F.round("average_speed", 6))
+
+
 @query("stm_07_minute_average", """
     SELECT CAST(user_id AS VARCHAR) AS "deviceId", date_trunc('minute', ts) AS window_start,
            round(avg(value), 6) AS avg_speed, count(*) AS readings

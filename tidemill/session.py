@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every job here relies on."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -33,6 +36,21 @@ def build_session(app: str = "tidemill", master: str | None = None, **conf: str)
     return tune(builder.getOrCreate())
 
 
+def stateful(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session of the same application whose streams keep their state in RocksDB.
+
+    State with timers needs it, and it holds far more than memory. ``partitions`` spreads the state, by default
+    as the given session shuffles; a stream keeps the number of its first run. The given session stays as it is.
+    """
+    own = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", *RUNTIME_SETTINGS):
+        own.conf.set(key, spark.conf.get(key))
+    if partitions:
+        own.conf.set("spark.sql.shuffle.partitions", partitions)
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    return own
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder the cluster shares (``spark.checkpoint.dir``).
 

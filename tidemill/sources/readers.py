@@ -39,7 +39,7 @@ def read_delta_tree(spark: SparkSession, root: str, table: str, schema: str) ->
     path = F.col("_metadata.file_path")
     place = r"/(?:date=)?([^/=]+)/(?:hour=)?([^/=]+)/(?:table=)?([^/.=]+)\.csv(?:/[^/]*)?$"
     return (
-        spark.read.option("header", True).schema(schema).csv(f"{root.rstrip('/')}/*/*/*{table}.csv")
+        spark.read.option("header", True).schema(schema).csv(f"{root.rstrip('/')}/*/*/{{table=,}}{table}.csv")
         .withColumns({
             "batch_date": F.regexp_extract(path, place, 1),
             "batch_hour": F.regexp_extract(path, place, 2),

@@ -1,25 +1,40 @@
-"""A stored table as one Parquet folder per version.
+"""Stored tables: one Parquet folder per version, or hash buckets of a key that change one by one.
 
-A write goes to the next folder, which counts from the moment Spark marks it complete, so
-readers see whole versions only and a failed write is written again.
+A write counts from the moment Spark marks its folder complete, so readers see whole versions only
+and a failed write is written again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.session import stored
+
+BUCKET = "_bucket"
+
+
+def completed(spark: SparkSession, folder: str, label: str) -> list[int]:
+    """The numbers of the complete ``label=<number>`` folders; the driver sees folder names, never files of data."""
+    return sorted(int(name.split("=")[1]) for name in _parents(spark, f"{folder}/{label}=*/_SUCCESS"))
+
+
+def _parents(spark: SparkSession, pattern: str) -> list[str]:
+    """The names of the folders that hold what a pattern finds."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
+    return [s.getPath().getParent().getName() for s in found or []]
+
 
 class FolderTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
     def versions(self) -> list[int]:
-        """The numbers of the complete versions; the driver sees folder names, never files of data."""
-        jvm = self.spark._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/version=*/_SUCCESS")
-        found = pattern.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).globStatus(pattern)
-        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found or [])
+        """The numbers of the complete versions."""
+        return completed(self.spark, self.path, "version")
 
     def folder(self, version: int) -> str:
         return f"{self.path}/version={version}"
@@ -44,3 +59,65 @@ class FolderTable:
             one = self.read(version).agg(F.lit(version).alias("version"), F.count("*").alias("rows"))
             counts = one if counts is None else counts.unionByName(one)
         return counts
+
+
+class BucketTable:
+    """A table in hash buckets of ``keys``, of which a merge reads and rewrites only those its batch touches.
+
+    A merge first stores the new rows of its buckets beside the table, then overwrites these
+    buckets, then marks the batch as applied. A job that dies in between is carried on by the next
+    merge from the stored rows, and a batch that was applied is not applied again. Batches are numbered by
+    their ``writer``, and one writer works at a time. Readers may meet a merge half done; read between merges.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 256):
+        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+        self.data = f"{self.path}/buckets={buckets}"
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def read(self, touched: Sequence[int] | None = None) -> DataFrame | None:
+        """The rows, or those of some buckets; None before the first merge."""
+        if not _parents(self.spark, self.data):
+            return None
+        rows = self.spark.read.parquet(self.data)
+        if touched is not None:
+            rows = rows.filter(F.col(BUCKET).isin(list(touched)))
+        return rows.drop(BUCKET)
+
+    def merge(
+        self, batch: DataFrame, number: int, apply: Callable[[DataFrame | None, DataFrame], DataFrame], writer: str = "main"
+    ) -> bool:
+        """Replace the rows of the batch's buckets by ``apply(rows, batch)``; False if the batch was applied before.
+
+        ``apply`` must keep every row in the bucket of its key, and a bucket it empties stays as it was.
+        """
+        done = f"{self.path}/applied/writer={writer}"
+        self._carry_on(done)
+        if number in completed(self.spark, done, "batch"):
+            return False
+        batch = stored(batch, "batch")
+        touched = sorted(r[0] for r in batch.select(self.bucket()).distinct().collect())  # at most ``buckets`` numbers
+        if touched:
+            changed = apply(self.read(touched), batch).withColumn(BUCKET, self.bucket())
+            # One task per bucket, more for a large one.
+            changed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(self._staged(done, number))
+        self._publish(done, number, bool(touched))
+        return True
+
+    def _staged(self, done: str, number: int) -> str:
+        return f"{done.replace('/applied/', '/staged/')}/batch={number}"
+
+    def _publish(self, done: str, number: int, filled: bool = True) -> None:
+        if filled:
+            rows = self.spark.read.parquet(self._staged(done, number)).hint("rebalance", BUCKET)
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.data)
+        self.spark.range(1).write.mode("overwrite").parquet(f"{done}/batch={number}")
+
+    def _carry_on(self, done: str) -> None:
+        staged = completed(self.spark, done.replace("/applied/", "/staged/"), "batch")
+        applied = set(completed(self.spark, done, "batch"))
+        for number in staged:
+            if number not in applied:
+                self._publish(done, number)

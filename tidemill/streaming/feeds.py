@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemill.operators.changes import upsert_newer
+from tidemill.operators.changes import scd2_step, upsert_newer
 from tidemill.operators.quality import keep_expected
 from tidemill.schemas import FEEDS
-from tidemill.sources.tables import FolderTable
+from tidemill.sources.tables import BucketTable
 
 LATENESS = "2 minutes"
 
@@ -144,14 +144,20 @@ def apply_changes(
     )
 
 
-def upsert_into(table: FolderTable, keys: list[str], *sequence: str) -> Callable[[DataFrame, int], object]:
-    """A batch function that merges into a stored table; see ``upsert_newer``.
+def upsert_into(table: BucketTable, *sequence: str) -> Callable[[DataFrame, int], object]:
+    """A batch function that merges into the buckets of its keys; see ``upsert_newer``.
 
-    A batch replayed after a failure, or a late one, merges to the same rows.
+    A late batch merges to the same rows, and one replayed after a failure is not applied twice.
     """
-    return lambda batch, _: table.write(
-        upsert_newer(table.read() if table.versions() else None, batch, keys, *sequence)
-    )
+    return lambda batch, number: table.merge(batch, number, lambda old, new: upsert_newer(old, new, table.keys, *sequence))
+
+
+def history_into(table: BucketTable, sequence: str, tracked: Sequence[str]) -> Callable[[DataFrame, int], object]:
+    """A batch function that keeps the whole history of every key; see ``scd2_step``.
+
+    Only the buckets of the batch's keys are read and rewritten. ``scd2_versions`` shows the versions.
+    """
+    return lambda batch, number: table.merge(batch, number, lambda old, new: scd2_step(old, new, table.keys, sequence, tracked))
 
 
 def minute_average(feed: DataFrame, measure: str, event_time: str = "timestamp", width: str = "1 minute") -> DataFrame:
