@@ -2,7 +2,8 @@
 
 The batch answer is ``operators.ordered.speed_trace``. Here pulses wait in the state until the watermark
 has passed them, so they are taken in order however they arrive within the lateness. A timer at a
-device's earliest waiting pulse wakes it; a device without pulses for ``idle`` milliseconds is forgotten.
+device's earliest waiting pulse wakes it. A device without pulses for over ``idle`` milliseconds begins
+anew, and a timer then frees its state.
 """
 
 from __future__ import annotations
@@ -55,7 +56,10 @@ class SpeedTrace(StatefulProcessor):
             if self.idle is not None and not len(waiting) and at is not None and _millis(at) + self.idle <= watermark:
                 self.trace.clear()
             return
-        for at, place, delta in waiting[:passed].tolist():
+        for moment, place, delta in waiting[:passed].tolist():
+            if self.idle is not None and at is not None and moment - at > self.idle * 1000:
+                speed = odometer = step = 0
+            at = moment
             speed = max(speed + delta, 0)
             odometer, step = odometer + speed, step + 1
             yield Row(**{self.device: key[0], "_at": at, "_place": place, "speed": speed, "odometer": odometer, "step": step})
