@@ -249,3 +249,40 @@ def test_landing_keeps_the_first_schema(spark, tmp_path):
     with pytest.raises(ValueError, match="new columns .'extra'"):
         feeds.ingest_files(spark, ["orders"], lambda n: f"{source}/{n}", landing)
     assert spark.read.parquet(f"{landing}/data/orders").count() == 3
+
+
+def test_redelivered_messages_arrive_once(spark, tmp_path):
+    """Three runs over a topic that repeats messages inside a file, in the next file and much later."""
+    message = lambda i, minute: {"id": f"m{i}", "deviceId": "d", "timestamp": f"2024-05-01T{10 + minute // 60}:{minute % 60:02}:00"}
+    deliveries = [[message(0, 0), message(1, 1), message(0, 0)], [message(1, 1), message(2, 2), message(0, 0)],
+                  [message(3, 90)], [message(0, 0), message(2, 2), message(3, 90), message(4, 89)]]
+    for batch, part in enumerate(deliveries):
+        say(tmp_path / "in", f"{batch}.json", *part)
+        stream = feeds.once(feeds.read_topic(spark, "text", {"path": str(tmp_path / "in")}, FEEDS["gps"]))
+        run(feeds.write_feed(stream, str(tmp_path / "out"), str(tmp_path / "cp"), drain=True))
+    got = spark.read.schema(FEEDS["gps"]).parquet(str(tmp_path / "out")).collect()
+    assert sorted(r.id for r in got) == ["m0", "m1", "m2", "m3", "m4"]
+
+
+def test_unknown_fields_are_rescued_and_promoted(spark, tmp_path):
+    source, landing = str(tmp_path / "source"), feeds.Landing(spark, str(tmp_path / "landing"))
+    spark.range(3).withColumn("v", F.lit("a")).write.parquet(source)
+    landing.land(source)
+    assert landing.read().columns == ["id", "v", "_rescued_data"]
+    more = spark.range(3, 5).selectExpr("id", "'b' AS V", "id * 2 AS extra", "named_struct('x', id) AS deep", "DATE'2024-05-01' AS `a day`")
+    more.write.mode("append").parquet(source)
+    spark.range(5, 6).write.mode("append").parquet(source)
+    landing.land(source)
+    landing.land(source)
+    rows = {r.id: r for r in landing.read().select("id", "v", F.col("_rescued_data").cast("string").alias("more")).collect()}
+    assert len(rows) == 6 and rows[4].v == "b" and rows[5].v is None and rows[0].more is None
+    assert json.loads(rows[4].more) == {"extra": 8, "deep": {"x": 4}, "a day": "2024-05-01"}
+    landing.widen("extra BIGINT, `a day` DATE")
+    spark.range(6, 7).selectExpr("id", "'c' AS v", "7L AS extra").write.mode("append").parquet(source)
+    landing.land(source)
+    rows = {r.id: r for r in landing.read().collect()}
+    assert [rows[i].extra for i in range(7)] == [None, None, None, 6, 8, None, 7]
+    assert str(rows[3]["a day"]) == "2024-05-01" and landing.read().filter("_rescued_data IS NOT NULL").count() == 2
+    spark.range(7, 8).selectExpr("id", "5 AS v").write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="another type"):
+        landing.land(source)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemill.plans.registry import query
 from tidemill.sources.tables import FolderTable
-from tidemill.sources import catalog, readers, writers
+from tidemill.sources import catalog, readers, splitting, writers
 from tidemill.streaming import feeds
 
 CUSTOMER = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
@@ -104,6 +104,23 @@ def file_arrival(t):
     return counts
 
 
+@query("src_06_rescued_fields", """
+    SELECT event_id, value, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN event_type END AS event_type,
+           CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN user_id END AS user_id,
+           ts >= TIMESTAMP '2024-01-16' AS rescued FROM events""")
+def rescued_fields(t):
+    """The second half of the month arrives with two fields more; one run later the schema is widened by them."""
+    arriving, landing = t.scratch("arriving"), feeds.Landing(t.spark, t.scratch("landing"))
+    t.events.filter("ts < TIMESTAMP_NTZ '2024-01-16'").select("event_id", "value").write.parquet(arriving)
+    landing.land(arriving)
+    later = t.events.filter("ts >= TIMESTAMP_NTZ '2024-01-16'").select("event_id", "value", "event_type", "user_id")
+    later.write.mode("append").parquet(arriving)
+    landing.land(arriving)
+    landing.widen("event_type STRING, user_id BIGINT")
+    rows = landing.read()
+    return rows.select("event_id", "value", "event_type", "user_id", F.col(landing.RESCUED).isNotNull().alias("rescued"))
+
+
 READINGS_SQL = """
     SELECT event_id, CAST(user_id AS VARCHAR) AS "deviceId", ts AS "timestamp", value AS speed,
            event_type AS topic FROM events"""
@@ -119,6 +136,19 @@ def topic_stream(t):
     return decoded.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+@query("src_07_redelivered", READINGS_SQL)
+def redelivered(t):
+    """A topic that delivers its first half twice, the second time after a restart."""
+    topic, out = t.scratch("topic"), t.scratch("once")
+    halves = [t.events.filter(f"ts {sign} TIMESTAMP_NTZ '2024-01-16'") for sign in ("<", ">=")]
+    for part in (halves[0], halves[0].unionByName(halves[1])):
+        as_messages(readings(part)).write.mode("append").text(topic)
+        stream = feeds.read_topic(t.spark, "text", {"path": topic}, READING)
+        feeds.await_all([feeds.write_feed(feeds.once(stream, "event_id"), f"{out}/data", f"{out}/checkpoint", drain=True)])
+    decoded = t.spark.read.schema(READING).parquet(f"{out}/data")
+    return decoded.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 @query("src_08_stream_table", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_table(t):
     table = f"{fresh_database(t, 'stream')}.events"
@@ -142,6 +172,17 @@ def json_lines_and_arrays(t):
     return readers.read_records(t.spark, "id BIGINT, name STRING", lines, f"{arrays}/*")
 
 
+@query("src_09_large_arrays", """
+    SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer""")
+def large_arrays(t):
+    """Files of one array of up to 5,000 records each, every file read by as many tasks as it has splits."""
+    arrays = t.scratch("arrays")
+    record = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    groups = t.customer.groupBy(F.floor(F.col("c_custkey") / 5000).alias("part")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    groups.write.partitionBy("part").text(arrays)
+    return splitting.read_json_array(t.spark, f"{arrays}/*", "id BIGINT, name STRING, balance DOUBLE")
+
+
 @query("src_10_xml_items", """
     SELECT url AS link, 'Page ' || page_id AS title, CAST(length(html) AS VARCHAR) AS description
     FROM pages""")
@@ -186,17 +227,25 @@ def typed_csv_load(t):
     SELECT doc_id, lang, length(text) AS chars, md5(text) AS text_md5 FROM documents""")
 def quoted_csv(t):
     path = t.scratch("csv")
-    (
-        t.documents.select("doc_id", "lang", "text").write.option("header", True)
-        .option("quoteAll", True).option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    )
+    writers.write_quoted_csv(t.documents.select("doc_id", "lang", "text"), path)
     back = readers.read_csv(t.spark, path, "doc_id BIGINT, lang STRING, text STRING", multiline=True)
     return back.select(
         "doc_id", "lang", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("text_md5")
     )
 
 
+@query("src_13_large_quoted_csv", """
+    SELECT doc_id, lang, length(text) AS chars, md5(text) AS text_md5 FROM documents""")
+def large_quoted_csv(t):
+    """As above, each file read by as many tasks as it has splits."""
+    path = t.scratch("csv")
+    writers.write_quoted_csv(t.documents.select("doc_id", "lang", "text"), path)
+    back = splitting.read_quoted_csv(t.spark, path, "doc_id BIGINT, lang STRING, text STRING")
+    return back.select(
+        "doc_id", "lang", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("text_md5")
+    )
+
+
 PAGE_IDS_SQL = "regexp_extract(url, '([^/?]+)(\\?[^/]*)?$', 1)"
 
 

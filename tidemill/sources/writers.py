@@ -22,6 +22,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_quoted_csv(df: DataFrame, path: str) -> None:
+    """CSV with a header, every field quoted and quotes in it doubled, so line breaks and blanks survive."""
+    writer = df.write.option("header", True).option("quoteAll", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
 def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

@@ -9,12 +9,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType, VariantType
 
 from tidemill.operators.changes import scd2_step, upsert_newer
 from tidemill.operators.quality import keep_expected
 from tidemill.schemas import FEEDS
-from tidemill.sources.tables import BucketTable
+from tidemill.sources.tables import BucketTable, completed
 
 LATENESS = "2 minutes"
 
@@ -44,6 +44,15 @@ def read_topic(
     return decode(reader.load(), schema).withWatermark(event_time, lateness)
 
 
+def once(messages: DataFrame, key: str = "id") -> DataFrame:
+    """Each message once, though a topic delivers it again: repeats of a key within the watermark are dropped.
+
+    The key is the sender's message id. Ids leave the state as the watermark passes them; what comes again
+    after that is late, and late messages are dropped. So none arrives twice, and none within the lateness is lost.
+    """
+    return messages.dropDuplicatesWithinWatermark([key])
+
+
 def kafka_options(servers: str, topic: str) -> dict[str, str]:
     return {
         "kafka.bootstrap.servers": servers,
@@ -134,6 +143,82 @@ def ingest_files(
     await_all(write_feeds(streams, landing, drain=True).values())
 
 
+class Landing:
+    """Arriving Parquet files of one data set, landed without losing fields the tracked schema lacks.
+
+    Unknown fields go to the variant column ``RESCUED``; ``widen`` promotes them, for rows that landed before as
+    well. A micro-batch reads the footers of its own files only, and lands in a folder of its own, which a replay
+    writes again. A file whose field has another type than the tracked one fails the job.
+    """
+
+    RESCUED = "_rescued_data"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def schema(self) -> StructType | None:
+        """The tracked fields, from the latest version of the schema."""
+        versions = completed(self.spark, f"{self.path}/schema", "version")
+        if not versions:
+            return None
+        text = self.spark.read.text(f"{self.path}/schema/version={versions[-1]}", wholetext=True).first()[0]
+        return StructType.fromJson(json.loads(text))
+
+    def _track(self, schema: StructType) -> None:
+        versions = completed(self.spark, f"{self.path}/schema", "version")
+        version = versions[-1] + 1 if versions else 0
+        one = self.spark.createDataFrame([(schema.json(),)], "value STRING")
+        one.coalesce(1).write.mode("overwrite").text(f"{self.path}/schema/version={version}")
+
+    def land(self, source: str, files: int = 1000) -> None:
+        """Land the files that have arrived since the last run, at most ``files`` of them in a micro-batch."""
+        if self.schema() is None:
+            self._track(self.spark.read.parquet(source).schema)
+        # The stream only says which files are new; a file without rows has nothing to land.
+        names = self.spark.readStream.schema(self.schema()).option("maxFilesPerTrigger", files).parquet(source)
+        names = names.select(F.col("_metadata.file_path").alias("file"))
+        query = names.writeStream.foreachBatch(self._land).option("checkpointLocation", f"{self.path}/checkpoint")
+        await_all([query.trigger(availableNow=True).start()])
+
+    def _land(self, batch: DataFrame, number: int) -> None:
+        files = [r.file for r in batch.distinct().collect()]  # at most the files of a micro-batch
+        if not files:
+            return
+        schema = self.schema()
+        rows = self.spark.read.option("mergeSchema", True).parquet(*files)
+        own = {f.name.lower(): f for f in rows.schema}
+        tracked = [F.col(own[f.name.lower()].name) if f.name.lower() in own else F.lit(None) for f in schema]
+        changed = [f.name for f in schema if f.name.lower() in own and own[f.name.lower()].dataType != f.dataType]
+        if changed:
+            raise ValueError(f"{changed} arrived with another type than in {schema.simpleString()}")
+        unknown = [f.name for key, f in own.items() if key not in {f.name.lower() for f in schema}]
+        filled = F.greatest(*[F.col(f"`{c}`").isNotNull() for c in unknown], F.lit(False), F.lit(False))
+        rescued = F.when(filled, F.to_variant_object(F.struct(*[f"`{c}`" for c in unknown]))) if unknown else F.lit(None).cast("variant")
+        landed = rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(tracked, schema)], rescued.alias(self.RESCUED))
+        landed.write.mode("overwrite").parquet(f"{self.path}/data/batch={number}")
+
+    def widen(self, fields: str) -> None:
+        """Track further fields, given as a schema; rows that landed with them have them from now on."""
+        schema = self.schema()
+        added = StructType.fromDDL(fields)
+        self._track(StructType([*schema, *[f for f in added if f.name.lower() not in {k.name.lower() for k in schema}]]))
+
+    def read(self) -> DataFrame:
+        """All landed rows under the latest schema; ``RESCUED`` holds what arrived unknown."""
+        schema = self.schema()
+        stored = StructType([*schema, StructField(self.RESCUED, VariantType())])
+        rows = self.spark.read.schema(stored).option("recursiveFileLookup", True).parquet(f"{self.path}/data")
+        rescued = lambda f: F.try_variant_get(self.RESCUED, f"$['{f.name}']", f.dataType.simpleString())
+        first = len(self._first())
+        return rows.select(
+            *[f.name for f in schema[:first]], *[F.coalesce(F.col(f.name), rescued(f)).alias(f.name) for f in schema[first:]], self.RESCUED
+        )
+
+    def _first(self) -> StructType:
+        text = self.spark.read.text(f"{self.path}/schema/version=0", wholetext=True).first()[0]
+        return StructType.fromJson(json.loads(text))
+
+
 def apply_changes(
     stream: DataFrame, rules: Mapping[str, str], apply: Callable[[DataFrame, int], object], checkpoint: str,
 ) -> StreamingQuery:
