@@ -1,5 +1,6 @@
 """Golden cases of the text, list and record functions."""
 
+import random
 import html
 from html.parser import HTMLParser
 
@@ -184,3 +185,34 @@ def test_zip_lists(spark):
     rows = spark.createDataFrame([(["a", "b"], ["x"], None)], "p ARRAY<STRING>, q ARRAY<STRING>, r ARRAY<STRING>")
     zipped = semi.zip_lists(F.col("p"), F.col("q"), F.col("r"), names=["title", "company", "place"])
     assert [tuple(x) for x in rows.select(zipped).first()[0]] == [("a", "x", "N/A"), ("b", "N/A", "N/A")]
+
+
+def test_sentences_are_found_by_their_first_letters(spark):
+    """The quick test for opening letters changes nothing, whatever the case of the letters."""
+    r = random.Random(6)
+    words = ["shop", "SHOP", "ſhop", "workshop", "Tặng Kèm", "TẶNG KÈM", "wWw.x", "HTTPS://a", "http", "lıcense", "licenſe", "LİCENSE", "ß", "other", "　"]
+    patterns = [*text.PROMO_PATTERNS, r"(?i)\blicense\b", r"(?i)\bko"]
+    rows = [(" ".join(r.choice([*words, ".", "!", "Kold"]) for _ in range(r.randrange(0, 12))),) for _ in range(400)] + [(None,), ("",)]
+    df = spark.createDataFrame(rows, "t STRING")
+    assert text.opening_letters(r"(?i)\blicense\b") == "license" and text.opening_letters(r"(?i)ab?c|d") is None
+    assert [text.opening_letters(p) for p in (r"(?i)\bhot\b.*", r"(?i)http[s]?://", r"a|bcd", r"(abc)", r"abc?d", r"\d+")] == [
+        "hot", "http", None, None, None, None]
+    slow = text.any_of(patterns)
+    plain = F.array_join(F.filter(F.transform(F.split("t", text.SENTENCE_GAP), lambda s: text.strip(s)), lambda s: (s != "") & ~s.rlike(slow)), " ")
+    for used in (patterns, patterns[:-1]):
+        slow = text.any_of(used)
+        found = df.select("t", text.drop_sentences(F.col("t"), used).alias("a"), plain.alias("b")).collect()
+        if used is patterns:
+            assert all(x.a == x.b for x in found) and sum(x.a != x.t for x in found) > 100
+        else:
+            quick = [x.a for x in found]
+            whole = df.select(text.drop_sentences(F.col("t"), [*used, r"(?:no such words)"]).alias("a")).collect()
+            assert quick == [x.a for x in whole]
+
+
+def test_stripping_takes_all_white_space(spark):
+    import re
+    signs = [chr(i) for i in range(0x3100) if not 0xD800 <= i < 0xE000 and i]
+    df = spark.createDataFrame([(f"{c}a b{c}",) for c in signs], "t STRING")
+    found = df.select(text.strip(F.col("t")).alias("s"), F.regexp_replace("t", r"(?U)^\s+|\s+$", "").alias("r")).collect()
+    assert all(x.s == x.r for x in found) and sum(len(x.s) == 3 for x in found) == len(text.WHITE_SPACE) == len(re.findall(r"(?s).", text.WHITE_SPACE))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -65,9 +67,16 @@ def last_segment(text: Column, separator: str = "/") -> Column:
     return F.substring_index(text, separator, -1)
 
 
+# The characters with Unicode's White_Space property: fixed values.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
     """Trim white space of any kind."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def present(text: Column) -> Column:
@@ -99,8 +108,9 @@ NUMBER = r"^#(?:[xX]0*([0-9a-fA-F]+)|0*([0-9]+));?"
 COMMON = ["amp;", "nbsp;", "lt;", "gt;", "quot;"]
 
 
-def _literal_map(pairs: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+def _literal_map(pairs: dict[str, str]) -> Column:
+    """A constant map; as one literal, which Spark parses once while it plans."""
+    return F.from_json(F.lit(json.dumps(pairs)), "MAP<STRING, STRING>")
 
 
 def _windows_1252() -> dict[int, int]:
@@ -111,7 +121,8 @@ def _windows_1252() -> dict[int, int]:
 
 def _number(code: Column) -> Column:
     """The character of a number; the replacement character for one that is none."""
-    moved = F.coalesce(F.element_at(_literal_map(_windows_1252()), code), code)
+    moved = F.create_map(*[F.lit(n) for pair in _windows_1252().items() for n in pair])
+    moved = F.coalesce(F.element_at(moved, code), code)
     valid = moved.between(1, 0xD7FF) | moved.between(0xE000, 0x10FFFF)
     return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, moved).otherwise(0xFFFD)), 8, "0")), "UTF-32")
 
@@ -194,12 +205,60 @@ def any_of(patterns: Sequence[str]) -> str:
     return "(?U)" + "|".join(shared + others)
 
 
+ODD_CASES = {"İ": "i", "ı": "i", "ſ": "s"}  # equal to these letters without regard to case, though not once lower-cased
+
+
+def _folded(text: Column | str):
+    """Lower case, in which letters that a regular expression takes as equal without case are equal."""
+    for sign, letter in ODD_CASES.items():
+        text = text.replace(sign, letter) if isinstance(text, str) else F.replace(text, F.lit(sign), F.lit(letter))
+    return text.lower() if isinstance(text, str) else F.lower(text)
+
+
+@lru_cache
+def _variants() -> dict[str, set[str]]:
+    found = {}
+    for sign in map(chr, range(0x80, 0x10000)):
+        if sign not in ODD_CASES:
+            found.setdefault(sign.upper(), set()).add(sign.lower())
+    return found
+
+
+def opening_letters(pattern: str) -> str | None:
+    """The letters, digits and blanks a pattern's finds must begin with; None if fewer than three are sure."""
+    body, depth = pattern.removeprefix("(?i)").removeprefix(r"\b"), 0
+    for sign in re.sub(r"\\.", "", body):
+        depth += (sign == "(") - (sign == ")")
+        if sign == "|" and not depth:
+            return None
+    letters = re.match(r"[^\W_ ][^\W_]*(?: [^\W_]+)*", body)
+    found = letters.group() if letters else ""
+    if body[len(found) : len(found) + 1] in ("?", "*", "{"):
+        found = found[:-1]
+    found = _folded(found)
+    plain = all(_variants().get(sign.upper(), set()) <= {sign} for sign in found)
+    return found if len(found) >= 3 and plain else None
+
+
 def drop_sentences(text: Column, patterns: Sequence[str] = PROMO_PATTERNS) -> Column:
-    """Remove every sentence in which one of the patterns is found."""
-    unwanted = any_of(patterns)
-    sentences = F.transform(F.split(text, SENTENCE_GAP), lambda s: strip(s))
-    kept = F.filter(sentences, lambda s: (s != "") & ~s.rlike(unwanted))
-    return F.array_join(kept, " ")
+    """Remove every sentence in which one of the patterns is found.
+
+    A text in which none of the patterns can begin is not searched sentence by sentence.
+    """
+    unwanted, letters = any_of(patterns), [opening_letters(p) for p in patterns]
+
+    def kept(sentences: Column, possible: Column) -> Column:
+        wanted = lambda s: (s != "") & ~F.when(possible, s.rlike(unwanted)).otherwise(False)
+        return F.array_join(F.filter(sentences, wanted), " ")
+
+    def searched(whole: Column) -> Column:
+        sentences = F.split(whole, SENTENCE_GAP)
+        if not all(letters):
+            return kept(sentences, F.lit(True))
+        some = lambda folded: F.greatest(*[F.contains(folded, F.lit(x)) for x in dict.fromkeys(letters)], F.lit(False))
+        return let(let(_folded(whole), some), lambda possible: kept(sentences, possible))
+
+    return let(strip(text), searched)
 
 
 def describe_product(html: Column, limit: int = 400, drop_promotions: bool = True) -> Column:
