@@ -4,7 +4,9 @@ import re
 
 import pytest
 
+from tidemill.operators import changes
 from tidemill.plans import REGISTRY
+from tidemill.sources import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = dict(REGISTRY)
@@ -56,3 +58,34 @@ def test_cut_rows_go_through_one_window_per_section(spark, small_sections):
     text = plan(spark, "win_03_row_number")
     windows = [line for line in text.splitlines() if "Window [row_number()" in line]
     assert windows and all("windowspecdefinition(_section" in line for line in windows)
+
+
+@pytest.fixture
+def sorted_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tables_in_buckets_are_joined_where_they_lie(spark, tmp_path, sorted_joins):
+    """No exchange over a stored side: one for the batch of an upsert, none for two tables in the same buckets."""
+    catalog.recreate_database(spark, "tidemill_buckets", str(tmp_path / "db"))
+    rows = spark.range(1000).selectExpr("id AS k", "id % 7 AS v")
+    for name in ("one", "two"):
+        catalog.save_bucketed(rows, f"tidemill_buckets.{name}", str(tmp_path / name), ["k"], 4)
+        assert len(list((tmp_path / name).glob("*.parquet"))) == 4
+    one, two = spark.table("tidemill_buckets.one"), spark.table("tidemill_buckets.two")
+    both = one.join(two, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in both and "Exchange" not in both
+    batch = spark.createDataFrame([(5, 1), (2000, 1)], "k LONG, v LONG")
+    merged = changes.upsert(one, batch, ["k"], null_keys=False)
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    anti = text.split("LeftAnti", 1)[1]
+    assert anti.count("Exchange") == 1 and "Bucketed: true" in anti.split("Exchange")[0]
+    catalog.save_bucketed(merged, "tidemill_buckets.three", str(tmp_path / "three"), ["k"], 4, spread=False)
+    three = spark.table("tidemill_buckets.three")
+    assert three.count() == 1001 and three.filter("k = 5").first().v == 1
+    assert "Exchange" not in three.join(two, "k")._jdf.queryExecution().executedPlan().toString()
+    nothing = spark.createDataFrame([(None, 1)], "k LONG, v LONG")
+    with pytest.raises(Exception, match="is null"):
+        changes.upsert(one, nothing, ["k"], null_keys=False).collect()

@@ -6,6 +6,7 @@ per task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -55,6 +56,70 @@ def column_profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.agg(one.alias("profile")).select(F.inline("profile"))
 
 
+def exact_quantiles(
+    df: DataFrame, names: Sequence[str], shares: Sequence[float], held: int = 100_000, accuracy: int = 10_000
+) -> DataFrame:
+    """``column, share, value``: exact quantiles of numeric columns, interpolated between neighbours.
+
+    No column is sorted. A mergeable sketch proposes two values around a wanted rank, and counting the rows
+    below and at each of them tells exactly on which side, or between them, the rank lies. Every round
+    narrows the open interval about by ``accuracy``; once it holds at most ``held`` rows, these are looked at.
+    Nulls are left out; a column without values has null quantiles.
+    """
+    values = df.select(*[F.col(n).cast("double").alias(n) for n in names])
+    filled = values.agg(*[F.count(n).alias(n) for n in names]).first()
+    places = {(n, s): s * (filled[n] - 1) for n in names for s in shares if filled[n]}
+    # Rank by rank: the open interval its value is in, the rows not above the interval's start, the rows in it.
+    waiting = {(n, r): (None, None, 0, filled[n]) for (n, _), p in places.items() for r in {math.floor(p), math.ceil(p)}}
+    known: dict[tuple[str, int], float] = {}
+
+    def within(name: str, lo: float | None, hi: float | None) -> Column:
+        value, test = F.col(name), F.col(name).isNotNull()
+        test = test if lo is None else test & (value > lo)
+        return F.when(test if hi is None else test & (value < hi), value)
+
+    while waiting:
+        sketched = []
+        for (name, rank), (lo, hi, below, inside) in waiting.items():
+            near = (rank - below + 0.5) / inside
+            margin = [max(near - 2 / accuracy, 0.0), min(near + 2 / accuracy, 1.0)]
+            sketched.append(
+                F.array(F.get(F.sort_array(F.collect_list(within(name, lo, hi))), F.lit(rank - below))) if inside <= held
+                else F.percentile_approx(within(name, lo, hi), margin, accuracy)
+            )
+        found = values.agg(F.array(*sketched)).first()[0]
+        bounds = {}
+        for key, values_found in zip(list(waiting), found):
+            if len(values_found) == 1:
+                known[key] = values_found[0]
+                del waiting[key]
+            else:
+                bounds[key] = values_found
+        if bounds:
+            counts = values.agg(F.array(*[
+                F.array(*[F.count_if(test) for c in pair for test in (F.col(name) < c, F.col(name) <= c)]) for (name, _), pair in bounds.items()
+            ])).first()[0]
+            for (key, (a, b)), (under_a, to_a, under_b, to_b) in zip(bounds.items(), counts):
+                (lo, hi, below, inside), rank = waiting.pop(key), key[1]
+                if under_a <= rank < to_a or under_b <= rank < to_b:
+                    known[key] = a if rank < to_a else b
+                elif rank < under_a:
+                    waiting[key] = lo, a, below, under_a - below
+                elif rank < under_b:
+                    waiting[key] = a, b, to_a, under_b - to_a
+                else:
+                    waiting[key] = b, hi, to_b, below + inside - to_b
+    rows = []
+    for name in names:
+        for share in shares:
+            place = places.get((name, share))
+            if place is not None:
+                least, most = known[name, math.floor(place)], known[name, math.ceil(place)]
+                place = least if least == most else least + (most - least) * (place - math.floor(place))
+            rows.append((name, float(share), place))
+    return df.sparkSession.createDataFrame(rows, "column STRING, share DOUBLE, value DOUBLE")
+
+
 def with_share(counted: DataFrame, measure: str, name: str) -> DataFrame:
     """Add each row's share of the total of an aggregated frame."""
     return counted.withColumn(name, F.col(measure) / counted.select(F.sum(measure)).scalar())

@@ -22,19 +22,24 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"several rows share one key {list(keys)}: {repeated.first()}")
 
 
-def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], check: bool = True) -> DataFrame:
+def upsert(
+    target: DataFrame | None, source: DataFrame, keys: Sequence[str], check: bool = True, null_keys: bool = True
+) -> DataFrame:
     """Update rows whose key is in ``source``, insert the rest; null keys match each other.
 
     ``target=None`` is the first load. A key that ``source`` holds twice is an error, since
-    which of its rows should win is unknown.
+    which of its rows should win is unknown. Without ``null_keys`` a null key in ``source`` is an error, and a
+    target in buckets of its keys (``catalog.save_bucketed``) is joined where it lies.
     """
     if check:
         require_unique(source, keys)
+    if not null_keys:
+        source = keyed(source, keys)
     if target is None:
         return source
     arriving = source.select(*keys).alias("new")
     untouched = target.alias("old").join(
-        arriving, same("old", "new", [(k, k) for k in keys], null_safe=True), "left_anti"
+        arriving, same("old", "new", [(k, k) for k in keys], null_safe=null_keys), "left_anti"
     )
     return untouched.unionByName(source)
 

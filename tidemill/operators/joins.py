@@ -65,8 +65,8 @@ def star_fact(items: DataFrame, goods: DataFrame, orders: DataFrame, users: Data
     ``orders(order_id, user_id, order_date)`` and ``users(user_id, user_name)``.
     """
     return (
-        items.join(goods, "goods_id")
-        .join(orders, "order_id")
+        items.join(orders, "order_id")  # first, as both sides may be stored in buckets of it
+        .join(goods, "goods_id")
         .join(users, "user_id")
         .withColumns({
             "number_of_items_ordered": F.col("quantity"),

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.operators import changes
+from tidemill.plans.ingest import fresh_database
 from tidemill.plans.registry import query
+from tidemill.sources import catalog
 from tidemill.sources.tables import FolderTable
 
 
@@ -31,6 +33,22 @@ def fact_upsert(t):
     return changes.upsert(target, source, ["o_orderkey", "o_custkey"])
 
 
+@query("dml_01_bucketed_upsert", """
+    SELECT o_orderkey, o_orderdate >= TIMESTAMP '1999-01-01' AS updated,
+           CASE WHEN o_orderdate >= TIMESTAMP '1999-01-01' THEN round(o_totalprice * 1.1, 4) ELSE o_totalprice END AS amount
+    FROM orders""")
+def bucketed_upsert(t):
+    """Orders before 2000 lie in buckets of their key, where those from 1999 reach them; the result lies in buckets again."""
+    stored, merged = f"{fresh_database(t, 'buckets')}.orders", f"{fresh_database(t, 'buckets')}.orders"
+    pick = lambda df, updated, amount: df.select("o_orderkey", F.lit(updated).alias("updated"), amount.alias("amount"))
+    before = pick(t.orders.filter("o_orderdate < TIMESTAMP_NTZ '2000-01-01'"), False, F.col("o_totalprice"))
+    catalog.save_bucketed(before, stored, t.scratch("orders"), ["o_orderkey"], 8)
+    source = pick(t.orders.filter("o_orderdate >= TIMESTAMP_NTZ '1999-01-01'"), True, F.round(F.col("o_totalprice") * 1.1, 4))
+    rows = changes.upsert(t.spark.table(stored), source, ["o_orderkey"], null_keys=False)
+    catalog.save_bucketed(rows, merged, t.scratch("orders"), ["o_orderkey"], 8, spread=False)
+    return t.spark.table(merged)
+
+
 @query("dml_02_scd1", """
     WITH keyed AS (SELECT *, NULLIF(c_custkey, 7) AS k FROM customer),
     old AS (SELECT *, row_number() OVER (ORDER BY k NULLS FIRST) AS dim_key FROM keyed WHERE c_nationkey < 15 OR k IS NULL),

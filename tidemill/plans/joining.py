@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import semi
 from tidemill.operators import joins, sets
+from tidemill.plans.ingest import fresh_database
 from tidemill.plans.registry import query
-from tidemill.sources import readers, writers
+from tidemill.sources import catalog, readers, writers
 
 
 def transactions(t):
@@ -81,6 +82,30 @@ def star_fact(t):
     return transactions(t)
 
 
+@query("jn_02_bucketed_fact", """
+    SELECT o_custkey AS user_id, c_name AS user_name, l_linenumber AS order_item_id,
+           l_quantity AS number_of_items_ordered, l_quantity * p_retailprice AS total_purchase_value,
+           o_orderdate AS order_date
+    FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+    JOIN customer ON o_custkey = c_custkey""")
+def bucketed_fact(t):
+    """The fact of items and orders that lie in buckets of the order's key."""
+    database = fresh_database(t, "buckets")
+    items = t.lineitem.select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("goods_id"),
+        F.col("l_linenumber").alias("order_item_id"), F.col("l_quantity").alias("quantity"),
+    )
+    orders = t.orders.select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("order_date")
+    )
+    for name, rows in (("items", items), ("orders", orders)):
+        catalog.save_bucketed(rows, f"{database}.{name}", t.scratch(name), ["order_id"], 8)
+    goods = t.part.select(F.col("p_partkey").alias("goods_id"), F.col("p_retailprice").alias("price"))
+    users = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"))
+    fact = joins.star_fact(t.spark.table(f"{database}.items"), goods, t.spark.table(f"{database}.orders"), users)
+    return fact.select("user_id", "user_name", "order_item_id", "number_of_items_ordered", "total_purchase_value", "order_date")
+
+
 @query("jn_03_key_lookup", """
     SELECT d.doc_id, d.source, l.quality AS dim_quality, p.url AS dim_url
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id LEFT JOIN pages p ON d.doc_id = p.page_id""")

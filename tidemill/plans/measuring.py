@@ -189,6 +189,14 @@ def column_profile(t):
     return profile.withColumns({"mean": F.round("mean", 6), "deviation": F.round("deviation", 6)})
 
 
+@query("agg_16_quartiles", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST({s} AS DOUBLE) AS share, round(quantile_cont({c}, {s}), 6) AS value FROM lineitem"""
+    for c in PROFILED for s in (0.25, 0.5, 0.75)))
+def quartiles(t):
+    found = aggregates.exact_quantiles(t.lineitem, PROFILED, [0.25, 0.5, 0.75])
+    return found.withColumn("value", F.round("value", 6))
+
+
 @query("agg_17_dataset_summary", """
     SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_columns, max(o_totalprice) AS most, min(o_totalprice) AS least,
            round(sum(o_totalprice), 2) AS total, arg_max(o_orderkey, o_totalprice) AS most_key

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -16,6 +18,16 @@ def save_external(df: DataFrame, table: str, path: str) -> None:
     df.write.mode("overwrite").option("path", path).saveAsTable(table)
 
 
+def save_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int, spread: bool = True) -> None:
+    """Store rows in buckets of a hash of their keys, sorted in each, so that joins on the keys move none of them.
+
+    One file per bucket; ``spread=False`` for rows that come from such a table mostly: they stay in the tasks
+    that read them, and the others are written as further files of their buckets. For keys without hot values.
+    """
+    rows = df.repartition(buckets, *keys) if spread else df
+    rows.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+
+
 def register_location(spark: SparkSession, table: str, path: str) -> None:
     """Make files already written readable as a table."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{path}'")
