@@ -133,6 +133,28 @@ def top_per_group(
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
+def top_groups(df: DataFrame, by: str, measure: Column, name: str, n: int, buckets: int = 1 << 16, first: int = 64) -> DataFrame:
+    """The ``n`` groups with the largest sums of a measure that is never negative, ties by the smaller key.
+
+    Only groups that can be among them are shuffled. Sums of hash buckets bound their groups from above and
+    are few; the exact sums of the groups in the ``first`` largest buckets give the n-th best one so far, and
+    buckets below it hold no group to report. Null keys are a group; a negative measure fails the job.
+    """
+    negative = F.raise_error(F.lit(f"{name} sums a negative value"))
+    rows = df.select(F.col(by), F.when(measure < 0, negative).otherwise(measure).alias("_measure"))
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(by), F.lit(buckets)))
+    # One row per bucket: at most ``buckets`` numbers reach the driver.
+    sums = rows.groupBy("_bucket").agg(F.sum("_measure").alias("total")).orderBy(F.desc("total")).collect()
+    exact = lambda of: rows.filter(F.col("_bucket").isin(of)).groupBy(by).agg(F.sum("_measure").alias(name))
+    order = [F.desc(name), F.asc_nulls_first(by)]
+    largest = [r["_bucket"] for r in sums[:first]]
+    best = exact(largest).orderBy(*order).limit(n).collect()
+    least = best[-1][name] if len(best) == n else None
+    # A sum of doubles depends a little on its order, so a bucket just below the bound is counted too.
+    able = [r["_bucket"] for r in sums if least is None or r["total"] is None or r["total"] >= least - abs(least) * 1e-9]
+    return exact(able).orderBy(*order).limit(n)
+
+
 def flow_matrix(
     df: DataFrame, origin: str, target: str, targets: Sequence[str], other: str = "other"
 ) -> DataFrame:

@@ -83,10 +83,14 @@ def with_error(df: DataFrame, checks: Sequence[tuple[Column, str]]) -> DataFrame
 
 
 def quarantine(
-    df: DataFrame, id_column: str, checks: Sequence[tuple[Column, str]]
+    df: DataFrame, id_column: str, checks: Sequence[tuple[Column, str]], store: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and ``(id, error)`` for the others; the input is evaluated once and stored."""
-    marked = stored(with_error(df, checks), "checked")
+    """Good rows, and ``(id, error)`` for the others; the input is evaluated once and stored.
+
+    Without ``store`` both read it on their own, which is less work where it is a plain table.
+    """
+    marked = with_error(df, checks)
+    marked = stored(marked, "checked") if store else marked
     good = marked.filter(F.col("error").isNull()).drop("error")
     bad = marked.filter(F.col("error").isNotNull()).select(
         F.col(id_column).cast("string").alias("id"), "error"

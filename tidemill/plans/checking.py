@@ -145,7 +145,7 @@ def run_report(t):
     SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_nationkey = 3 THEN 'Timeout' ELSE {ERROR_SQL} END AS error
     FROM customer WHERE {ERROR_SQL} IS NOT NULL""")
 def retry_set(t):
-    good, bad = quality.quarantine(t.customer, "c_custkey", balance_checks())
+    good, bad = quality.quarantine(t.customer, "c_custkey", balance_checks(), store=False)
     ids = t.customer.select(F.col("c_custkey").cast("string").alias("id"))
     second = t.customer.filter("c_nationkey = 3").select(
         F.col("c_custkey").cast("string").alias("id"), F.lit("Timeout").alias("error"), F.lit(2).alias("attempt")

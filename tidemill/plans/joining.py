@@ -9,6 +9,7 @@ from tidemill.operators import joins, sets
 from tidemill.plans.ingest import fresh_database
 from tidemill.plans.registry import query
 from tidemill.sources import catalog, readers, writers
+from tidemill.sources.tables import BucketTable, KeyFilter, insert_absent
 
 
 def transactions(t):
@@ -121,6 +122,18 @@ def new_rows(t):
     return joins.new_rows(t.documents.select("doc_id", "lang"), t.labels, ["doc_id"])
 
 
+@query("jn_04_key_filter", """
+    SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'label' ELSE 'document' END AS came_from
+    FROM documents UNION SELECT doc_id, 'label' FROM labels""")
+def key_filter(t):
+    """Labelled ids are stored; of the documents only those with new ids are added, found by a stored filter."""
+    table = BucketTable(t.spark, t.scratch("rows"), ["doc_id"], 8)
+    known = KeyFilter(t.spark, t.scratch("filter"), ["doc_id"], blocks=64, folders=8)
+    for number, (rows, name) in enumerate(((t.labels, "label"), (t.documents, "document"))):
+        insert_absent(table, known, rows.select("doc_id", F.lit(name).alias("came_from")), number)
+    return table.read()
+
+
 @query("jn_05_existing_rows", """
     SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)""")
 def existing_rows(t):
@@ -152,6 +165,19 @@ def feed_correlation(t):
     return joins.correlate(hourly(events, "click", "click"), hourly(events, "view", "view"), "user_id", "hour")
 
 
+KINDS = ["click", "error", "purchase", "signup", "view"]
+
+
+@query("jn_07_five_feeds", "SELECT * FROM " + " JOIN ".join(
+    f"""(SELECT user_id, date_trunc('day', ts) AS day, round(avg(value), 6) AS {kind}_value FROM events
+         WHERE event_type = '{kind}' GROUP BY 1, 2) {kind}""" + (" USING (user_id, day)" if i else "") for i, kind in enumerate(KINDS)))
+def five_feeds(t):
+    """The daily readings of five feeds, one row where all of them have one."""
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")
+    daily = lambda kind: t.events.filter(F.col("event_type") == kind).groupBy("user_id", day).agg(F.round(F.avg("value"), 6).alias("value"))
+    return joins.correlate_all({kind: daily(kind) for kind in KINDS}, "user_id", "day")
+
+
 @query("jn_08_ragged_zip", """
     SELECT p_partkey, CAST(pos AS INTEGER) AS pos, coalesce(names[pos + 1], 'N/A') AS word,
            coalesce(types[pos + 1], 'N/A') AS type

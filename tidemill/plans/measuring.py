@@ -197,6 +197,14 @@ def quartiles(t):
     return found.withColumn("value", F.round("value", 6))
 
 
+@query("srt_06_top_groups_of_many", """
+    SELECT l_partkey, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM lineitem GROUP BY 1
+    ORDER BY quantity DESC, l_partkey LIMIT 25""")
+def top_groups_of_many(t):
+    found = aggregates.top_groups(t.lineitem, "l_partkey", F.col("l_quantity").cast("long"), "quantity", 25)
+    return found.select("l_partkey", "quantity")
+
+
 @query("agg_17_dataset_summary", """
     SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_columns, max(o_totalprice) AS most, min(o_totalprice) AS least,
            round(sum(o_totalprice), 2) AS total, arg_max(o_orderkey, o_totalprice) AS most_key

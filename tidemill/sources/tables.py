@@ -11,6 +11,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.operators.changes import keyed
+from tidemill.operators.joins import new_rows
+from tidemill.operators.sets import keep_first
 from tidemill.session import stored
 
 BUCKET = "_bucket"
@@ -121,3 +124,57 @@ class BucketTable:
         for number in staged:
             if number not in applied:
                 self._publish(done, number)
+
+
+class KeyFilter:
+    """Which keys a table may hold: a bitmap by hashes of its keys, stored beside it in blocks of 32,768 bits.
+
+    A key whose bits are not all set was never added. Two hashes per key keep wrong hits to the square of
+    the share of bits set, so ``blocks`` should give some ten bits per key.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], blocks: int = 1 << 15, folders: int = 256):
+        self.keys, self.blocks = list(keys), blocks
+        self.table = BucketTable(spark, path, ["block"], folders)
+
+    def _places(self, rows: DataFrame) -> DataFrame:
+        """One row per hash of a row's key: its block and its bit there."""
+        hashes = F.array(*[F.pmod(F.xxhash64(F.lit(i), *self.keys), F.lit(self.blocks * 32768)) for i in (1, 2)])
+        placed = rows.withColumn("_hash", F.explode(F.array_distinct(hashes)))
+        return placed.withColumns({"block": F.floor(F.col("_hash") / 32768), "_bit": F.col("_hash") % 32768}).drop("_hash")
+
+    def add(self, rows: DataFrame, number: int, writer: str = "main") -> bool:
+        """Set the bits of keys; adding them again changes nothing."""
+        bits = self._places(rows.select(*self.keys)).groupBy("block").agg(F.bitmap_construct_agg("_bit").alias("bitmap"))
+
+        def joined(old: DataFrame | None, new: DataFrame) -> DataFrame:
+            both = new if old is None else old.unionByName(new)
+            return both.groupBy("block").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+        return self.table.merge(bits, number, joined, writer)
+
+    def possible(self, rows: DataFrame) -> DataFrame:
+        """The distinct keys of ``rows`` that may be held; the table itself is not read."""
+        keys, known = rows.select(*self.keys).distinct(), self.table.read()
+        if known is None:
+            return keys.limit(0)
+        held = F.conv(F.hex(F.substring("bitmap", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        is_set = F.expr("shiftright(_byte, CAST(_bit % 8 AS INT)) & 1") == 1
+        hits = self._places(keys).join(known, "block", "left").withColumn("_byte", F.coalesce(held, F.lit(0)))
+        return hits.groupBy(*self.keys).agg(F.min(is_set.cast("int")).alias("_all")).filter("_all = 1").drop("_all")
+
+
+def insert_absent(table: BucketTable, known: KeyFilter, batch: DataFrame, number: int, writer: str = "main") -> list[int]:
+    """Append the rows whose key the table lacks, one per key; a null key is an error. Gives the buckets that were read.
+
+    Stored rows are read only in buckets of keys that the filter takes as possible. Bits are set before rows
+    are appended, and rows that a job cut short did append are found again, so a replay adds nothing twice.
+    """
+    batch = stored(keep_first(keyed(batch, table.keys), table.keys, *[F.col(c) for c in batch.columns]), "batch")
+    hits = stored(known.possible(batch).withColumn(BUCKET, table.bucket()), "hits")
+    buckets = sorted(r[0] for r in hits.select(BUCKET).distinct().collect())  # at most the table's number of buckets
+    held = table.read(buckets) if buckets else None
+    new = batch if held is None else new_rows(batch, held.select(*table.keys).join(hits.drop(BUCKET), table.keys, "left_semi"), table.keys)
+    known.add(batch, number, writer)
+    new.withColumn(BUCKET, table.bucket()).hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(table.data)
+    return buckets
