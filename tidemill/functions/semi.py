@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -90,12 +92,16 @@ def image_urls(images: Column, thumbnails: list[Column]) -> Column:
             kind.startswith("OBJECT"), first_truthy(*fields)
         )
 
+    def with_thumbnail(urls: Column, thumbnail: Column) -> Column:
+        def put(found: Column) -> Column:
+            wanted = (F.coalesce(thumbnail, F.lit("")) != "") & ~F.array_contains(found, thumbnail)
+            return F.when(wanted, F.concat(F.array(thumbnail), found)).otherwise(found)
+
+        return let(urls, put)
+
     urls = F.transform(F.from_json(images, "array<variant>", JSON_OPTIONS), url)
     urls = F.coalesce(F.filter(urls, lambda url: url.isNotNull()), F.array().cast("array<string>"))
-    for thumbnail in thumbnails:
-        wanted = (F.coalesce(thumbnail, F.lit("")) != "") & ~F.array_contains(urls, thumbnail)
-        urls = F.when(wanted, F.concat(F.array(thumbnail), urls)).otherwise(urls)
-    return urls
+    return reduce(with_thumbnail, thumbnails, urls)
 
 
 def product_struct(json: Column) -> Column:
