@@ -19,7 +19,6 @@ def direct(file):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(tokenizer(file))
-    plain.encode_special_tokens = True
     return lambda text: plain.encode(text or "", add_special_tokens=False).ids
 
 
@@ -32,6 +31,9 @@ def test_ids_are_those_of_the_library(file):
     r = random.Random(3)
     signs = list(" \n\t\r\x0b\x0c\x1c\x85\xa0 　abzABZéÉñß'’.,;!*$%0129<|>́̊")
     texts = ["".join(r.choice(signs) for _ in range(r.randrange(40))) for _ in range(3000)]
+    spelled = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|", "|>", "\n", "\n\nAb", "  ", " Ab", "\u0301", "'s", "\xa0 x"]
+    texts += ["".join(r.choice(spelled) for _ in range(r.randrange(9))) for _ in range(3000)]
+    texts += ["<|endof", "text|>", "<|start", "<|endoftext|><|endoftext|>"]  # not across rows
     texts += [t for _, t, *_ in rows()] + ["x<|endoftext|> y", "İstanbul ΣΑΣ don't I'LL", None]
     ids, bounds = encoder(tokenizer(file)).encode(pa.array(texts, pa.string()))
     plain = direct(file)

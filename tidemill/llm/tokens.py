@@ -2,7 +2,8 @@
 
 A tokenizer cuts a text before white space that follows something else and between a letter and
 a sign, so the ids of a text are those of its pieces one after another. Each distinct piece is
-encoded once per worker; a text's ids are put together from them.
+encoded once per worker; a text's ids are put together from them. A special token that a text spells
+out is one piece, as in the library.
 """
 
 from __future__ import annotations
@@ -48,13 +49,17 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes columns with one tokenizer file, without special tokens."""
+    """Encodes columns with one tokenizer file; no special tokens are added."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added):
+            raise ValueError(f"{path} has special tokens that depend on the text around them")
+        self.special = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.spelled = re.compile(b"|".join(map(re.escape, self.special)))
         normalizer = self.tokenizer.normalizer
         self.lower = normalizer is not None and normalizer.normalize_str("Aa") == "aa"
         # The vocabulary's characters for the letters and the space, as its own pre-tokenizer maps them.
@@ -92,14 +97,33 @@ class Encoder:
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
         self.known.update(zip(pieces, range(first, first + len(pieces))))
 
+    def _special(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Begin and end of each special token that lies within a row."""
+        raw, at, spans = data.tobytes(), 0, []
+        if any(t in raw for t in self.special):
+            while found := self.spelled.search(raw, at):
+                begin, end = found.span()
+                whole = end <= offsets[np.searchsorted(offsets, begin, "right")]
+                spans += [(begin, end)] if whole else []
+                at = end if whole else begin + 1
+        return np.array(spans, dtype=np.int64).reshape(-1, 2)
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows in one array, and the offsets of each row's ids; nulls are empty."""
         data, offsets = text_bytes(column)
         if not len(data):
             return np.zeros(0, dtype=np.uint32), np.zeros(len(offsets), dtype=np.int64)
-        if self.lower:
-            data = lower_ascii(data)
-        cuts = _cuts(data, offsets)
+        special = self._special(data, offsets)
+        lowered = lower_ascii(data) if self.lower else data
+        cuts = _cuts(lowered, offsets)
+        if len(special):
+            inside = np.zeros(len(data) + 1, dtype=bool)
+            for begin, end in special.tolist():
+                inside[begin + 1 : end] = True
+            cuts = np.union1d(cuts[~inside[cuts]], special)
+            inside[special[:, 0]] = True
+            lowered = np.where(inside[:-1], data, lowered)
+        data = lowered
         numbers, distinct = codes(binary_array(data, cuts))
         distinct = distinct.to_pylist()
         if len(self.known) + len(distinct) > REMEMBERED:
