@@ -68,6 +68,13 @@ def test_pieces_and_capacities(documents):
             assert sum(p.length**2 for p in pieces) <= 40_000 + 256 * 256 // 2
 
 
+def test_equal_rows_are_spread(spark):
+    """Many copies of one row are numbered in several buckets, without gaps."""
+    pieces = spark.range(5000).selectExpr("1L as doc_id", "0 as piece", "7L as length", "xxhash64(id) as _spread")
+    found = packing.pack(pieces, packing.Capacities(tokens=70, documents=10, attention=4900), bucket_rows=100).collect()
+    assert len({(r.sequence_id, r.offset) for r in found}) == 5000 and len({r.sequence_id for r in found}) == 500
+
+
 def test_empty_table_packs_to_nothing(none):
     assert packed(none)[0] == []
 

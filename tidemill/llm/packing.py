@@ -130,18 +130,18 @@ def plan(histogram: dict[int, int], capacities: Capacities) -> list[tuple[int, i
 def pack(pieces: DataFrame, capacities: Capacities, bucket_rows: int = 100_000) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces with a ``length``.
 
-    ``pieces`` must be stored: it is read twice. Pieces are numbered within their length by
-    hash buckets of about ``bucket_rows`` rows, so a length that most pieces share is many
-    tasks' work. Only the histogram (at most one row per possible length) and the plan made of
+    ``pieces`` must be stored, with a column ``_spread`` of evenly spread numbers, as it is read twice.
+    Pieces are numbered within their length by buckets of about ``bucket_rows`` rows, so a length that
+    most pieces share, or a row that is repeated many times, is many tasks' work. Only the histogram (at most one row per possible length) and the plan made of
     it pass through the driver. An empty table stays empty.
     """
     spark = pieces.sparkSession
-    keys = pieces.columns
+    keys = [c for c in pieces.columns if c != "_spread"]
     counted = pieces.groupBy("length").count().collect()
     histogram = {r["length"]: r["count"] for r in counted}
     placements = plan(histogram, capacities)
     buckets = sum(histogram.values()) // bucket_rows + 1
-    bucketed = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    bucketed = pieces.withColumn("_bucket", F.pmod("_spread", F.lit(buckets)))
     sizes = bucketed.groupBy("length", "_bucket").agg(F.count("*").alias("_rows"))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
@@ -175,7 +175,12 @@ def pack(pieces: DataFrame, capacities: Capacities, bucket_rows: int = 100_000)
 def packed_documents(
     documents: DataFrame, path: str, end_id: int, capacities: Capacities | None = None
 ) -> DataFrame:
-    """Tokenize, cut and pack documents: one row per piece with its sequence and offset."""
+    """Tokenize, cut and pack documents: one row per piece with its sequence and offset.
+
+    Null and empty texts give the end id alone, null ids stay null, repeated rows are packed each,
+    and an empty table gives no rows.
+    """
     capacities = capacities or Capacities()
-    pieces = stored(pieces_of(documents, path, end_id, capacities.tokens), "pieces")
+    pieces = pieces_of(documents, path, end_id, capacities.tokens)
+    pieces = stored(pieces.withColumn("_spread", F.xxhash64(F.monotonically_increasing_id())), "pieces")
     return pack(pieces, capacities)
