@@ -72,6 +72,21 @@ def test_base_measures_and_distances(documents):
         assert r.kept == (not r.base_failed and not far)
 
 
+def test_more_languages_than_tasks_hold(spark, documents):
+    """Every language has references of its own, however many there are."""
+    r = random.Random(6)
+    many = [(i, " ".join(f"{a}{r.randrange(23)}" for k in range(60)), a, None, None, None, None)
+            for a in ("xa", "yb", "zc", "wd", "ve") for i in range(8)]
+    frame = documents.unionByName(spark.createDataFrame(many, documents.schema))
+    order = lambda found: sorted(map(repr, found.collect()))
+    whole = order(divergence.judged(frame))
+    assert len(whole) == frame.count()
+    for most in (1, 2, 3):
+        assert order(divergence.judged(frame, divergence.Limits(languages=most))) == whole
+    kept = divergence.judged(frame, divergence.Limits(languages=1)).filter("lang in ('xa', 'yb', 'zc', 'wd', 've')")
+    assert all(r.kept for r in kept.collect())
+
+
 def test_no_rules_without_documents(none):
     assert divergence.judged(none).collect() == []
 

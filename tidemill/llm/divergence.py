@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +54,7 @@ class Limits:
     word_slack: float = 0.85
     min_chars: int = 100
     min_words: int = 40
-    languages: int = 512  # further ones, the smallest, are compared with all languages together
+    languages: int = 512  # whose references tasks hold at once; with more, further passes follow
 
 
 def class_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -112,8 +113,7 @@ def distances(found: np.ndarray, reference: np.ndarray) -> np.ndarray:
 
 
 def corpus_counts(documents: DataFrame) -> DataFrame:
-    """``lang, kind, item, n``: characters by class and words, over all documents; the language
-    ``null`` holds all of them together."""
+    """``lang, kind, item, n``: characters by class and words, over all documents."""
 
     def count(batches):
         held: Counter = Counter()
@@ -152,11 +152,9 @@ def corpus_counts(documents: DataFrame) -> DataFrame:
 
 
 def references(documents: DataFrame, limits: Limits) -> DataFrame:
-    """One row per language, and one for all (``lang`` null): class counts, word counts, common words."""
+    """One row per language: class counts, number of words, common words."""
     counts = corpus_counts(documents).groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
     counts = stored(counts, "counts")
-    everywhere = counts.groupBy("kind", "item").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "kind", "item", "n")
-    counts = counts.unionByName(everywhere)
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
     common = counts.filter("kind = 'word'").withColumn("place", F.row_number().over(order)).filter(
         F.col("place") <= limits.common_words
@@ -165,15 +163,26 @@ def references(documents: DataFrame, limits: Limits) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("item", "n"))).alias("classes")
     )
     totals = counts.filter("kind = 'word'").groupBy("lang").agg(F.sum("n").alias("words"))
-    same = lambda a, b: a.join(b.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l")), "left").drop("l")
-    return same(same(classes, common), totals).orderBy(F.col("lang").isNotNull(), F.desc_nulls_last("words"), "lang").limit(limits.languages + 1)
+    return classes.join(common, "lang", "left").join(totals, "lang", "left")
 
 
 def measures(documents: DataFrame, limits: Limits) -> DataFrame:
-    """Each document's base measures and its distances to the references of its language."""
-    rows = references(documents, limits).collect()
+    """Each document's base measures and its distances to the references of its language.
+
+    Languages are dealt to passes of about ``limits.languages``; each pass reads the documents of its own.
+    """
+    known = stored(references(documents, limits), "references")
+    passes = -(-known.count() // limits.languages) or 1
+    number = F.pmod(F.xxhash64(F.coalesce("lang", F.lit(""))), F.lit(passes))
+    return reduce(DataFrame.unionByName, [
+        compared(documents.filter(number == i), known.filter(number == i)) for i in range(passes)
+    ])
+
+
+def compared(documents: DataFrame, known: DataFrame) -> DataFrame:
+    """The measures of documents whose languages all have a row in ``known``, which tasks hold."""
     found = {}
-    for r in rows:
+    for r in known.collect():
         common = r["common"] or []
         counted = [w["n"] for w in common]
         found[r["lang"]] = (
@@ -185,12 +194,10 @@ def measures(documents: DataFrame, limits: Limits) -> DataFrame:
 
     def measure(batches):
         known = shared.value
-        pooled = known.get(None)
         for batch in slices(batches, "text"):
             column = batch.column("text").fill_null("")
             data, offsets = text_bytes(column)
-            langs = batch.column("lang").to_pylist()
-            of = [known.get("" if lang is None else lang) or pooled for lang in langs]
+            of = [known[lang] for lang in batch.column("lang").fill_null("").to_pylist()]
             classes = class_counts(data, offsets)
             values, bounds = words(data, offsets)
             numbers, distinct = codes(values)
@@ -227,8 +234,8 @@ def judged(documents: DataFrame, limits: Limits | None = None) -> DataFrame:
 
     A document fails the base rules with under 20 words, or with over 30 % of its words in
     repeated windows. Of the rest, those stay whose distances are within the limits or that are
-    too short to be judged. Null and empty texts have no words and fail; a null language is a
-    language of its own. Repeated rows are judged alike.
+    too short to be judged. Null and empty texts have no words and fail; documents without a language
+    (null or empty) count as one of their own. Repeated rows are judged alike.
     """
     limits = limits or Limits()
     found = measures(documents, limits)
