@@ -37,15 +37,28 @@ def brute_suffixes(table, length=50):
     return out
 
 
-def found_suffixes(frame, length=50):
+def found_suffixes(frame, length=50, large=suffixes.LARGE):
     return Counter(
         (r.doc_id, hashlib.sha256(r.kept).hexdigest(), r.n_removed, r.n_spans)
-        for r in suffixes.without_repeats(frame, length).collect()
+        for r in suffixes.without_repeats(frame, length, large).collect()
     )
 
 
-def test_suffixes_of_the_fixture(documents):
-    assert found_suffixes(documents) == brute_suffixes(rows())
+@pytest.mark.parametrize("large", [suffixes.LARGE, 0])
+def test_suffixes_of_the_fixture(documents, large):
+    assert found_suffixes(documents, large=large) == brute_suffixes(rows())
+
+
+@pytest.mark.parametrize("large", [5, 0])
+def test_many_contexts_of_one_passage(spark, large):
+    """A third of all documents share a line, each between words of its own."""
+    r = random.Random(3)
+    own = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    line = own(80)
+    texts = [own(r.randrange(60)) + (line[r.randrange(25) :] if i % 3 == 0 else own(40)) + own(r.randrange(60)) for i in range(300)]
+    table = [(i if i % 50 else None, t, None, None, None, None, None) for i, t in enumerate(texts)]
+    table += [(7, texts[9], None, None, None, None, None), (9, line, None, None, None, None, None)]
+    assert found_suffixes(spark.createDataFrame(table, SCHEMA).repartition(5), large=large) == brute_suffixes(table)
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -61,6 +74,7 @@ def test_suffixes_of_repetitive_texts(spark, monkeypatch, seed):
     frame = spark.createDataFrame(texts, SCHEMA).repartition(4)
     assert found_suffixes(frame) == brute_suffixes(texts)
     assert found_suffixes(frame, 17) == brute_suffixes(texts, 17)
+    assert found_suffixes(frame, 17, large=1) == brute_suffixes(texts, 17)
 
 
 def test_no_suffixes(none):
