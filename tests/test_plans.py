@@ -89,3 +89,23 @@ def test_tables_in_buckets_are_joined_where_they_lie(spark, tmp_path, sorted_joi
     nothing = spark.createDataFrame([(None, 1)], "k LONG, v LONG")
     with pytest.raises(Exception, match="is null"):
         changes.upsert(one, nothing, ["k"], null_keys=False).collect()
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch, sorted_joins):
+    """A task joins one bucket, so more rows must come in more buckets of the same size."""
+    monkeypatch.setattr(catalog, "BUCKET_ROWS", 50, raising=False)
+    tables = {
+        "lineitem": spark.range(1000).selectExpr("id % 600 AS l_orderkey", "id % 7 AS l_partkey", "id AS l_linenumber", "2D AS l_quantity"),
+        "orders": spark.range(600).selectExpr(
+            "id AS o_orderkey", "id % 9 AS o_custkey", "TIMESTAMP_NTZ '1998-06-01' + make_interval(0, 0, 0, id) AS o_orderdate", "1D AS o_totalprice"),
+        "part": spark.range(7).selectExpr("id AS p_partkey", "3D AS p_retailprice"),
+        "customer": spark.range(9).selectExpr("id AS c_custkey", "concat('c', id) AS c_name"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    fact = QUERIES["jn_02_bucketed_fact"](spark, str(tmp_path))
+    assert fact._jdf.queryExecution().executedPlan().toString().count("20 out of 20") == 2
+    assert fact.count() == 1000
+    merged = QUERIES["dml_01_bucketed_upsert"](spark, str(tmp_path))
+    assert "12 out of 12" in merged.groupBy("o_orderkey").count()._jdf.queryExecution().executedPlan().toString()
+    assert merged.count() == 600

@@ -42,10 +42,11 @@ def bucketed_upsert(t):
     stored, merged = f"{fresh_database(t, 'buckets')}.orders", f"{fresh_database(t, 'buckets')}.orders"
     pick = lambda df, updated, amount: df.select("o_orderkey", F.lit(updated).alias("updated"), amount.alias("amount"))
     before = pick(t.orders.filter("o_orderdate < TIMESTAMP_NTZ '2000-01-01'"), False, F.col("o_totalprice"))
-    catalog.save_bucketed(before, stored, t.scratch("orders"), ["o_orderkey"], 8)
+    buckets = catalog.buckets_for(t.orders)
+    catalog.save_bucketed(before, stored, t.scratch("orders"), ["o_orderkey"], buckets)
     source = pick(t.orders.filter("o_orderdate >= TIMESTAMP_NTZ '1999-01-01'"), True, F.round(F.col("o_totalprice") * 1.1, 4))
     rows = changes.upsert(t.spark.table(stored), source, ["o_orderkey"], null_keys=False)
-    catalog.save_bucketed(rows, merged, t.scratch("orders"), ["o_orderkey"], 8, spread=False)
+    catalog.save_bucketed(rows, merged, t.scratch("orders"), ["o_orderkey"], buckets, spread=False)
     return t.spark.table(merged)
 
 

@@ -90,7 +90,7 @@ def star_fact(t):
     FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
     JOIN customer ON o_custkey = c_custkey""")
 def bucketed_fact(t):
-    """The fact of items and orders that lie in buckets of the order's key."""
+    """The fact of items and orders that lie in buckets of the order's key, as many as the items fill."""
     database = fresh_database(t, "buckets")
     items = t.lineitem.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("goods_id"),
@@ -99,8 +99,9 @@ def bucketed_fact(t):
     orders = t.orders.select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("order_date")
     )
+    buckets = catalog.buckets_for(items, orders)
     for name, rows in (("items", items), ("orders", orders)):
-        catalog.save_bucketed(rows, f"{database}.{name}", t.scratch(name), ["order_id"], 8)
+        catalog.save_bucketed(rows, f"{database}.{name}", t.scratch(name), ["order_id"], buckets)
     goods = t.part.select(F.col("p_partkey").alias("goods_id"), F.col("p_retailprice").alias("price"))
     users = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"))
     fact = joins.star_fact(t.spark.table(f"{database}.items"), goods, t.spark.table(f"{database}.orders"), users)

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+BUCKET_ROWS = 1 << 18
+
 
 def recreate_database(spark: SparkSession, name: str, location: str) -> None:
     """Drop a database with all its tables and create it empty."""
@@ -18,6 +20,11 @@ def save_external(df: DataFrame, table: str, path: str) -> None:
     df.write.mode("overwrite").option("path", path).saveAsTable(table)
 
 
+def buckets_for(*tables: DataFrame, least: int = 8) -> int:
+    """How many buckets keep a task's share of the largest table bounded; tables joined in buckets need one number."""
+    return max(least, *[-(-df.count() // BUCKET_ROWS) for df in tables])
+
+
 def save_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int, spread: bool = True) -> None:
     """Store rows in buckets of a hash of their keys, sorted in each, so that joins on the keys move none of them.
 
