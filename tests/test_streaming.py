@@ -3,6 +3,7 @@
 import json
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tidemill.operators import changes
 from tidemill.operators.changes import scd2_versions
 from tidemill.operators.joins import correlate, correlate_all
 from tidemill.operators.ordered import speed_trace
+from tidemill.plans import REGISTRY
 from tidemill.schemas import FEEDS
 from tidemill.session import stateful
 from tidemill.sources.tables import BucketTable
@@ -225,6 +227,35 @@ def test_idle_devices_are_forgotten(spark, tmp_path):
     assert found[0] == (5, 1) and found[2] == (10, 2) and found[4] == (5, 1) and found[5] == (5, 1)
 
 
+def test_devices_share_stored_values(spark, tmp_path):
+    """Calls to the state store follow the shards, not the devices; devices without an id are one device."""
+    own = stateful(spark, 2)
+    rows = [(None if d == 7 else f"d{d}", 1_700_000_000 + 10 * k, 10 * d + k, 5) for d in range(600) for k in range(3)]
+    own.createDataFrame([*rows, ("end", 1_700_009_000, -1, 0)], "device STRING, s LONG, i LONG, delta INT").write.parquet(str(tmp_path / "in"))
+    stream = own.readStream.schema("device STRING, s LONG, i LONG, delta INT").parquet(str(tmp_path / "in"))
+    stream = stream.withColumn("at", F.timestamp_seconds("s")).withWatermark("at", "2 minutes")
+    traced = devices.speed_stream(stream, "device", "at", "i", F.col("delta"))
+    query = feeds.write_feed(traced, str(tmp_path / "out"), str(tmp_path / "cp"), drain=True)
+    run(query)
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.i, r.speed, r.odometer, r.step) for r in got) == sorted((10 * d + k, 5 * k + 5, (5, 15, 30)[k], k + 1) for d in range(600) for k in range(3))
+    assert {r.device for r in got if r.i // 10 == 7} == {None}
+    assert query.recentProgress[0].stateOperators[0].numRowsUpdated <= devices.SHARDS < 600
+
+
+def test_state_is_spread_over_all_cores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemill.plans.streams.STATES", 1)
+    spark.createDataFrame(
+        [(i, i % 3, kind, 1.0, i) for i, kind in enumerate(("click", "view", "error") * 4)], "event_id LONG, user_id LONG, event_type STRING, value DOUBLE, d INT"
+    ).selectExpr("event_id", "TIMESTAMP_NTZ '2024-01-14' + make_interval(0, 0, 0, 0, 0, 10 * d) AS ts", "user_id", "event_type", "value", "'{}' AS props").write.parquet(
+        f"{tmp_path}/events.parquet")
+    before = set(Path(spark.conf.get("spark.checkpoint.dir")).glob("tidemill/traced-*"))
+    got = REGISTRY["win_06_streamed_speed"](spark, str(tmp_path)).collect()
+    assert sorted(r.event_id for r in got) == list(range(11))
+    (out,) = set(Path(spark.conf.get("spark.checkpoint.dir")).glob("tidemill/traced-*")) - before
+    assert len([d for d in (out / "checkpoint/state/0").iterdir() if d.name.isdigit()]) == 4  # the cores of the session
+
+
 def test_any_failing_feed_is_noticed(spark, tmp_path):
     say(tmp_path / "in", "1.json", {"id": "a"})
     stream = feeds.read_topic(spark, "text", {"path": str(tmp_path / "in")}, FEEDS["gps"])

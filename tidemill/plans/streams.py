@@ -14,10 +14,15 @@ from tidemill.sources.tables import BucketTable
 from tidemill.streaming import devices, feeds
 
 BUCKETS = 8  # of tables that hold a row or a few per user
-STATES = 4  # partitions of state that holds a few rows per user
+STATES = 4  # partitions of state at least
 TOPICS = ["click", "error", "purchase", "signup", "view"]
 
 
+def keeping_state(t):
+    """A session whose streams spread their state over all cores of the cluster."""
+    return stateful(t.spark, max(STATES, t.spark.sparkContext.defaultParallelism))
+
+
 def event_stream(t):
     """The events as they would arrive from files, watermarked on ``timestamp``."""
     return readings(t.spark.readStream.schema(EVENTS).parquet(t.arrivals("events")))
@@ -175,7 +180,7 @@ def five_feeds(t):
     """
     day = F.date_trunc("day", F.col("ts").cast("timestamp")).alias("timestamp")
     daily = t.events.groupBy(F.col("user_id").cast("string").alias("deviceId"), day, "event_type").agg(F.round(F.sum("value"), 6).alias("speed"))
-    topics, out, spark = t.scratch("topics"), t.scratch("five"), stateful(t.spark, STATES)
+    topics, out, spark = t.scratch("topics"), t.scratch("five"), keeping_state(t)
     message = F.to_json(F.struct("deviceId", "timestamp", "speed"), MICROSECONDS).alias("value")
     for half in ("timestamp < TIMESTAMP '2024-01-16 00:00:00 UTC'", "timestamp >= TIMESTAMP '2024-01-16 00:00:00 UTC'"):
         daily.filter(half).select(message, F.col("event_type").alias("feed")).write.mode("append").partitionBy("feed").text(topics)
@@ -196,7 +201,7 @@ def five_feeds(t):
 def streamed_speed(t):
     """Pulses of devices in two runs with a restart between; those inside the watermark still wait."""
     arriving, out = t.scratch("pulses"), t.scratch("traced")
-    spark = stateful(t.spark, STATES)
+    spark = keeping_state(t)
     for half in ("ts < TIMESTAMP_NTZ '2024-01-16'", "ts >= TIMESTAMP_NTZ '2024-01-16'"):
         t.events.filter(half).write.mode("append").parquet(arriving)
         stream = readings(spark.readStream.schema(EVENTS).parquet(arriving)).withWatermark("timestamp", feeds.LATENESS)

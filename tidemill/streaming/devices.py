@@ -1,17 +1,18 @@
-"""Speed and odometer of devices as a stream: one state per device, kept over micro-batches and restarts.
+"""Speed and odometer of devices as a stream: their states kept over micro-batches and restarts.
 
 The batch answer is ``operators.ordered.speed_trace``. Here pulses wait in the state until the watermark
-has passed them, so they are taken in order however they arrive within the lateness. A timer at a
-device's earliest waiting pulse wakes it. A device without pulses for over ``idle`` milliseconds begins
-anew, and a timer then frees its state.
+has passed them, so they are taken in order however they arrive within the lateness. Devices are dealt to
+shards by a hash, and a shard's devices share one stored value: a call from Python to the state store costs
+far more than a pulse. A timer at a shard's earliest waiting pulse wakes it. A device without pulses for over
+``idle`` milliseconds begins anew, and a timer then frees its state.
 """
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
 
-import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -21,55 +22,63 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 # Workers get the processor itself, so they need not have this library.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-WAITING = T.StructType([T.StructField("pulses", T.BinaryType())])  # rows of three numbers: microseconds, place, delta
-TRACE = T.StructType([T.StructField(n, T.LongType()) for n in ("speed", "odometer", "step", "at")])
+SHARDS = 256  # a stream keeps the number of its first run
+VALUE = T.StructType([T.StructField("value", T.BinaryType())])
 
 
 class SpeedTrace(StatefulProcessor):
-    """Waiting pulses, and the speed, odometer, number of steps and time (microseconds) after the last one taken."""
+    """Waiting pulses of a shard, and per device the speed, odometer, number of steps and time (microseconds) after the last one taken."""
 
     def __init__(self, device: str, idle: int | None):
         self.device, self.idle = device, idle
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getValueState("waiting", WAITING)
-        self.trace = handle.getValueState("trace", TRACE)
+        self.waiting = handle.getValueState("waiting", VALUE)  # a list of device, microseconds, place, delta
+        self.traces = handle.getValueState("traces", VALUE)  # speed, odometer, step and time by device
 
-    def _pulses(self) -> np.ndarray:
-        held = self.waiting.get() if self.waiting.exists() else None
-        return np.frombuffer(bytes(held[0]) if held else b"", dtype=np.int64).reshape(-1, 3)
+    def _held(self, state, default):
+        held = state.get()
+        return pickle.loads(bytes(held[0])) if held else default
+
+    def _hold(self, state, value) -> None:
+        if value:
+            state.update((pickle.dumps(value, pickle.HIGHEST_PROTOCOL),))
+        else:
+            state.clear()
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        pulses = np.array([(r["_at"], r["_place"], r["_delta"]) for r in rows], dtype=np.int64)
-        self.waiting.update((np.concatenate([self._pulses(), pulses]).tobytes(),))
-        self.handle.registerTimer(_millis(int(pulses[:, 0].min())))
+        pulses = [(device, at, place, delta) for _, device, _, at, place, delta in rows]
+        self._hold(self.waiting, self._held(self.waiting, []) + pulses)
+        self.handle.registerTimer(_millis(min(p[1] for p in pulses)))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        waiting = self._pulses()
-        waiting = waiting[np.lexsort((waiting[:, 1], waiting[:, 0]))]
-        passed = int(np.searchsorted(waiting[:, 0], watermark * 1000, "right"))
-        speed, odometer, step, at = self.trace.get() if self.trace.exists() else (0, 0, 0, None)
-        if not passed:
-            if self.idle is not None and not len(waiting) and at is not None and _millis(at) + self.idle <= watermark:
-                self.trace.clear()
+        waiting = self._held(self.waiting, [])
+        passed = sorted((p for p in waiting if p[1] <= watermark * 1000), key=lambda p: p[1:3])
+        if not passed and self.idle is None:
             return
-        for moment, place, delta in waiting[:passed].tolist():
-            if self.idle is not None and at is not None and moment - at > self.idle * 1000:
+        traces = self._held(self.traces, {})
+        for device, moment, place, delta in passed:
+            speed, odometer, step, at = traces.get(device, (0, 0, 0, moment))
+            if self.idle is not None and moment - at > self.idle * 1000:
                 speed = odometer = step = 0
-            at = moment
             speed = max(speed + delta, 0)
             odometer, step = odometer + speed, step + 1
-            yield Row(**{self.device: key[0], "_at": at, "_place": place, "speed": speed, "odometer": odometer, "step": step})
-        self.trace.update((speed, odometer, step, at))
-        self.waiting.clear()
-        if passed < len(waiting):
-            self.waiting.update((waiting[passed:].tobytes(),))
-            self.handle.registerTimer(_millis(int(waiting[passed, 0])))
+            traces[device] = (speed, odometer, step, moment)
+            yield Row(**{self.device: device, "_at": moment, "_place": place, "speed": speed, "odometer": odometer, "step": step})
         if self.idle is not None:
-            self.handle.registerTimer(_millis(at) + self.idle)
+            # A pulse that still waits is beyond the watermark, so that its device begins anew as well.
+            traces = {d: t for d, t in traces.items() if _millis(t[3]) + self.idle > watermark}
+            if traces:
+                self.handle.registerTimer(min(_millis(t[3]) for t in traces.values()) + self.idle)
+        self._hold(self.traces, traces)
+        if passed:
+            waiting = [p for p in waiting if p[1] > watermark * 1000]
+            self._hold(self.waiting, waiting)
+            if waiting:
+                self.handle.registerTimer(_millis(min(p[1] for p in waiting)))
 
     def close(self) -> None:
         pass
@@ -80,21 +89,25 @@ def _millis(micros: int) -> int:
     return -(-micros // 1000)
 
 
-def speed_stream(stream: DataFrame, device: str, moment: str, place: str, delta: Column, idle: int | None = None) -> DataFrame:
+def speed_stream(
+    stream: DataFrame, device: str, moment: str, place: str, delta: Column, idle: int | None = None, shards: int = SHARDS,
+) -> DataFrame:
     """``device, moment, place, speed, odometer, step, average_speed`` after each pulse of a device.
 
     ``stream`` belongs to a session of ``session.stateful`` and has a watermark on ``moment``; ``place`` (a
     number) orders pulses of one moment. Pulses later than the watermark are dropped by Spark.
-    A null ``delta`` counts as 0; pulses without a moment or place are left out.
+    A null ``delta`` counts as 0; pulses without a moment or place are left out. A task holds the waiting pulses of
+    one of the ``shards`` at a time.
     """
     kind = stream.schema[device].dataType
     pulses = stream.filter(F.col(moment).isNotNull() & F.col(place).isNotNull()).select(
+        F.pmod(F.xxhash64(device), F.lit(shards)).cast("int").alias("_shard"),
         device, moment, F.unix_micros(moment).alias("_at"), F.col(place).cast("long").alias("_place"),
         F.coalesce(delta, F.lit(0)).cast("long").alias("_delta"),
     )
     names = ("_at", "_place", "speed", "odometer", "step")
     schema = T.StructType([T.StructField(device, kind), *[T.StructField(n, T.LongType()) for n in names]])
-    traced = pulses.groupBy(device).transformWithState(SpeedTrace(device, idle), schema, "append", "eventTime")
+    traced = pulses.groupBy("_shard").transformWithState(SpeedTrace(device, idle), schema, "append", "eventTime")
     return traced.select(
         device, F.timestamp_micros("_at").alias(moment), F.col("_place").alias(place), "speed", "odometer", "step",
         (F.col("odometer") / F.col("step")).alias("average_speed"),
