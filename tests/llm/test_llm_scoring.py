@@ -1,15 +1,19 @@
 """Quality rules, importance resampling and context-tree scores against direct calculations."""
 
+import glob
 import math
 import random
 import re
+import tempfile
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from conftest_rows import rows
-from tidemill.llm import contexttree, divergence, lmscoring, resampling
+from tidemill.llm import contextparts, contexttree, divergence, lmscoring, resampling
+from tidemill.session import swept
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -333,3 +337,49 @@ def test_deep_contexts_keep_all_counts(spark, depth, subtree):
     assert len(found) == len(texts)
     for row in found:
         assert math.isclose(row.score, score(texts[row.doc_id].encode()), abs_tol=1e-4)
+
+
+def test_strings_meet_in_passes():
+    """Every string is sent in one pass and every root has one pass; a pass sends a part of them only."""
+    r = random.Random(5)
+    data, offsets = joined([bytes(r.choice(b"abcdefgh the") for _ in range(r.randrange(0, 90))) for _ in range(400)])
+    hi, lo, row = contextparts.strings_of(data, offsets, 12)
+    top = contextparts.top_of(hi, 12, 300)
+    sent = [contextparts.strings_of(data, offsets, 12, wanted) for wanted in contextparts.pass_masks(top, 8)]
+    assert Counter(zip(hi.tolist(), lo.tolist(), row.tolist())) == Counter(s for one in sent for s in zip(*(x.tolist() for x in one)))
+    assert max(len(one[0]) for one in sent) < len(hi) / 2
+    roots = []
+    for own, _, _ in sent:
+        depths = contextparts.root_depths(own, top)
+        roots.append(set(zip((own >> (64 - 8 * depths).astype(np.uint64)).tolist(), depths.tolist())))
+    assert sum(map(len, roots)) == len(set.union(*roots))
+
+
+@pytest.mark.parametrize("passes", [1, 5])
+def test_scores_do_not_depend_on_passes(spark, passes):
+    """Also for repeated and missing texts, and for bytes and contexts that training never saw."""
+    texts = ["the theme of the thesis", "then there", None, "", "the theme of the thesis", "zzz the thesaurus", "über", "t"] * 2
+    train = [(t or "").encode() for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1]
+    assert len(train) < len(texts)
+    score = deep_tree(train, 9)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = lmscoring.scored(frame, lmscoring.Settings(depth=9, subtree=20, passes=passes)).collect()
+    assert sorted(r.doc_id for r in found) == list(range(len(texts)))
+    for row in found:
+        assert math.isclose(row.score, score((texts[row.doc_id] or "").encode()), abs_tol=1e-6)
+
+
+def test_shuffles_of_a_pass_leave_no_files(spark, tmp_path):
+    files = lambda: set(glob.glob(f"{spark.conf.get('spark.local.dir', tempfile.gettempdir())}/blockmgr-*/**/shuffle_*.data", recursive=True))
+    rows, key = spark.range(1000).repartition(7), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(key)
+    rows.write.parquet(str(tmp_path / "kept"))
+    kept = files() - before
+    with swept(spark):
+        rows.write.parquet(str(tmp_path / "swept"))
+    for _ in range(50):
+        if not (left := files() - before - kept):
+            break
+        time.sleep(0.2)
+    assert kept and not left and spark.conf.get(key) == setting
+    assert spark.read.parquet(str(tmp_path / "swept")).count() == 1000
