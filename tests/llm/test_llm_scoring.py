@@ -12,7 +12,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from conftest_rows import rows
-from tidemill.llm import contextparts, contexttree, divergence, lmscoring, resampling
+from tidemill.llm import contextparts, contexttree, divergence, lmscoring, queries, resampling
 from tidemill.session import swept
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -383,3 +383,12 @@ def test_shuffles_of_a_pass_leave_no_files(spark, tmp_path):
         time.sleep(0.2)
     assert kept and not left and spark.conf.get(key) == setting
     assert spark.read.parquet(str(tmp_path / "swept")).count() == 1000
+
+
+def test_query_scores_empty_and_missing_texts(spark, tmp_path):
+    table = [(0, "the theme of the thesis"), (1, None), (2, ""), (None, None)]
+    spark.createDataFrame(table, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.REGISTRY["op5_context_tree_scores"](spark, str(tmp_path)).collect()
+    assert len(found) == 4
+    for row in found:
+        assert (row.score == 0 and row.n_tokens == 1 and row.bits_per_byte is None) if row.doc_id != 0 else row.bits_per_byte > 0
