@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from conftest_rows import rows
 from tidemill.llm import contextparts, contexttree, divergence, lmscoring, queries, resampling
-from tidemill.session import swept
+from tidemill.session import stored, swept
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -369,6 +369,56 @@ def test_scores_do_not_depend_on_passes(spark, passes):
         assert math.isclose(row.score, score((texts[row.doc_id] or "").encode()), abs_tol=1e-6)
 
 
+@pytest.mark.parametrize("depth, subtree", [(12, 300), (15, 20), (4, 1 << 20)])
+def test_subtrees_in_pieces(depth, subtree):
+    """Below whatever contexts the subtrees are cut, they tell the top the same and all bytes have the probabilities of the definition."""
+    r = random.Random(7)
+    words = ["the", "theme", "thesis", "über", "a", "on", "another one", "\u0000"]
+    texts = [" ".join(r.choice(words) for _ in range(r.randrange(0, 12))).encode() for _ in range(60)]
+    data, offsets = joined(texts)
+    hi, lo, row = contextparts.strings_of(data, offsets, depth)
+    top = contextparts.top_of(hi, depth, subtree)
+    hi, lo, place = contextparts.distinct(hi, lo)
+    times = np.bincount(place, row % 4 > 0).astype(np.int64)
+    roots, whole = contextparts.root_depths(hi, top), None
+    score = deep_tree([t for i, t in enumerate(texts) if i % 4], depth)
+    for most in (1 << 20, 100, 7):
+        told, _ = contextparts.worked_out(hi, lo, times, roots, top, depth, most)
+        levels, added = contextparts.top_levels(told, top), defaultdict(float)
+        for *key, n, value in zip(*(x.tolist() for x in told)):
+            added[tuple(key)] += n + value
+        whole = whole or added
+        assert added.keys() == whole.keys() and all(math.isclose(whole[k], v, abs_tol=1e-8) for k, v in added.items())
+        told, logs = contextparts.worked_out(hi, lo, times, roots, top, depth, most, levels)
+        by_text = np.bincount(row, logs[place], minlength=len(texts))
+        assert all(math.isclose(found, score(t), abs_tol=1e-8) for found, t in zip(by_text, texts))
+    assert (contextparts.split_roots(hi, roots, depth, 7) > roots).any()
+
+
+def test_strings_are_sorted_and_share_bytes():
+    """Also where the lowest or highest bits differ, which a rounded logarithm takes for a byte more or less."""
+    r = random.Random(3)
+    hi = np.array([r.choice([0, 1, (1 << 64) - 1, (1 << 56) - 1, 1 << 56, r.getrandbits(64)]) for _ in range(3000)], dtype=np.uint64)
+    lo = np.array([r.choice([0, 255, (1 << 40) - 1, r.getrandbits(40)]) for _ in range(3000)], dtype=np.uint64)
+    order = contextparts.sorting(hi, lo)
+    table = sorted(zip(hi.tolist(), lo.tolist()))
+    assert list(zip(hi[order].tolist(), lo[order].tolist())) == table
+    context = [h.to_bytes(8, "big") + (x >> 8).to_bytes(4, "big") for h, x in table]
+    common = [next((i for i in range(12) if a[i] != b[i]), 12) for a, b in zip(context, context[1:])]
+    assert contextparts._shared(hi[order], lo[order], 12).tolist() == [-1, *common]
+
+
+def test_passes_do_not_shuffle_texts(spark):
+    """Texts are stored in units once; a pass only sends strings."""
+    rows = spark.createDataFrame([(i, i % 5 == 1, "the theme") for i in range(50)], "doc_id long, held_out boolean, text string").repartition(3)
+    units = stored(lmscoring.text_units(rows), "units")
+    wanted, settings = contextparts.pass_masks([], 1)[0], lmscoring.Settings()
+    for sent in (lmscoring.string_counts(units, wanted, [], 5, settings), lmscoring.asked_strings(units, wanted, [], 5, settings)):
+        assert "Exchange" not in sent._jdf.queryExecution().executedPlan().toString()
+        assert sent.count() > 0
+    assert units.select("unit").distinct().count() == units.count()
+
+
 def test_shuffles_of_a_pass_leave_no_files(spark, tmp_path):
     files = lambda: set(glob.glob(f"{spark.conf.get('spark.local.dir', tempfile.gettempdir())}/blockmgr-*/**/shuffle_*.data", recursive=True))
     rows, key = spark.range(1000).repartition(7), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
